@@ -232,3 +232,238 @@ ORACLES: dict[str, str] = {
         LEFT JOIN seen s ON s.condition_name = a.condition_name AND s.country = p.country
         WHERE coalesce(s.n, 0) < 30""",
 }
+
+# --- raw archive, messages, streams -----------------------------------------------
+_GOOD_EVENTS = f"""
+good AS (
+  SELECT {_id('user_id')} AS nct_id,
+    CASE WHEN event_type <> 'view' THEN upper(event_type[1]) || event_type[2:] END AS overall_status,
+    'Event ' || CAST(event_id AS VARCHAR) AS brief_title,
+    CAST(CAST(ts AS DATE) AS VARCHAR) AS last_update_post_date,
+    '{{"k":' || json_extract_string(props, '$.k') || '}}' AS raw, ts
+  FROM events WHERE event_type NOT IN ('signup', 'error')
+)"""
+
+_STUDY_CONDITIONS = f"""
+names AS (
+  SELECT nct_id, healthy_volunteers AS condition_name FROM trials_raw
+  UNION SELECT nct_id, lead_sponsor_class FROM trials_raw
+)"""
+
+ORACLES |= {
+    "raw_archive_scan": f"""{_with(TRIALS_RAW)}
+        SELECT nct_id, overall_status, brief_title, phase, enrollment_count, lead_sponsor_class, location_country,
+          run_date, strftime(run_date, '%Y') AS year, strftime(run_date, '%m') AS month,
+          strftime(run_date, '%d') AS day
+        FROM (SELECT *, CAST(date_trunc('quarter', ingest_date) AS DATE) AS run_date FROM trials_raw)""",
+    "incremental_scan": f"""{_with(TRIALS_RAW)},
+        first AS (SELECT nct_id, last_update_post_date FROM trials_raw
+                  WHERE last_update_post_date >= CAST(DATE '2001-08-15' - 30 AS VARCHAR))
+        SELECT *, 1 AS scan FROM first
+        UNION ALL SELECT *, 2 FROM first
+        WHERE last_update_post_date >= (SELECT max(last_update_post_date) FROM first)""",
+    "json_envelope": f"""{_with(TRIALS_RAW)}
+        SELECT nct_id, coalesce(overall_status, 'Unknown status') AS overall_status, brief_title,
+          last_update_post_date, phase, enrollment_count, lead_sponsor_name, sex FROM trials_raw""",
+    "publish_counters": """
+        SELECT count(*) FILTER (WHERE event_type <> 'signup') AS sent,
+          count(*) FILTER (WHERE event_type = 'signup') AS failed,
+          count(*) FILTER (WHERE event_type <> 'signup') AS landed FROM events""",
+    "bronze_batch": f"""{_with(_GOOD_EVENTS)}
+        SELECT CAST(ts AS DATE) AS ingest_date, overall_status, count(*) AS n FROM good GROUP BY ALL""",
+    "bronze_compacted": f"""{_with(_GOOD_EVENTS)}
+        SELECT nct_id, overall_status, brief_title, last_update_post_date, raw, CAST(ts AS DATE) AS ingest_date
+        FROM good""",
+    "partition_arrival": """
+        SELECT d AS ingest_date,
+          EXISTS (SELECT 1 FROM events WHERE CAST(ts AS DATE) = d AND event_type NOT IN ('signup', 'error')) AS arrived
+        FROM (VALUES (DATE '2024-01-15'), (DATE '2024-02-15')) AS t(d)""",
+    "stream_bronze": f"""{_with(_GOOD_EVENTS)}
+        SELECT nct_id, overall_status, brief_title, last_update_post_date, raw, ts AS kafka_timestamp FROM good""",
+    "stream_rejects": """
+        SELECT CASE event_type WHEN 'error' THEN 'unparsable' ELSE 'no id' END AS reason, ts AS kafka_timestamp
+        FROM events WHERE event_type IN ('signup', 'error')""",
+    "stream_dedup": f"""{_with(_GOOD_EVENTS)}
+        SELECT nct_id, overall_status, brief_title, last_update_post_date, raw FROM good""",
+    "silver_upsert": f"{_with(VERSIONS_RAW, STG_VERSIONS)} SELECT * FROM stg_versions",
+    "condition_bridge": f"{_with(TRIALS_RAW, _STUDY_CONDITIONS)} SELECT * FROM names",
+    "condition_category": f"""{_with(CONDITIONS)},
+        words(word, category) AS (VALUES ('ring', 'cardiology'), ('bolt', 'oncology'), ('gear', 'neurology'),
+          ('widget', 'oncology'), ('small', 'respiratory')),
+        hits AS (SELECT p_name, min(category) AS category
+                 FROM (SELECT DISTINCT p_name, unnest(string_split(lower(p_name), ' ')) AS word FROM part)
+                 JOIN words USING (word) GROUP BY 1)
+        SELECT DISTINCT nct_id, condition_name, coalesce(category, 'other') AS condition_category
+        FROM conditions LEFT JOIN hits ON p_name = condition_name""",
+}
+
+
+# --- quality ---------------------------------------------------------------------------
+def _check(kind, column, evaluated, unexpected, mostly=1.0, severity="error", success=None) -> str:
+    """One result row over a table `t` already in scope."""
+    name = f"'{column}'" if column else "CAST(NULL AS VARCHAR)"
+    if success is None:
+        success = f"(e = 0 OR (CAST(e - u AS DOUBLE) / e >= {mostly}::DOUBLE))"
+    return f"""
+      SELECT '{kind}:{column or 'table'}' AS check_name, '{kind}' AS check_type, {name} AS column_name,
+        '{severity}' AS severity, n AS n_rows, e AS n_evaluated, u AS n_unexpected,
+        CASE WHEN e <> 0 THEN u * 100.0::DOUBLE / e END AS unexpected_pct,
+        {mostly}::DOUBLE AS threshold, {success} AS success
+      FROM (SELECT count(*) AS n, {evaluated} AS e, CAST({unexpected} AS BIGINT) AS u FROM t)"""
+
+
+_STATUSES = """('Recruiting', 'Completed', 'Terminated', 'Withdrawn', 'Active, not recruiting',
+  'Not yet recruiting', 'Enrolling by invitation', 'Suspended', 'Unknown status')"""
+_PHASES = """('phase 1', 'phase 2', 'phase 3', 'phase 4', 'phase 1/phase 2', 'phase 2/phase 3',
+  'early phase 1', 'n/a')"""
+_NOT_NULL = "expect_column_values_to_not_be_null"
+_IN_SET = "expect_column_values_to_be_in_set"
+_BETWEEN = "expect_column_values_to_be_between"
+
+
+def _nulls(column, mostly=1.0, severity="error"):
+    return _check(_NOT_NULL, column, "count(*)", _n(f"{column} IS NULL"), mostly, severity)
+
+
+_BRONZE_CHECKS = " UNION ALL ".join(
+    [
+        _check("expect_table_row_count_to_be_between", None, "CAST(1 AS BIGINT)",
+               "CASE WHEN count(*) BETWEEN 1 AND 1000000 THEN 0 ELSE 1 END", success="n BETWEEN 1 AND 1000000"),
+        _check("expect_column_to_exist", "nct_id", "CAST(1 AS BIGINT)", "0"),
+        _nulls("nct_id"),
+        _check("expect_column_values_to_match_regex", "nct_id", "count(nct_id)",
+               _n("NOT regexp_full_match(nct_id, 'NCT[0-9]{8}')"), 0.99),
+        _nulls("overall_status", 0.99),
+        _check(_IN_SET, "overall_status", "count(overall_status)", _n(f"overall_status NOT IN {_STATUSES}"), 0.95),
+        _nulls("ingest_date"),
+        _check(_BETWEEN, "enrollment_count", "count(enrollment_count)",
+               _n("enrollment_count IS NOT NULL AND NOT coalesce(try_cast(enrollment_count AS DOUBLE) "
+                  "BETWEEN 0 AND 1000000, false)"), 0.99),
+        _check("date_format", "last_update_post_date", "count(last_update_post_date)",
+               _n("NOT regexp_full_match(last_update_post_date, '[0-9]{4}-[0-9]{2}-[0-9]{2}')"), 0.99, "warn"),
+    ]
+)
+
+_UNIQUE_ROWS = "(SELECT coalesce(sum(k), 0) FROM (SELECT count(*) AS k FROM t WHERE nct_id IS NOT NULL GROUP BY nct_id) WHERE k > 1)"
+_UNIQUE_KEYS = "(SELECT count(*) FROM (SELECT 1 FROM t WHERE nct_id IS NOT NULL GROUP BY nct_id HAVING count(*) > 1))"
+
+
+def _over(source: str, *selects: str) -> str:
+    return f"SELECT * FROM (WITH t AS (SELECT * FROM {source}) {' UNION ALL '.join(selects)})"
+
+
+def _tests(model: str, source: str, *selects: str) -> str:
+    return f"""SELECT '{model}' AS model, check_name, severity, n_unexpected AS n_failures, success
+      FROM ({_over(source, *selects)})"""
+
+
+ORACLES |= {
+    "bronze_suite": f"{_with(TRIALS_RAW)} {_over('trials_raw', _BRONZE_CHECKS)}",
+    "silver_suite": f"""{_with(TRIALS_RAW, STG, CONDITIONS)}
+        {_over('stg', _nulls('nct_id'),
+               _check('unique', 'nct_id', 'count(nct_id)', _UNIQUE_ROWS),
+               _check(_IN_SET, 'phase', 'count(phase)', _n(f'phase NOT IN {_PHASES}')))}
+        UNION ALL
+        {_over('conditions', _nulls('nct_id'),
+               _check('referential_integrity', 'nct_id', 'count(nct_id)',
+                      _n('nct_id NOT IN (SELECT nct_id FROM stg)')))}""",
+    "model_tests": f"""{_with(TRIALS_RAW, VERSIONS_RAW, STG, CONDITIONS, JOINED)},
+        mart AS (SELECT {_MART_KEYS}, {_MART_AGG} FROM joined GROUP BY ALL)
+        {_tests('trials_raw', 'versions_raw', _nulls('nct_id'),
+                _check('unique', 'nct_id', 'count(nct_id)', _UNIQUE_KEYS, severity='warn'),
+                _nulls('overall_status'),
+                _check(_IN_SET, 'overall_status', 'count(overall_status)', _n(f'overall_status NOT IN {_STATUSES}')))}
+        UNION ALL
+        {_tests('stg_trials', 'stg', _nulls('nct_id'),
+                _check('unique', 'nct_id', 'count(nct_id)', _UNIQUE_KEYS), _nulls('overall_status'),
+                _check(_IN_SET, 'phase', 'count(phase)', _n(f'phase NOT IN {_PHASES}')),
+                _nulls('enrollment_count', severity='warn'),
+                _check(_BETWEEN, 'enrollment_count', 'count(enrollment_count)',
+                       _n('enrollment_count NOT BETWEEN 0 AND 1000000')))}
+        UNION ALL
+        {_tests('trial_enrollment_mart', 'mart', _nulls('trial_count'),
+                _check(_BETWEEN, 'trial_count', 'count(trial_count)', _n('trial_count < 0')),
+                _check(_BETWEEN, 'completion_rate_pct', 'count(completion_rate_pct)',
+                       _n('completion_rate_pct NOT BETWEEN 0 AND 100')))}""",
+    "ri_violations": f"""
+        SELECT {_id('o_orderkey')} AS nct_id FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey = o_orderkey)""",
+    "volume_anomaly": """
+        WITH days AS (SELECT CAST(unnest(generate_series(CAST(min(ts) AS DATE), CAST(max(ts) AS DATE),
+                        INTERVAL 1 DAY)) AS DATE) AS day FROM events),
+        daily AS (SELECT day, count(event_id) AS n FROM days LEFT JOIN events ON CAST(ts AS DATE) = day GROUP BY day),
+        base AS (SELECT day, n, avg(n) OVER w AS mean, stddev_samp(n) OVER w AS spread FROM daily
+                 WINDOW w AS (ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))
+        SELECT day, n, round(mean, 6) AS mean, round(spread, 6) AS spread,
+          coalesce(abs(n - mean) > 1.5 * spread, false) AS is_anomaly FROM base""",
+    "freshness": """
+        SELECT max(ts) AS newest, datesub('second', max(ts), TIMESTAMP '2024-02-01') AS age_seconds,
+          CAST(86400 AS BIGINT) AS limit_seconds,
+          datesub('second', max(ts), TIMESTAMP '2024-02-01') <= 86400 AS success FROM events""",
+}
+
+
+# --- features, layout, whole run ----------------------------------------------------------
+_TRIAL_FEATURES = f"""
+bridge AS (
+  SELECT nct_id, min(condition_category) AS condition_category, count(*) AS n_conditions,
+    count(DISTINCT condition_category) AS n_categories FROM conditions GROUP BY nct_id
+),
+feats AS (
+  SELECT nct_id, coalesce(phase, 'unknown') AS phase,
+    coalesce(lead_sponsor_class, 'unknown') AS lead_sponsor_class,
+    coalesce(location_country, 'unknown') AS location_country,
+    least(coalesce(enrollment_count, 0), 100000) AS enrollment_count,
+    CAST(coalesce(date_diff('day', start_date, coalesce(completion_date, {AS_OF})), 365) AS INTEGER)
+      AS study_duration_days,
+    coalesce(sex, 'unknown') AS sex, coalesce(healthy_volunteers, 'unknown') AS healthy_volunteers,
+    coalesce(condition_category, 'unknown') AS condition_category,
+    coalesce(n_conditions, 0) AS n_conditions, coalesce(n_categories, 0) AS n_categories,
+    CASE WHEN location_country IS NOT NULL THEN 1 ELSE 0 END AS n_countries,
+    CASE WHEN overall_status = 'completed' THEN 1 ELSE 0 END AS is_completed
+  FROM stg LEFT JOIN bridge USING (nct_id)
+  WHERE overall_status IN ('completed', 'terminated', 'withdrawn')
+)"""
+_FEATS = _with(TRIALS_RAW, STG, CONDITIONS, _TRIAL_FEATURES)
+
+
+def _code(column: str) -> str:
+    return f"CAST(dense_rank() OVER (ORDER BY {column}) - 1 AS INTEGER) AS {column}"
+
+
+ORACLES |= {
+    "mart_features": f"""{_ALL},
+        mart AS (SELECT {_MART_KEYS}, {_MART_AGG} FROM joined GROUP BY ALL)
+        SELECT coalesce(phase, 'unknown') AS phase, condition_category,
+          coalesce(lead_sponsor_class, 'unknown') AS lead_sponsor_class,
+          coalesce(location_country, 'unknown') AS location_country,
+          least(avg_enrollment, 100000) AS enrollment_count, avg_duration_days AS study_duration_days,
+          'all' AS sex, 'no' AS healthy_volunteers,
+          CASE WHEN completion_rate_pct > 50 THEN 1 ELSE 0 END AS is_completed
+        FROM mart WHERE avg_enrollment IS NOT NULL AND avg_duration_days IS NOT NULL""",
+    "trial_features": f"{_FEATS} SELECT * FROM feats",
+    "feature_matrix": f"""{_FEATS}
+        SELECT nct_id, {_code('phase')}, {_code('lead_sponsor_class')}, {_code('location_country')},
+          enrollment_count, study_duration_days, {_code('sex')}, {_code('healthy_volunteers')},
+          {_code('condition_category')}, n_conditions, n_categories, n_countries, is_completed FROM feats""",
+    "stratified_split": f"""{_FEATS}
+        SELECT nct_id, is_completed,
+          row_number() OVER (PARTITION BY is_completed ORDER BY md5(nct_id || '|42'))
+            <= count(*) OVER (PARTITION BY is_completed)
+               - floor(count(*) OVER (PARTITION BY is_completed) * 0.2 + 0.5) AS is_train
+        FROM feats""",
+    "balanced_weights": f"""{_FEATS}
+        SELECT is_completed, count(*) AS n,
+          round((SELECT count(*) FROM feats) / (2.0::DOUBLE * count(*)), 9) AS weight FROM feats GROUP BY 1""",
+    "warehouse_layout": f"{_TRIALS} SELECT {_SILVER} FROM stg",
+    "medallion_run": f"""{_with(
+        TRIALS_RAW.replace("trials_raw AS", "spoilt AS"),
+        "trials_raw AS (SELECT * REPLACE (coalesce(overall_status, 'Unknown status') AS overall_status) FROM spoilt)",
+        STG,
+        _STUDY_CONDITIONS,
+        """conditions AS (SELECT nct_id, condition_name, CASE lower(trim(condition_name))
+             WHEN 'yes' THEN 'endocrinology' WHEN 'household' THEN 'oncology' WHEN 'machinery' THEN 'cardiology'
+             ELSE 'other' END AS condition_category FROM names)""",
+        JOINED,
+    )} SELECT {_MART_KEYS}, {_MART_AGG} FROM joined GROUP BY ALL""",
+}

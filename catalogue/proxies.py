@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = "2003-01-01"
-EVENTS_AS_OF = "2024-02-01"
+RUN_DAY = "2001-08-15"
 
 # Condition keywords for the nouns the part names are made of.
 NOUN_KEYWORDS = {
@@ -21,6 +21,8 @@ NOUN_KEYWORDS = {
     "widget": "oncology",
     "small": "respiratory",
 }
+# Condition keywords for the words the studies' condition arrays hold.
+WORD_KEYWORDS = {"yes": "endocrinology", "household": "oncology", "machinery": "cardiology"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,9 +105,8 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def versions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def versions_raw(events: DataFrame) -> DataFrame:
     """Many untyped versions per trial: one per event, the user as the trial."""
-    events = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     user = F.col("user_id")
     kind = F.col("event_type")
@@ -151,7 +152,10 @@ def versions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One nested study per order, as the registry nests it (column `study`)."""
+    """One nested study per order, as the registry nests it (column `study`).
+
+    The quarter of its update stands for the run it came in with.
+    """
     flat = trials_raw(spark, sf_dir)
 
     def box(name):
@@ -198,7 +202,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return flat.select(
         F.struct(protocol.alias("protocolSection")).alias("study"),
-        F.col("ingest_date").alias("run_date"),
+        F.trunc("ingest_date", "quarter").alias("run_date"),
     )
 
 
@@ -228,7 +232,7 @@ def versions_bus(spark: SparkSession, sf_dir: str, stream: bool = False) -> Data
         )
     )
     return events.select(
-        registry_id(F.col("user_id")).alias("key"),
+        F.when(kind != "signup", registry_id(F.col("user_id"))).alias("key"),
         F.when(kind == "error", F.concat(F.lit("{"), body)).otherwise(body).alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )

@@ -2,15 +2,30 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import proxies as P
+from cohortmill import streaming
 from cohortmill.functions import clean_phase
-from cohortmill.operators import marts, reports, staging
-from cohortmill.session import prepare
+from cohortmill.operators import (
+    checks,
+    conditions,
+    envelope,
+    features,
+    learn,
+    marts,
+    monitor,
+    reports,
+    staging,
+)
+from cohortmill.plans import medallion
+from cohortmill.session import prepare, scratch
+from cohortmill.sources import archive, bus, mark, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -42,7 +57,7 @@ def latest_version(spark, sf_dir):
 
 @query
 def stg_trials_dedup(spark, sf_dir):
-    return staging.stage_trials(P.versions_raw(spark, sf_dir))
+    return staging.stage_trials(P.versions_raw(P.table(spark, sf_dir, "events")))
 
 
 @query
@@ -57,7 +72,7 @@ def stg_sponsors(spark, sf_dir):
 
 @query
 def clean_phase_dist(spark, sf_dir):
-    raw = P.versions_raw(spark, sf_dir)
+    raw = P.versions_raw(P.table(spark, sf_dir, "events"))
     return (
         raw.select(F.col("phase").alias("raw_phase"), clean_phase(F.col("phase")).alias("phase"))
         .groupBy("raw_phase", "phase")
@@ -131,3 +146,368 @@ def geo_gaps(spark, sf_dir):
         category="condition_name",
         min_trials=30,
     )
+
+
+# --- raw archive, incremental scan, messages ------------------------------------
+@query
+def raw_archive_scan(spark, sf_dir):
+    """Studies written to the archive by run day and read back."""
+    path = scratch(spark, "archive")
+    archive.write_archive(P.studies(spark, sf_dir), path)
+    rows = archive.read_archive(spark, path)
+    flat = envelope.flatten_studies(rows, keep=["run_date", "year", "month", "day"])
+    return flat.select(
+        "nct_id",
+        "overall_status",
+        "brief_title",
+        "phase",
+        "enrollment_count",
+        "lead_sponsor_class",
+        "location_country",
+        "run_date",
+        "year",
+        "month",
+        "day",
+    )
+
+
+@query
+def incremental_scan(spark, sf_dir):
+    """Two scans: from the default mark, then from the mark the first one left."""
+    path = scratch(spark, "mark")
+    run_day = dt.date.fromisoformat(P.RUN_DAY)
+    records = P.trials_raw(spark, sf_dir).select("nct_id", "last_update_post_date")
+    first = mark.updated_since(records, mark.read_mark(spark, path, run_day))
+    newest = first.agg(F.max("last_update_post_date").try_cast("date")).first()[0]
+    mark.write_mark(spark, path, run_day, newest)
+    second = mark.updated_since(records, mark.read_mark(spark, path, run_day))
+    return first.withColumn("scan", F.lit(1)).unionByName(second.withColumn("scan", F.lit(2)))
+
+
+@query
+def json_envelope(spark, sf_dir):
+    """Study -> message text -> parsed message, with fields of the study inside."""
+    messages = envelope.to_messages(P.studies(spark, sf_dir)).withColumn(
+        "timestamp", F.current_timestamp()
+    )
+    bronze = envelope.accepted(envelope.parse_messages(messages))
+    raw = envelope.bronze_to_raw_trials(bronze)
+    return raw.select(
+        "nct_id",
+        "overall_status",
+        "brief_title",
+        "last_update_post_date",
+        "phase",
+        "enrollment_count",
+        "lead_sponsor_name",
+        "sex",
+    )
+
+
+@query
+def publish_counters(spark, sf_dir):
+    """Messages dropped for the bus: sent and failed, and how many arrived."""
+    path = scratch(spark, "drop")
+    sent = bus.publish(P.versions_bus(spark, sf_dir), path)
+    landed = bus.read_drop(spark, path, stream=False)
+    return landed.agg(F.count("*").alias("landed")).select(
+        F.lit(sent["sent"]).cast("bigint").alias("sent"),
+        F.lit(sent["failed"]).cast("bigint").alias("failed"),
+        "landed",
+    )
+
+
+def land_bronze(spark, sf_dir) -> str:
+    """A batch of bronze, landed under the days its messages are from."""
+    path = scratch(spark, "bronze")
+    parsed = envelope.parse_messages(P.versions_bus(spark, sf_dir), at=F.col("timestamp"))
+    tables.append_bronze(envelope.accepted(parsed), path)
+    return path
+
+
+@query
+def bronze_batch(spark, sf_dir):
+    bronze = tables.read_bronze(spark, land_bronze(spark, sf_dir))
+    return bronze.groupBy("ingest_date", "overall_status").agg(F.count("*").alias("n"))
+
+
+@query
+def bronze_compacted(spark, sf_dir):
+    target = scratch(spark, "compacted")
+    tables.compact_days(
+        spark, land_bronze(spark, sf_dir), target, dt.date(1970, 1, 1), dt.date(2100, 1, 1)
+    )
+    return tables.read_bronze(spark, target).select(
+        "nct_id", "overall_status", "brief_title", "last_update_post_date", "raw", "ingest_date"
+    )
+
+
+@query
+def partition_arrival(spark, sf_dir):
+    bronze = tables.read_bronze(spark, land_bronze(spark, sf_dir))
+    days = [dt.date(2024, 1, 15), dt.date(2024, 2, 15)]
+    return reduce(DataFrame.unionByName, [tables.day_arrived(bronze, day) for day in days])
+
+
+# --- streams -----------------------------------------------------------------------
+@query
+def stream_bronze(spark, sf_dir):
+    """The bus as a stream into bronze, read back; restarted once, which adds nothing."""
+    path, checkpoint = scratch(spark, "bronze"), scratch(spark, "checkpoint")
+    for _ in range(2):
+        source = P.versions_bus(spark, sf_dir, stream=True)
+        streaming.start_bronze(source, path, checkpoint, once=True).awaitTermination()
+    return tables.read_bronze(spark, path).select(
+        "nct_id",
+        "overall_status",
+        "brief_title",
+        "last_update_post_date",
+        "raw",
+        F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp"),
+    )
+
+
+@query
+def stream_rejects(spark, sf_dir):
+    path, checkpoint = scratch(spark, "rejects"), scratch(spark, "checkpoint")
+    source = P.versions_bus(spark, sf_dir, stream=True)
+    streaming.start_rejects(source, path, checkpoint, once=True).awaitTermination()
+    return tables.read_table(spark, path).select(
+        "reason", F.col("kafka_timestamp").cast("timestamp_ntz").alias("kafka_timestamp")
+    )
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    """Every message delivered twice, in two drops; repeats left out by the stream."""
+    drop, path, checkpoint = (scratch(spark, n) for n in ("drop", "once", "checkpoint"))
+    for _ in range(2):
+        bus.publish(P.versions_bus(spark, sf_dir), drop)
+    parsed = envelope.accepted(
+        envelope.parse_messages(bus.read_drop(spark, drop, maxFilesPerTrigger="8"))
+    )
+    job = (
+        streaming.drop_repeats(parsed)
+        .writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    job.awaitTermination()
+    return tables.read_table(spark, path).select(
+        "nct_id", "overall_status", "brief_title", "last_update_post_date", "raw"
+    )
+
+
+@query
+def silver_upsert(spark, sf_dir):
+    """Versions arriving in four batches; silver holds the newest of each trial."""
+    events = P.table(spark, sf_dir, "events")
+    arrivals, path, checkpoint = (scratch(spark, n) for n in ("arrivals", "silver", "checkpoint"))
+    events.repartition(4).write.parquet(arrivals)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    trials = staging.standardize_trials(P.versions_raw(stream))
+    streaming.start_silver(trials, path, checkpoint, once=True, buckets=16).awaitTermination()
+    return streaming.read_silver(spark, path, trials.schema)
+
+
+# --- conditions ---------------------------------------------------------------------
+@query
+def condition_bridge(spark, sf_dir):
+    """One row per different element of the studies' condition arrays."""
+    flat = envelope.flatten_studies(P.studies(spark, sf_dir))
+    return conditions.explode_distinct(flat, "conditions", "condition_name", ["nct_id"])
+
+
+@query
+def condition_category(spark, sf_dir):
+    named = P.conditions(spark, sf_dir).select("nct_id", "condition_name").distinct()
+    return conditions.categorize(named, conditions.keyword_dictionary(spark, P.NOUN_KEYWORDS))
+
+
+# --- quality -------------------------------------------------------------------------
+@query
+def bronze_suite(spark, sf_dir):
+    return checks.run_suite(P.trials_raw(spark, sf_dir), checks.BRONZE_SUITE).drop("params")
+
+
+@query
+def silver_suite(spark, sf_dir):
+    trials = silver(spark, sf_dir)
+    bridge = checks.run_suite(
+        P.conditions(spark, sf_dir), checks.BRIDGE_SUITE, {"stg_trials": trials}
+    )
+    return checks.run_suite(trials, checks.SILVER_SUITE).unionByName(bridge).drop("params")
+
+
+@query
+def model_tests(spark, sf_dir):
+    trials = silver(spark, sf_dir)
+    results = checks.run_model_tests(
+        {
+            "trials_raw": P.versions_raw(P.table(spark, sf_dir, "events")),
+            "stg_trials": trials,
+            "trial_enrollment_mart": marts.enrollment_mart(
+                trials, P.conditions(spark, sf_dir), P.AS_OF
+            ),
+        }
+    )
+    return results.select(
+        "model",
+        "check_name",
+        "severity",
+        F.col("n_unexpected").alias("n_failures"),
+        "success",
+    )
+
+
+@query
+def ri_violations(spark, sf_dir):
+    """Trials without any condition."""
+    trials = P.trials_raw(spark, sf_dir).select("nct_id")
+    return checks.ri_violations(trials, P.conditions(spark, sf_dir), "nct_id")
+
+
+@query
+def volume_anomaly(spark, sf_dir):
+    days = monitor.daily_counts(P.table(spark, sf_dir, "events"), F.col("ts").cast("date"))
+    found = monitor.volume_anomaly(days, k=7, z=1.5)
+    return found.select(
+        "day",
+        "n",
+        F.round("mean", 6).alias("mean"),
+        F.round("spread", 6).alias("spread"),
+        "is_anomaly",
+    )
+
+
+@query
+def freshness(spark, sf_dir):
+    return monitor.freshness(
+        P.table(spark, sf_dir, "events"), "ts", dt.timedelta(days=1), dt.datetime(2024, 2, 1)
+    )
+
+
+# --- features and models ---------------------------------------------------------------
+def trial_rows(spark, sf_dir) -> DataFrame:
+    return features.fill_features(
+        features.trial_features(silver(spark, sf_dir), P.conditions(spark, sf_dir), P.AS_OF),
+        features.TRIAL_CATEGORICAL,
+    )
+
+
+@query
+def mart_features(spark, sf_dir):
+    mart = marts.enrollment_mart(silver(spark, sf_dir), P.conditions(spark, sf_dir), P.AS_OF)
+    return features.fill_features(features.mart_features(mart))
+
+
+@query
+def trial_features(spark, sf_dir):
+    return trial_rows(spark, sf_dir)
+
+
+@query
+def feature_matrix(spark, sf_dir):
+    path = scratch(spark, "features")
+    trial_rows(spark, sf_dir).write.parquet(f"{path}/rows")
+    rows = tables.read_table(spark, f"{path}/rows")
+    codes = features.write_label_codes(rows, features.TRIAL_CATEGORICAL, f"{path}/labels")
+    return features.encode_labels(rows, codes, features.TRIAL_CATEGORICAL)
+
+
+@query
+def stratified_split(spark, sf_dir):
+    rows = trial_rows(spark, sf_dir).select("nct_id", features.TARGET)
+    return features.stratified_split(rows, ["nct_id"], features.TARGET)
+
+
+@query
+def balanced_weights(spark, sf_dir):
+    rows = trial_rows(spark, sf_dir).select(features.TARGET)
+    return (
+        learn.balanced_weights(rows)
+        .groupBy(features.TARGET)
+        .agg(F.count("*").alias("n"), F.round(F.max("w"), 9).alias("weight"))
+    )
+
+
+_TRAINED: dict[tuple[str, str], tuple[str, DataFrame, set[str]]] = {}
+RUN_DATE = "2003-01-01"
+
+
+def trained(spark, sf_dir, *models: str) -> str:
+    """The folder that holds these models, each trained once per session and scale."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        coded = feature_matrix(spark, sf_dir)
+        split = features.stratified_split(coded, ["nct_id"], features.TARGET)
+        _TRAINED[key] = (scratch(spark, "learn"), split, set())
+    root, split, done = _TRAINED[key]
+    missing = {m: {} for m in models if m not in done}
+    if missing:
+        learn.train_models(split, features.TRIAL_FEATURES, root, RUN_DATE, ["nct_id"], missing)
+        done.update(missing)
+    return root
+
+
+def run_of(spark, sf_dir, model: str) -> DataFrame:
+    runs = learn.read_runs(spark, trained(spark, sf_dir, model))
+    return runs.filter(F.col("model_type") == model).select(
+        "model_type", "n_train", "n_test", "accuracy", "auc", "f1", "mae"
+    )
+
+
+@query
+def train_random_forest(spark, sf_dir):
+    return run_of(spark, sf_dir, "random_forest")
+
+
+@query
+def train_gradient_boosting(spark, sf_dir):
+    return run_of(spark, sf_dir, "gradient_boosting")
+
+
+@query
+def best_model(spark, sf_dir):
+    runs = learn.read_runs(spark, trained(spark, sf_dir, *learn.MODELS))
+    return learn.best_run(runs).select("model_type", "auc")
+
+
+@query
+def model_predictions(spark, sf_dir):
+    """The best model's test predictions, by way of the CSV they are handed on as."""
+    path = scratch(spark, "predictions")
+    tables.write_csv(learn.best_predictions(spark, trained(spark, sf_dir, *learn.MODELS), RUN_DATE), path)
+    schema = "nct_id string, predicted_completed int, completion_probability double, actual int"
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+@query
+def feature_importances(spark, sf_dir):
+    root = trained(spark, sf_dir, "random_forest")
+    model = learn.PipelineModel.load(f"{root}/models/random_forest/{RUN_DATE}")
+    return learn.importances(model, spark, features.TRIAL_FEATURES)
+
+
+# --- layout, whole run ---------------------------------------------------------------------
+@query
+def warehouse_layout(spark, sf_dir):
+    """Silver as a table bucketed by trial and sorted by completion, read back."""
+    path = scratch(spark, "warehouse")
+    table = f"trials_{path[-8:]}"
+    tables.write_clustered(silver(spark, sf_dir), table, path, buckets=8)
+    return spark.table(table)
+
+
+@query
+def medallion_run(spark, sf_dir):
+    """Studies -> archive -> bus -> bronze stream -> silver -> enrollment mart."""
+    layers = medallion.Layers(scratch(spark, "layers"))
+    medallion.ingest(spark, P.studies(spark, sf_dir), layers, dt.date(2002, 1, 1))
+    medallion.refine(
+        spark, layers, conditions.keyword_dictionary(spark, P.WORD_KEYWORDS), enforce=False
+    )
+    medallion.build_marts(spark, layers, P.AS_OF)
+    return tables.read_table(spark, layers.gold("trial_enrollment_mart"))

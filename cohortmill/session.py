@@ -14,6 +14,11 @@ RUNTIME_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
+    # State of a deduplicated stream grows with its watermark; keep it off the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -30,7 +35,8 @@ def build_session(app_name: str = "cohortmill", master: str | None = None, **con
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else has made."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
