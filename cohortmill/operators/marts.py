@@ -113,7 +113,7 @@ def trial_countries(trials: DataFrame, keep: list[str]) -> DataFrame:
     if "location_countries" in trials.columns:
         countries = F.array_distinct(
             F.coalesce(
-                F.transform("location_countries", F.trim),
+                F.transform("location_countries", lambda c: F.trim(c)),
                 F.array(F.col("location_country")),
             )
         )

@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import datetime as dt
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortmill.operators import conditions as C
+from cohortmill.operators import marts, reports
+
+D = dt.date
+AS_OF = "2024-01-01"
+TRIAL = (
+    "nct_id string, phase string, overall_status string, study_type string, lead_sponsor_name string, "
+    "lead_sponsor_class string, location_country string, enrollment_count int, start_date date, completion_date date"
+)
+BRIDGE = "nct_id string, condition_name string, condition_category string"
+
+
+def trial(nct_id, status="completed", enrolled=10, country="FR", phase="phase 1", sponsor="Acme",
+          start=D(2020, 1, 1), end=D(2020, 1, 11)):
+    return (nct_id, phase, status, "interventional", sponsor, "INDUSTRY", country, enrolled, start, end)
+
+
+@pytest.fixture
+def small(spark):
+    trials = spark.createDataFrame(
+        [
+            trial("A", enrolled=10),
+            trial("B", "terminated", enrolled=40, start=None),
+            trial("C", "recruiting", enrolled=None, end=None),
+            trial("D", None, enrolled=7, country="DE"),
+        ],
+        TRIAL,
+    )
+    bridge = spark.createDataFrame(
+        [("A", "x", "onco"), ("A", "y", "onco"), ("B", "x", "onco"), ("A", "z", "cardio"), ("Z", "x", "onco")],
+        BRIDGE,
+    )
+    return trials, bridge
+
+
+def by_group(df):
+    return {(r.condition_category, r.location_country): r for r in df.collect()}
+
+
+def test_condition_rows_weigh_sums_but_not_the_trial_count(small):
+    got = by_group(marts.enrollment_mart(*small, AS_OF))
+    onco = got[("onco", "FR")]
+    assert (onco.trial_count, onco.total_enrollment) == (2, 60)
+    assert (onco.avg_enrollment, onco.median_enrollment) == (20.0, 10.0)
+    assert onco.avg_duration_days == 10.0  # B has no start and is left out of this only
+    assert onco.completion_rate_pct == 200.0 / 3 and onco.termination_rate_pct == 100.0 / 3
+
+
+def test_trial_grain_counts_a_trial_once(small):
+    onco = by_group(marts.enrollment_mart(*small, AS_OF, grain="trial"))[("onco", "FR")]
+    assert (onco.trial_count, onco.total_enrollment, onco.median_enrollment) == (2, 50, 25.0)
+    assert onco.completion_rate_pct == 50.0
+
+
+def test_trials_without_condition_stay_under_null(small):
+    got = by_group(marts.enrollment_mart(*small, AS_OF))
+    alone = got[(None, "FR")]
+    assert (alone.trial_count, alone.total_enrollment, alone.avg_enrollment, alone.median_enrollment) == (
+        1, None, None, None,
+    )
+    assert alone.completion_rate_pct == 0.0 and alone.avg_duration_days == 1461.0
+    assert got[(None, "DE")].termination_rate_pct == 0.0
+    assert ("onco", None) not in got and len(got) == 4
+
+
+def test_mart_agrees_with_brute_force_under_a_hot_trial_and_a_hot_group(spark):
+    rng = random.Random(7)
+    trials = [
+        trial(f"T{i}", rng.choice(["completed", "terminated", None]), rng.choice([None, *range(9)]),
+              rng.choice(["FR", "FR", "FR", "DE"]), start=D(2020, 1, rng.randrange(1, 20)))
+        for i in range(60)
+    ]
+    # Trial T0 holds a third of all conditions.
+    bridge = {(f"T{rng.randrange(60)}", f"n{rng.randrange(40)}", rng.choice("ab")) for _ in range(200)}
+    bridge |= {("T0", f"m{i}", rng.choice("ab")) for i in range(100)}
+    got = marts.enrollment_mart(
+        spark.createDataFrame(trials, TRIAL), spark.createDataFrame(sorted(bridge), BRIDGE), AS_OF
+    )
+    joined = {}
+    for t in trials:
+        for category in [c for i, _, c in bridge if i == t[0]] or [None]:
+            joined.setdefault((category, t[6]), []).append(t)
+    assert {(r.condition_category, r.location_country) for r in got.collect()} == set(joined)
+    for r in got.collect():
+        ts = joined[(r.condition_category, r.location_country)]
+        enrolled = [t[7] for t in ts if t[7] is not None]
+        assert r.trial_count == len({t[0] for t in ts})
+        assert r.total_enrollment == (sum(enrolled) if enrolled else None)
+        assert r.median_enrollment == (statistics.median(enrolled) if enrolled else None)
+        assert r.avg_duration_days == pytest.approx(sum((t[9] - t[8]).days for t in ts) / len(ts))
+        assert r.completion_rate_pct == pytest.approx(100 * sum(t[2] == "completed" for t in ts) / len(ts))
+
+
+def test_mart_needs_one_shuffle_on_its_keys_and_none_for_distinct(small, plan):
+    text = plan(marts.enrollment_mart(*small, AS_OF))
+    assert text.count("Exchange hashpartitioning(phase") == 1
+    assert "Expand" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_phase_outcomes(small):
+    (r,) = marts.phase_outcomes_mart(small[0]).collect()
+    assert (r.trial_count, r.completed_count, r.terminated_count, r.withdrawn_count) == (4, 1, 1, 0)
+    assert (r.completion_rate_pct, r.termination_rate_pct, r.suspension_rate_pct) == (25.0, 25.0, 0.0)
+
+
+def test_sponsor_activity_counts_countries_and_closed_trials(small):
+    (r,) = marts.sponsor_activity_mart(small[0]).collect()
+    assert (r.trial_count, r.country_count, r.total_enrollment) == (4, 2, 57)
+    assert (r.completion_rate_pct, r.success_rate_pct) == (25.0, 50.0)
+
+
+def test_sponsor_activity_over_country_arrays(spark):
+    trials = spark.createDataFrame([trial("A", enrolled=5), trial("B", enrolled=6), trial("C", enrolled=7)], TRIAL)
+    arrays = {"A": ["FR", " DE", "FR"], "B": [], "C": ["DE"]}
+    many = trials.withColumn(
+        "location_countries",
+        F.from_json(F.create_map(*(F.lit(x) for k, v in arrays.items() for x in (k, str(v).replace("'", '"'))))[
+            F.col("nct_id")], "array<string>"),
+    )
+    (r,) = marts.sponsor_activity_mart(many).collect()
+    assert (r.trial_count, r.country_count, r.total_enrollment) == (3, 2, 18)
+    got = {r.country: (r.trial_count, r.total_enrollment) for r in reports.trials_by_country(many).collect()}
+    assert got == {"FR": (1, 5), "DE": (2, 12)}
+
+
+def test_dropout_ranks_areas_and_breaks_ties_by_name(spark):
+    trials = spark.createDataFrame([trial("A", "terminated"), trial("B"), trial("C", "terminated")], TRIAL)
+    bridge = spark.createDataFrame(
+        [("A", "x", "b"), ("A", "y", "b"), ("B", "x", "b"), ("C", "x", "a"), ("A", "x", "c")], BRIDGE
+    )
+    got = [(r.condition_category, r.dropout_rate_pct) for r in reports.dropout_by_area(trials, bridge, 2).collect()]
+    assert got == [("a", 100.0), ("c", 100.0)]
+
+
+def test_timeline_and_design(small, rows):
+    (r,) = reports.timeline_percentiles(small[0], AS_OF).collect()
+    assert (r.trial_count, r.p25_days, r.p50_days, r.p75_days) == (3, 10.0, 10.0, 735.5)
+    (d,) = reports.design_completion(small[0], AS_OF).collect()
+    assert (d.study_type, d.phase, d.completion_rate_pct) == ("interventional", "phase 1", 25.0)
+
+
+def test_geo_gaps_expect_the_region_a_category_is_active_in(spark, rows):
+    trials = spark.createDataFrame([trial("A", country="FR"), trial("B", country="US"), trial("C", country=None)], TRIAL)
+    bridge = spark.createDataFrame([("A", "x", "onco"), ("A", "y", "onco"), ("B", "x", "cardio"), ("C", "x", "onco")], BRIDGE)
+    places = spark.createDataFrame(
+        [("FR", "EU"), ("DE", "EU"), ("US", "AM"), ("CA", "AM")], "country string, region string"
+    )
+    assert rows(reports.geo_gaps(trials, bridge, places)) == [
+        ("cardio", "AM", "CA", 0), ("onco", "EU", "DE", 0),
+    ]
+    few = reports.geo_gaps(trials, bridge, places, min_trials=2)
+    assert ("onco", "EU", "FR", 1) in rows(few)
+
+
+def test_categorize(spark, rows):
+    names = spark.createDataFrame(
+        [("A", "Breast Cancer"), ("B", "heart attack, cancer"), ("C", "Broken toe"), ("D", None), ("E", "CANCER")],
+        "nct_id string, condition_name string",
+    )
+    got = rows(C.categorize(names, C.keyword_dictionary(spark)), "nct_id", "condition_category")
+    assert got == [("A", "oncology"), ("B", "cardiology"), ("C", "other"), ("D", None), ("E", "oncology")]
+
+
+def test_explode_distinct_keeps_rows_without_elements_and_does_not_shuffle(spark, rows, plan):
+    df = spark.createDataFrame(
+        [("A", ["x", "y", "x"]), ("B", []), ("C", None)], "nct_id string, conditions array<string>"
+    )
+    got = C.explode_distinct(df, "conditions", "condition_name", ["nct_id"])
+    assert rows(got) == [("A", "x"), ("A", "y"), ("B", None), ("C", None)]
+    assert "Exchange" not in plan(got)

@@ -1,0 +1,98 @@
+"""Whole runs over a few studies: increments, gates, training."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortmill.operators import learn
+from cohortmill.operators.checks import QualityError
+from cohortmill.plans import medallion
+from cohortmill.schemas import RAW_STUDY
+from cohortmill.session import scratch
+from cohortmill.sources import mark, tables
+
+
+def study(i, status, updated, phase="Phase 1", count="10", conditions=("Asthma",)):
+    return {
+        "protocolSection": {
+            "identificationModule": {"nctId": f"NCT{i:08d}"} if i is not None else {},
+            "statusModule": {
+                "overallStatus": status,
+                "startDateStruct": {"date": "2023-01-01"},
+                "completionDateStruct": {"date": "2023-03-01"},
+                "lastUpdatePostDateStruct": {"date": updated},
+            },
+            "designModule": {"phases": [phase], "enrollmentInfo": {"count": count}},
+            "conditionsModule": {"conditions": list(conditions)},
+            "sponsorCollaboratorsModule": {"leadSponsor": {"name": "Acme", "class": "INDUSTRY"}},
+            "contactsLocationsModule": {"locations": [{"country": "France"}]},
+        }
+    }
+
+
+def nested(spark, studies, day):
+    texts = spark.createDataFrame([(json.dumps(s),) for s in studies], "t string")
+    return texts.select(F.from_json("t", RAW_STUDY).alias("study"), F.lit(day).alias("run_date"))
+
+
+def test_two_runs_carry_updates_and_quarantine_nameless_studies(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day1, day2 = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
+    first = [study(1, "Recruiting", "2024-01-05"), study(2, "Completed", "2024-01-09"), study(None, "Recruiting", "2024-01-09")]
+    assert medallion.ingest(spark, nested(spark, first, day1), layers, day1) == {"archived": 3, "sent": 2, "failed": 1}
+    assert mark.read_mark(spark, layers.mark, day2) == dt.date(2024, 1, 9)
+    assert spark.read.json(layers.unroutable).count() == 1
+
+    # The registry as it is a day later: one change, one new study; study 2 is read again.
+    second = [study(1, "Terminated", "2024-01-10", conditions=("HIV", "Toe")), study(2, "Completed", "2024-01-09"),
+              study(3, "Completed", "2024-01-10"), study(4, "Completed", "2024-01-01")]
+    assert medallion.ingest(spark, nested(spark, second, day2), layers, day2)["archived"] == 3
+    assert tables.read_bronze(spark, layers.bronze).count() == 5
+
+    medallion.refine(spark, layers)
+    silver = {r.nct_id[-1]: r.overall_status for r in tables.read_table(spark, layers.trials).collect()}
+    assert silver == {"1": "terminated", "2": "completed", "3": "completed"}
+    bridge = sorted((r.nct_id[-1], r.condition_category) for r in tables.read_table(spark, layers.conditions).collect())
+    assert bridge == [("1", "infectious disease"), ("1", "other"), ("2", "respiratory"), ("3", "respiratory")]
+
+    medallion.build_marts(spark, layers, "2024-02-01")
+    mart = {r.condition_category: r for r in tables.read_table(spark, layers.gold("trial_enrollment_mart")).collect()}
+    assert mart["respiratory"].trial_count == 2 and mart["other"].termination_rate_pct == 100.0
+    assert mart["respiratory"].avg_duration_days == 59.0
+    outcomes = tables.read_table(spark, layers.gold("phase_outcomes_mart")).first()
+    assert (outcomes.trial_count, outcomes.completed_count) == (3, 2)
+
+    assert medallion.ingest(spark, nested(spark, [study(2, "Completed", "2024-01-01")], day2), layers, day2) == {
+        "archived": 0, "sent": 0, "failed": 0,
+    }
+
+
+def test_a_bad_bronze_stops_the_run_before_silver(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    medallion.ingest(spark, nested(spark, [study(1, "No such status", "2024-01-05")], day), layers, day)
+    with pytest.raises(QualityError) as caught:
+        medallion.refine(spark, layers)
+    assert caught.value.failed == ["expect_column_values_to_be_in_set"]
+    assert tables.read_table(spark, f"{layers.quality}/bronze_suite").filter("NOT success").count() == 1
+
+
+def test_retrain(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    rng = random.Random(0)
+    studies = [
+        study(i, rng.choice(["Completed", "Terminated"]), "2024-01-05", rng.choice(["Phase 1", "Phase 2"]), str(rng.randrange(99)))
+        for i in range(120)
+    ]
+    medallion.ingest(spark, nested(spark, studies, day), layers, day)
+    medallion.refine(spark, layers)
+    medallion.build_marts(spark, layers, "2024-02-01")
+    runs = medallion.retrain(spark, layers, "2024-01-10", "2024-02-01", {"random_forest": {"numTrees": 3, "maxDepth": 2}})
+    assert [r.model_type for r in runs.collect()] == ["random_forest"]
+    assert learn.best_predictions(spark, layers.learn, "2024-01-10").count() == runs.first().n_test

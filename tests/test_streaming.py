@@ -1,0 +1,120 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from cohortmill import streaming
+from cohortmill.operators import envelope, staging
+from cohortmill.session import scratch
+from cohortmill.sources import bus, tables
+
+VERSION = "nct_id string, last_update_post_date date, ingest_timestamp timestamp, status string"
+
+
+def message(i, status="Recruiting", key=True):
+    body = {"nctId": f"N{i}", "overallStatus": status, "briefTitle": f"t{i}", "lastUpdatePostDate": "2024-01-02"}
+    return (f"N{i}" if key else None, json.dumps(body))
+
+
+def drop(spark, path, messages):
+    return bus.publish(spark.createDataFrame(messages, "key string, value string"), path)
+
+
+def run(job):
+    job.awaitTermination()
+    assert job.exception() is None
+
+
+def test_stream_equals_batch_and_a_restart_adds_nothing(spark, rows):
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "bronze", "cp"))
+    drop(spark, inbox, [message(1), message(2, None), ("x", "not json"), ("y", "{}")])
+    columns = ["nct_id", "overall_status", "brief_title", "last_update_post_date", "raw", "kafka_timestamp"]
+    for _ in range(2):
+        run(streaming.start_bronze(bus.read_drop(spark, inbox), path, checkpoint, once=True))
+        batch = envelope.accepted(envelope.parse_messages(bus.read_drop(spark, inbox, stream=False)))
+        assert rows(tables.read_bronze(spark, path), *columns) == rows(batch, *columns)
+    drop(spark, inbox, [message(3, "Completed")])
+    run(streaming.start_bronze(bus.read_drop(spark, inbox), path, checkpoint, once=True))
+    assert rows(tables.read_bronze(spark, path), "nct_id", "overall_status") == [
+        ("N1", "Recruiting"), ("N2", None), ("N3", "Completed"),
+    ]
+
+
+def test_rejects_stream(spark, rows):
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "rejects", "cp"))
+    drop(spark, inbox, [message(1), ("x", "not json"), ("y", "{}")])
+    run(streaming.start_rejects(bus.read_drop(spark, inbox), path, checkpoint, once=True))
+    assert rows(tables.read_table(spark, path), "value", "reason") == [("not json", "unparsable"), ("{}", "no id")]
+
+
+def test_repeats_are_dropped_across_batches(spark, rows):
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "once", "cp"))
+    for messages in ([message(1), message(1), message(2)], [message(1), message(1, "Completed")]):
+        drop(spark, inbox, messages)
+        parsed = envelope.accepted(envelope.parse_messages(bus.read_drop(spark, inbox)))
+        run(
+            streaming.drop_repeats(parsed)
+            .writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+    assert rows(tables.read_table(spark, path), "nct_id", "overall_status") == [
+        ("N1", "Completed"), ("N1", "Recruiting"), ("N2", "Recruiting"),
+    ]
+
+
+def versions(spark, *records):
+    at = dt.datetime(2024, 1, 1)
+    return spark.createDataFrame([(k, dt.date(2024, 1, d), at, s) for k, d, s in records], VERSION)
+
+
+def current(spark, path, schema):
+    return sorted((r.nct_id, r.status) for r in streaming.read_silver(spark, path, schema).collect())
+
+
+def test_upsert_keeps_the_newest_version_whatever_the_order(spark):
+    path = scratch(spark, "silver")
+    first = versions(spark, ("A", 5, "a5"), ("A", 3, "a3"), ("B", 1, "b1"))
+    streaming.upsert_silver(first, 0, path, buckets=4)
+    assert current(spark, path, first.schema) == [("A", "a5"), ("B", "b1")]
+    streaming.upsert_silver(versions(spark, ("A", 4, "a4"), ("B", 2, "b2"), ("C", 1, "c1")), 1, path, buckets=4)
+    assert current(spark, path, first.schema) == [("A", "a5"), ("B", "b2"), ("C", "c1")]
+
+
+def test_a_repeated_or_half_done_batch_changes_nothing(spark):
+    path = scratch(spark, "silver")
+    first, second = versions(spark, ("A", 1, "a1"), ("B", 1, "b1")), versions(spark, ("A", 2, "a2"))
+    streaming.upsert_silver(first, 0, path, buckets=4)
+    streaming.upsert_silver(second, 1, path, buckets=4)
+    streaming.upsert_silver(second, 1, path, buckets=4)
+    assert current(spark, path, first.schema) == [("A", "a2"), ("B", "b1")]
+    # Data without a commit row: readers do not see it.
+    versions(spark, ("A", 9, "a9")).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(
+        f"{path}/data/version=2"
+    )
+    assert current(spark, path, first.schema) == [("A", "a2"), ("B", "b1")]
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    path = scratch(spark, "silver")
+    streaming.upsert_silver(versions(spark, *((f"K{i}", 1, "x") for i in range(50))), 0, path, buckets=8)
+    streaming.upsert_silver(versions(spark, ("K1", 2, "y")), 1, path, buckets=8)
+    written = spark.read.parquet(f"{path}/commits").filter("version = 1")
+    assert written.count() == 1
+    assert len(current(spark, path, versions(spark, ("K", 1, "x")).schema)) == 50
+
+
+def test_empty_batch_and_empty_table(spark):
+    path = scratch(spark, "silver")
+    none = versions(spark, ("A", 1, "a")).limit(0)
+    streaming.upsert_silver(none, 0, path)
+    assert current(spark, path, none.schema) == []
+
+
+def test_silver_stream_equals_batch_staging(spark, rows, sf_dir):
+    from catalogue import proxies as P
+    from catalogue.queries import QUERIES
+
+    batch = staging.stage_trials(P.versions_raw(P.table(spark, sf_dir, "events")))
+    assert rows(QUERIES["silver_upsert"](spark, sf_dir)) == rows(batch)
