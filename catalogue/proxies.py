@@ -96,12 +96,13 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem, part = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
     return (
         lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+        .select("l_orderkey", "p_name", "p_type")
+        .distinct()
         .select(
             registry_id(F.col("l_orderkey")).alias("nct_id"),
             F.col("p_name").alias("condition_name"),
             F.col("p_type").alias("condition_category"),
         )
-        .distinct()
     )
 
 

@@ -39,6 +39,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` by way of a table, for operators that read their input several times."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return tables.read_table(df.sparkSession, path)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_trials(P.trials_raw(spark, sf_dir))
 
@@ -334,7 +341,7 @@ def bronze_suite(spark, sf_dir):
 
 @query
 def silver_suite(spark, sf_dir):
-    trials = silver(spark, sf_dir)
+    trials = stored(silver(spark, sf_dir), "trials")
     bridge = checks.run_suite(
         P.conditions(spark, sf_dir), checks.BRIDGE_SUITE, {"stg_trials": trials}
     )
@@ -343,7 +350,7 @@ def silver_suite(spark, sf_dir):
 
 @query
 def model_tests(spark, sf_dir):
-    trials = silver(spark, sf_dir)
+    trials = stored(silver(spark, sf_dir), "trials")
     results = checks.run_model_tests(
         {
             "trials_raw": P.versions_raw(P.table(spark, sf_dir, "events")),
@@ -410,16 +417,16 @@ def trial_features(spark, sf_dir):
 
 @query
 def feature_matrix(spark, sf_dir):
-    path = scratch(spark, "features")
-    trial_rows(spark, sf_dir).write.parquet(f"{path}/rows")
-    rows = tables.read_table(spark, f"{path}/rows")
-    codes = features.write_label_codes(rows, features.TRIAL_CATEGORICAL, f"{path}/labels")
+    rows = stored(trial_rows(spark, sf_dir), "features")
+    codes = features.write_label_codes(
+        rows, features.TRIAL_CATEGORICAL, scratch(spark, "labels")
+    )
     return features.encode_labels(rows, codes, features.TRIAL_CATEGORICAL)
 
 
 @query
 def stratified_split(spark, sf_dir):
-    rows = trial_rows(spark, sf_dir).select("nct_id", features.TARGET)
+    rows = stored(trial_rows(spark, sf_dir).select("nct_id", features.TARGET), "features")
     return features.stratified_split(rows, ["nct_id"], features.TARGET)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortmill.functions import clip_enrollment, fill_duration, text_or_unknown
+from cohortmill.operators.joins import measured
 from cohortmill.operators.marts import categories_per_trial, with_outcome
 from cohortmill.schemas import CLOSED_STATUSES
 
@@ -180,15 +181,14 @@ def stratified_split(
         .filter((F.col("before") < F.col("n_train")) & (F.col("n_train") <= F.col("before") + F.col("n")))
         .select(label, "prefix", (F.col("n_train") - F.col("before")).alias("rank"))
     )
-    # One row per label; a label is a class, and there are two.
     edge = (
-        coded.join(F.broadcast(cuts), [label, "prefix"])
+        coded.join(measured(cuts), [label, "prefix"])
         .withColumn("r", F.row_number().over(Window.partitionBy(label).orderBy("_digest")))
         .filter(F.col("r") == F.col("rank"))
         .select(label, F.col("_digest").alias("_last"))
     )
     return (
-        rows.join(F.broadcast(edge), label, "left")
+        rows.join(measured(edge), label, "left")
         .withColumn("is_train", F.coalesce(F.col("_digest") <= F.col("_last"), F.lit(False)))
         .drop("_digest", "_last")
     )

@@ -91,8 +91,8 @@ def geo_gaps(
     elsewhere in their region.
 
     `countries` lists (country, region); one region for all makes every country
-    expected for every category. Expected pairs come from an equi-join on the
-    region over already aggregated rows, never from the trials themselves.
+    expected for every category. The trials are read once, and a row per
+    (category, region) holds no more than the countries of that region.
     """
     seen = (
         trial_countries(trials, ["nct_id"])
@@ -104,15 +104,23 @@ def geo_gaps(
         .groupBy(category, "country")
         .agg(F.count("*").alias("trial_count"))
     )
-    expected = (
+    counts = F.collect_list(F.struct("country", "trial_count"))
+    active = (
         seen.join(countries, "country")
-        .select(category, "region")
-        .distinct()
-        .join(countries, "region")
+        .groupBy(category, "region")
+        .agg(F.map_from_entries(counts).alias("counts"))
     )
+    expected = countries.groupBy("region").agg(F.collect_set("country").alias("countries"))
     return (
-        expected.join(seen, [category, "country"], "left")
-        .withColumn("trial_count", F.coalesce("trial_count", F.lit(0).cast("bigint")))
+        active.join(expected, "region")
+        .select(category, "region", "counts", F.explode("countries").alias("country"))
+        .select(
+            category,
+            "region",
+            "country",
+            F.coalesce(F.try_element_at("counts", "country"), F.lit(0).cast("bigint")).alias(
+                "trial_count"
+            ),
+        )
         .filter(F.col("trial_count") < min_trials)
-        .select(category, "region", "country", "trial_count")
     )

@@ -127,6 +127,11 @@ def test_parse_accepts_and_rejects(spark, rows):
     ]
 
 
+def test_filtering_does_not_parse_twice(spark, plan):
+    accepted = envelope.accepted(envelope.parse_messages(on_bus(spark, "{}").repartition(2)))
+    assert plan(accepted).count("from_json") == 1
+
+
 def test_bronze_text_feeds_staging(spark, nested):
     messages = envelope.to_messages(nested(FULL)).withColumn("timestamp", F.current_timestamp())
     bronze = envelope.accepted(envelope.parse_messages(messages))

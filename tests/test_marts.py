@@ -161,15 +161,22 @@ def test_geo_gaps_expect_the_region_a_category_is_active_in(spark, rows):
     assert ("onco", "EU", "FR", 1) in rows(few)
 
 
-def test_categorize(spark, rows):
+@pytest.mark.parametrize("max_inline", [200, 0])
+def test_categorize(spark, rows, max_inline):
     names = spark.createDataFrame(
         [("A", "Breast Cancer"), ("B", "heart attack, cancer"), ("C", "Broken toe"), ("D", None), ("E", "CANCER")],
         "nct_id string, condition_name string",
     )
-    got = rows(C.categorize(names, C.keyword_dictionary(spark)), "nct_id", "condition_category")
+    found = C.categorize(names, C.keyword_dictionary(spark), max_inline=max_inline)
+    got = rows(found, "nct_id", "condition_category")
     assert got == [("A", "oncology"), ("B", "cardiology"), ("C", "other"), ("D", None), ("E", "oncology")]
 
 
+def test_a_small_dictionary_needs_no_shuffle(spark, plan):
+    names = spark.createDataFrame([("A", "Breast Cancer")], "nct_id string, condition_name string")
+    assert "Exchange" not in plan(C.categorize(names, C.keyword_dictionary(spark)))
+
+
 def test_explode_distinct_keeps_rows_without_elements_and_does_not_shuffle(spark, rows, plan):
     df = spark.createDataFrame(
         [("A", ["x", "y", "x"]), ("B", []), ("C", None)], "nct_id string, conditions array<string>"

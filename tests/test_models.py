@@ -8,6 +8,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from cohortmill.operators import features, learn
+from cohortmill.operators.joins import measured
 from cohortmill.session import scratch
 
 TRIAL = (
@@ -91,6 +92,17 @@ def test_split_is_exact_per_label_and_ignores_order(spark, rows, share):
     assert rows(other, "k", "is_train") != rows(got, "k", "is_train")
 
 
+def test_measured_broadcasts_only_up_to_its_limit(spark, plan):
+    big, small = spark.range(1000).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(measured(small, 5), "k"))
+        over = big.join(measured(small, 4), "k")
+        assert "SortMergeJoin" in plan(over) and over.count() == 5
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_metrics_agree_with_brute_force(spark):
     rng = random.Random(4)
     made = []
