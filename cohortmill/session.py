@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Exact percentiles aggregate in an object hash map. The default falls back to
+    # sorting every row of a task at its 129th group, which a mart passes at once.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     # State of a deduplicated stream grows with its watermark; keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -60,9 +63,3 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new, never used folder below the shared one."""
     return f"{shared_folder(spark).rstrip('/')}/cohortmill/{name}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df):
-    """Materialise `df` in the reliable checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

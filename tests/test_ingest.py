@@ -65,6 +65,8 @@ def test_wrapped_archive(spark, tmp_path):
         )
     got = archive.read_wrapped_archive(spark, str(tmp_path))
     assert sorted(r.run_date.day for r in got.collect()) == [1, 2, 2]
+    pages = [str(tmp_path / "2024" / "01" / d) for d in ("01", "02")]
+    assert archive.read_wrapped_archive(spark, pages).count() == 3
 
 
 def test_mark_defaults_moves_and_never_goes_back(spark):
@@ -84,6 +86,8 @@ def test_scan_from_the_mark_is_inclusive_for_text_and_dates(spark, rows):
     df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03")], "k string, last_update_post_date string")
     since = D(2024, 1, 2)
     assert rows(mark.updated_since(df, since), "k") == [("b",), ("c",)]
+    newest_last = mark.updated_since(df, since, ordered=True).collect()
+    assert [r.k for r in newest_last] == ["b", "c"]
     dated = df.withColumn("last_update_post_date", F.to_date("last_update_post_date"))
     assert rows(mark.updated_since(dated, since), "k") == [("b",), ("c",)]
 

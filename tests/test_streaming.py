@@ -100,11 +100,32 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     path = scratch(spark, "silver")
     streaming.upsert_silver(versions(spark, *((f"K{i}", 1, "x") for i in range(50))), 0, path, buckets=8)
     streaming.upsert_silver(versions(spark, ("K1", 2, "y")), 1, path, buckets=8)
-    written = spark.read.parquet(f"{path}/commits").filter("version = 1")
-    assert written.count() == 1
+    commits = spark.read.parquet(f"{path}/commits").filter("batch = 1")
+    assert commits.filter("version = 1").count() == 1 and commits.count() == 8
     assert len(current(spark, path, versions(spark, ("K", 1, "x")).schema)) == 50
 
 
+def test_the_commit_before_survives_a_lost_one(spark):
+    path = scratch(spark, "silver")
+    for i, status in enumerate("abcd"):
+        if i == 2:  # a batch without rows commits nothing
+            streaming.upsert_silver(versions(spark, ("A", 1, "-")).limit(0), i, path, buckets=2)
+        else:
+            streaming.upsert_silver(versions(spark, ("A", i + 1, status)), i, path, buckets=2)
+    schema = versions(spark, ("A", 1, "x")).schema
+    assert current(spark, path, schema) == [("A", "d")]
+    commits = spark.read.parquet(f"{path}/commits")
+    assert {r.batch for r in commits.select("batch").distinct().collect()} == {1, 3}
+    # The newest commit is lost while it is written: the one before still stands.
+    lost = commits.filter("batch = 3").first().slot
+    spark.createDataFrame([], "batch bigint, bucket int, version bigint").write.mode("overwrite").parquet(
+        f"{path}/commits/slot={lost}"
+    )
+    assert current(spark, path, schema) == [("A", "b")]
+    streaming.upsert_silver(versions(spark, ("A", 4, "d")), 3, path, buckets=2)
+    assert current(spark, path, schema) == [("A", "d")]
+
+
 def test_empty_batch_and_empty_table(spark):
     path = scratch(spark, "silver")
     none = versions(spark, ("A", 1, "a")).limit(0)
