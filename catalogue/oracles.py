@@ -427,6 +427,13 @@ feats AS (
 _FEATS = _with(TRIALS_RAW, STG, CONDITIONS, _TRIAL_FEATURES)
 
 
+# Trials that went through the message envelope, which fills a missing status.
+_ENVELOPED = (
+    TRIALS_RAW.replace("trials_raw AS", "spoilt AS"),
+    "trials_raw AS (SELECT * REPLACE (coalesce(overall_status, 'Unknown status') AS overall_status) FROM spoilt)",
+)
+
+
 def _code(column: str) -> str:
     return f"CAST(dense_rank() OVER (ORDER BY {column}) - 1 AS INTEGER) AS {column}"
 
@@ -456,9 +463,10 @@ ORACLES |= {
         SELECT is_completed, count(*) AS n,
           round((SELECT count(*) FROM feats) / (2.0::DOUBLE * count(*)), 9) AS weight FROM feats GROUP BY 1""",
     "warehouse_layout": f"{_TRIALS} SELECT {_SILVER} FROM stg",
+    "silver_updates": f"""{_with(*_ENVELOPED, STG)}
+        SELECT * EXCLUDE (ingest_date, ingest_timestamp) FROM stg""",
     "medallion_run": f"""{_with(
-        TRIALS_RAW.replace("trials_raw AS", "spoilt AS"),
-        "trials_raw AS (SELECT * REPLACE (coalesce(overall_status, 'Unknown status') AS overall_status) FROM spoilt)",
+        *_ENVELOPED,
         STG,
         _STUDY_CONDITIONS,
         """conditions AS (SELECT nct_id, condition_name, CASE lower(trim(condition_name))

@@ -24,6 +24,7 @@ from cohortmill.operators import (
     staging,
 )
 from cohortmill.plans import medallion
+from cohortmill.schemas import SILVER_COLUMNS
 from cohortmill.session import prepare, scratch
 from cohortmill.sources import archive, bus, mark, tables
 
@@ -508,6 +509,18 @@ def warehouse_layout(spark, sf_dir):
     return spark.table(table)
 
 
+@query
+def silver_updates(spark, sf_dir):
+    """Two ingests, each followed by an upsert of what it brought into silver."""
+    layers = medallion.Layers(scratch(spark, "layers"))
+    for day in (dt.date(2002, 1, 1), dt.date(2002, 1, 2)):
+        medallion.ingest(spark, P.studies(spark, sf_dir), layers, day)
+        trials = medallion.refine_updates(spark, layers, buckets=8)
+    return trials.select(
+        *(c for c in SILVER_COLUMNS if c not in ("ingest_date", "ingest_timestamp"))
+    )
+
+
 @query
 def medallion_run(spark, sf_dir):
     """Studies -> archive -> bus -> bronze stream -> silver -> enrollment mart."""

@@ -203,3 +203,54 @@ def test_csv_has_a_header(spark, rows):
     path = scratch(spark, "csv")
     tables.write_csv(spark.createDataFrame([(1, 0.5)], "a int, b double"), path)
     assert rows(spark.read.option("header", True).csv(path)) == [("1", "0.5")]
+
+
+def test_a_hot_partition_is_split_over_files(spark):
+    path = scratch(spark, "hot")
+    df = spark.range(0, 200_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        tables.write_table(df, path, ["p"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = tables.read_table(spark, path).inputFiles()
+    assert sum("p=hot" in f for f in files) > 4 and sum("p=cold" in f for f in files) <= 3
+    assert tables.read_table(spark, path).count() == 200_000
+
+
+class Reader:
+    """Stands in for a Spark reader: the connector is not on the class path here."""
+
+    def __init__(self, topic):
+        self.topic = topic
+
+    def format(self, name):
+        self.name = name
+        return self
+
+    def options(self, **options):
+        self.given = options
+        return self
+
+    def load(self):
+        return self.topic
+
+
+def test_topic_options(spark):
+    topic = spark.createDataFrame([(b"k", b"v", dt.datetime(2024, 1, 1))], "key binary, value binary, timestamp timestamp")
+
+    class Session:
+        readStream, read = Reader(topic), Reader(topic)
+
+    assert bus.read_topic(Session, "host:9092", "updates", maxOffsetsPerTrigger="10").first().value == "v"
+    assert Session.readStream.name == "kafka" and Session.readStream.given == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "updates",
+        "failOnDataLoss": "false",
+        "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "10",
+    }
+    bus.read_topic(Session, "host:9092", "updates", stream=False)
+    assert "startingOffsets" not in Session.read.given

@@ -47,6 +47,8 @@ def test_two_runs_carry_updates_and_quarantine_nameless_studies(spark):
     assert medallion.ingest(spark, nested(spark, first, day1), layers, day1) == {"archived": 3, "sent": 2, "failed": 1}
     assert mark.read_mark(spark, layers.mark, day2) == dt.date(2024, 1, 9)
     assert spark.read.json(layers.unroutable).count() == 1
+    early = medallion.refine_updates(spark, layers, buckets=4)
+    assert {r.nct_id[-1]: r.overall_status for r in early.collect()} == {"1": "recruiting", "2": "completed"}
 
     # The registry as it is a day later: one change, one new study; study 2 is read again.
     second = [study(1, "Terminated", "2024-01-10", conditions=("HIV", "Toe")), study(2, "Completed", "2024-01-09"),
@@ -54,6 +56,10 @@ def test_two_runs_carry_updates_and_quarantine_nameless_studies(spark):
     assert medallion.ingest(spark, nested(spark, second, day2), layers, day2)["archived"] == 3
     assert tables.read_bronze(spark, layers.bronze).count() == 5
 
+    updated = medallion.refine_updates(spark, layers, buckets=4)
+    assert {r.nct_id[-1]: r.overall_status for r in updated.collect()} == {
+        "1": "terminated", "2": "completed", "3": "completed",
+    }
     medallion.refine(spark, layers)
     silver = {r.nct_id[-1]: r.overall_status for r in tables.read_table(spark, layers.trials).collect()}
     assert silver == {"1": "terminated", "2": "completed", "3": "completed"}
