@@ -12,11 +12,12 @@ def freshness(
     df: DataFrame, column: str, limit: dt.timedelta, as_of: dt.datetime | Column | None = None
 ) -> DataFrame:
     """One row: the newest time in `column`, its age, and whether that is within
-    the limit. An empty table is not fresh."""
+    the limit. An empty table is not fresh. An `as_of` without a zone is UTC, as
+    the session is, whatever zone the driver's machine is in."""
     if as_of is None:
         as_of = F.current_timestamp()
     elif not isinstance(as_of, Column):
-        as_of = F.lit(as_of)
+        as_of = F.lit(as_of if as_of.tzinfo else as_of.replace(tzinfo=dt.timezone.utc))
     kind = df.schema[column].dataType
     age = F.timestamp_diff("SECOND", F.col("newest"), as_of.cast(kind))
     seconds = int(limit.total_seconds())
