@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortmill.llm import line_dedup, quality_rules
+from cohortmill.llm import chat, license_templates, licenses, line_dedup, quality_rules, secret_ledger
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,7 +73,116 @@ SELECT doc_id, source,
 FROM d LEFT JOIN gone USING (host)
 """
 
+
+
+def _secrets() -> str:
+    """Matches by splitting at them: each begins after all pieces and matches before it."""
+    numbered = [(i, rule) for i, rule in enumerate(r for rules in secret_ledger.RULE_SETS for r in rules.rules)]
+    parts, least = [], []
+    for i, rule in numbered:
+        pattern = rule.pattern.replace("'", "''").replace("\\x20", " ")
+        parts.append(
+            f"SELECT doc_id, {i} AS kind_order, '{rule.kind}' AS kind, {rule.least} AS least, "
+            f"regexp_extract_all(text, '{pattern}') AS hits, regexp_extract_all(text, '{pattern}', {rule.group}) AS cores, "
+            f"string_split_regex(text, '{pattern}') AS gaps FROM d WHERE regexp_matches(text, '{pattern}')"
+        )
+    n_base = len(secret_ledger.BASE.rules)
+    counts = ", ".join(
+        f"CAST(coalesce(count(*) FILTER (kind_order = {i}), 0) AS BIGINT) AS n_{rule.kind}"
+        for i, rule in numbered[:n_base]
+    )
+    names = ", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for _, rule in numbered[:n_base])
+    place = "kind || ':' || s || ':' || e"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), m AS (
+  {' UNION ALL '.join(parts)}
+), each AS (
+  SELECT doc_id, kind_order, kind, least, unnest(range(1, len(hits) + 1)) AS i, hits, cores, gaps FROM m
+), placed AS (
+  SELECT doc_id, kind_order, kind,
+    CAST(sum(length(gaps[i]) + length(hits[i])) OVER (PARTITION BY doc_id, kind_order ORDER BY i) AS BIGINT) AS e,
+    length(hits[i]) AS n, length(cores[i]) >= least AS counts
+  FROM each
+), spans AS (
+  SELECT doc_id, kind_order, kind, e - n AS s, e FROM placed WHERE counts
+), by_doc AS (
+  SELECT doc_id, {counts},
+    coalesce(string_agg({place}, ',' ORDER BY s, kind_order) FILTER (kind_order < {n_base}), '') AS base,
+    string_agg({place}, ',' ORDER BY s, kind_order) AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, {names}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN by_doc USING (doc_id)
+"""
+
+
+def _escaped(column: str) -> str:
+    return f"regexp_replace({column}, '<(\\\\*)\\|', '<\\\\\\1|', 'g')"
+
+
+CHAT = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, n, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({sum(map(len, chat.MARKS))} + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+
+def _pattern(parts: list) -> str:
+    """A template as a regular expression over words that each follow a space."""
+    out = ""
+    for part in parts:
+        if isinstance(part, bytes):
+            out += " " + part.decode()
+        elif isinstance(part, tuple):
+            out += "(?: [^ ]+){%d,%d}" % part
+        else:
+            out += f"(?:{_pattern(part)})?"
+    return out
+
+
+def _licenses() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    hits = ", ".join(
+        f"CASE WHEN regexp_matches(joined, '{_pattern(licenses.parse(markup))} ') THEN '{label}' END"
+        for label, _, markup in license_templates.TEMPLATES
+    )
+    phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES.items())
+    return f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{word}') AS words FROM documents
+), j AS (
+  SELECT doc_id, words, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM w
+), p AS (
+  SELECT doc_id, label, i - 1 AS place
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM j
+        WHERE {' OR '.join(f"contains(joined, ' {phrase} ')" for phrase in licenses.PHRASES)}),
+    (VALUES {phrases}) v(phrase, label)
+  WHERE array_to_string(words[i : i + len(string_split(phrase, ' ')) - 1], ' ') = phrase
+), by_doc AS (
+  SELECT doc_id, count(*) AS n, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base FROM p GROUP BY doc_id
+), t AS (
+  SELECT doc_id, words, list_filter([{hits}], lambda x: x IS NOT NULL) AS templates FROM j
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), templates))), ','), '') AS labels,
+  CAST(CASE WHEN len(templates) > 0 THEN 1 WHEN n > 0 THEN {licenses.PHRASE_SCORE} ELSE 0 END AS DOUBLE) AS score
+FROM t LEFT JOIN by_doc USING (doc_id)
+"""
+
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
+    "op3_secret_ledger": _secrets(),
+    "op6_chat_formatting": CHAT,
     "op9_line_dedup": LINE_DEDUP,
+    "op10_license_scan": _licenses(),
 }

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortmill.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from cohortmill.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    line_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secret_ledger,
+    simhash,
+    toxicity,
+)
 from cohortmill.llm.common import stored, table
+from cohortmill.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +30,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document by two views that taught each other."""
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document by line frequency on its host."""
@@ -28,6 +46,34 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, by a ledger that begins empty."""
+    found = secret_ledger.scan(table(spark, sf_dir, "documents"), scratch(spark, "secret-ledger"))
+    base = {rule.kind: order for order, rule in enumerate(secret_ledger.BASE.rules)}
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    own = F.filter("spans", lambda x: x["kind_order"] < len(base))
+    counts = [
+        F.size(F.filter("spans", lambda x, order=order: x["kind_order"] == order)).cast("bigint").alias(f"n_{kind}")
+        for kind, order in base.items()
+    ]
+    return found.select(
+        F.col("path").alias("doc_id"),
+        *counts,
+        F.sha2(joined(own).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document by a string-kernel machine trained on the labelled folds."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of each document."""
@@ -43,6 +89,20 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs.select("doc_id", "source", "text"))
 
 
+# Fixed value: the conversation that the query adds.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each conversation, read back from its token ids and loss mask."""
+    added = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.turns(rows)).drop("n_tokens")
+
+
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each piece of each document in the token sequences."""
@@ -55,3 +115,20 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document that holds a benchmark item, with the item and the place."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases, labels and score of each document by license templates."""
+    found = licenses.labelled(licenses.scan(table(spark, sf_dir, "documents")))
+    starts = F.transform("phrases", lambda p: p["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        "base_labels",
+        "labels",
+        "score",
+    )
