@@ -55,11 +55,11 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     def joined(spans):
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
+    def of_kind(order):
+        return F.size(F.filter("spans", lambda x: x["kind_order"] == order)).cast("bigint")
+
     own = F.filter("spans", lambda x: x["kind_order"] < len(base))
-    counts = [
-        F.size(F.filter("spans", lambda x, order=order: x["kind_order"] == order)).cast("bigint").alias(f"n_{kind}")
-        for kind, order in base.items()
-    ]
+    counts = [of_kind(order).alias(f"n_{kind}") for kind, order in base.items()]
     return found.select(
         F.col("path").alias("doc_id"),
         *counts,
