@@ -53,7 +53,8 @@ SAMPLE_CHARS = 20_000
 LANDMARKS = 160
 ALIKE = 0.6
 PURE = 1.5
-SIGNIFICANT = 5.0
+RUNS, RUN_PURE = (5, 7, 9), 4.0
+SIGNIFICANT = 4.0
 ROUNDS = 4
 FOLDS = 5
 CHUNK = 1 << 20
@@ -280,6 +281,25 @@ def distinct(sample: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return kept
 
 
+def association(doc: np.ndarray, item: np.ndarray, n: int, label: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Clean documents of each item, its log odds of toxic ones, and how far their share is above chance."""
+    toxic, clean = (np.bincount(item, label[doc] == x, minlength=n) for x in (1, 0))
+    odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
+    share, total = label.mean(), toxic + clean
+    return clean, odds, (toxic - share * total) / np.sqrt(np.maximum(total * share * (1 - share), 1e-9))
+
+
+def runs(s: Strings, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, letters as a number) of each run of so many letters, by word."""
+    n = np.maximum(0, s.size - length + 1)
+    word = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n) + s.begin[word]
+    key = np.zeros(len(word), dtype=np.int64)
+    for i in range(length):
+        key = key * LETTERS + s.letters[place + i]
+    return word, key
+
+
 def train(sample: list[tuple[str, int]], n_landmarks: int = LANDMARKS, rounds: int = ROUNDS) -> Model | None:
     """The model of (text, label) rows; None if they have one label only."""
     sample = distinct(sample)
@@ -301,12 +321,18 @@ def train(sample: list[tuple[str, int]], n_landmarks: int = LANDMARKS, rounds: i
     sizes = np.array([len(p) for p in number], dtype=np.int64)
     words = Strings(np.frombuffer(b"".join(number), np.int8), np.cumsum(sizes) - sizes, sizes, np.arange(len(sizes)))
     pair = np.unique(doc_of[s.owner] * len(sizes) + said)
-    side, word = label[pair // len(sizes)], pair % len(sizes)
-    toxic, clean = (np.bincount(word, side == x, minlength=len(sizes)) for x in (1, 0))
-    odds = np.log((toxic + 0.5) / (label.sum() + 1)) - np.log((clean + 0.5) / ((1 - label).sum() + 1))
-    # How far the toxic share of a word's documents is above chance.
-    share = label.mean()
-    lift = (toxic - share * (toxic + clean)) / np.sqrt(np.maximum((toxic + clean) * share * (1 - share), 1e-9))
+    doc, word = pair // len(sizes), pair % len(sizes)
+    clean, odds, lift = association(doc, word, len(sizes), label)
+    # A word is also as telling as a run of its letters that hardly any clean document has.
+    for length in RUNS:
+        run_of, run = runs(words, length)
+        known, run = np.unique(run, return_inverse=True)
+        begins = np.searchsorted(run_of, np.arange(len(sizes) + 1))
+        many = np.diff(begins)[word]
+        place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(begins[word], many)
+        pair = np.unique(np.repeat(doc, many) * len(known) + run[place])
+        _, run_odds, run_lift = association(pair // len(known), pair % len(known), len(known), label)
+        np.maximum.at(lift, run_of, np.where(run_odds > RUN_PURE, run_lift, -np.inf)[run])
     able = sizes >= 4
     top = np.flatnonzero(able & (odds > 0))
     common = np.flatnonzero(able & (odds <= 0))
