@@ -20,6 +20,7 @@ gives no sequence.
 from __future__ import annotations
 
 import bisect
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -38,7 +39,7 @@ END_ID = 1
 LEAST_FILL = 0.97
 WHOLE = 64
 BLOCK_ROWS = 20_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 TAIL = ".,!?;:|"
 MARK = "\x01"
@@ -59,66 +60,91 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
+        # A task has one core; threads of the tokenizer would take those of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.mark = self._encode([MARK])[0]
+        self.tails = [np.array(ids, "<u4") for ids in self._encode(list(TAIL))]
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words unknown so far, hundreds in one text with a mark between them."""
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
+        """Encode words, hundreds in one text with a mark between them."""
         odd = [w for w in words if MARK in w]
-        even = [w for w in words if MARK not in w]
         for w, ids in zip(odd, self._encode(odd)):
             self.known[w] = np.array(ids, "<u4").tobytes()
+        even = [w for w in words if MARK not in w] if odd else words
         groups = [even[i : i + 500] for i in range(0, len(even), 500)]
         for group, ids in zip(groups, self._encode([f" {MARK} ".join(g) for g in groups])):
             ids, size = np.array(ids, "<u4"), len(self.mark)
             hit = np.ones(max(0, len(ids) - size + 1), dtype=bool)
             for i, value in enumerate(self.mark):
                 hit &= ids[i : i + len(hit)] == value
-            ends = [*np.flatnonzero(hit).tolist(), len(ids)]
-            start = 0
-            for w, end in zip(group, ends):
-                self.known[w] = ids[start:end].tobytes()
-                start = end + size
-
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        stems = []
-        for w in words:
-            stem = w.rstrip(TAIL)
-            stems.append(stem if stem and stem[-1].isalnum() else w)
-        tails = [w[len(s) :] for w, s in zip(words, stems)]
-        new = [w for w in {*stems, *tails} if w and w not in self.known]
-        if new:
+            ends = np.append(np.flatnonzero(hit), len(ids))
+            begins = np.append(0, ends[:-1] + size)
+            raw = ids.tobytes()
+            self.known.update(
+                zip(group, [raw[x:y] for x, y in zip((4 * begins).tolist(), (4 * ends).tolist())])
+            )
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of different words; words not met for long are forgotten."""
+        if len(self.known) + len(words) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        if older:
+            known.update([(w, older[w]) for w in words if w in older and w not in known])
+        if new := [w for w in words if w not in known]:
             self._learn(new)
-            # A full cache forgets what it had, also words of this batch.
-            if lost := [w for w in {*stems, *tails} if w and w not in self.known]:
-                held = dict(self.known)
-                self._learn(lost)
-                self.known.update(held)
-        known = self.known
-        return [known[s] + known[t] if t else known[s] for s, t in zip(stems, tails)]
+        return [known[w] for w in words]
+
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different words in one array, with begin and size of each word's."""
+        stem = pc.ascii_rtrim(words, TAIL)
+        long = pc.subtract(pc.binary_length(words), pc.binary_length(stem))
+        # One sign after a letter or digit is a token of its own; a word with more stays whole.
+        apart = pc.and_(pc.equal(long, 1), pc.match_substring_regex(stem, r"[\pL\pN]$"))
+        code, stems = code_words(pc.if_else(apart, stem, words))
+        encoded = self._ids_of(stems.to_pylist())
+        pool = np.frombuffer(b"".join(encoded), "<u4")
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+        begin, size = (np.cumsum(sizes) - sizes)[code], sizes[code]
+        apart = apart.to_numpy(zero_copy_only=False)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset + 1 : words.offset + 1 + len(words)]
+        last = np.zeros(len(words), dtype=np.int64)
+        last[apart] = data[ends[apart] - 1]
+        lengths = np.array([len(t) for t in self.tails])
+        tail_of = np.array([TAIL.find(chr(c)) for c in range(256)])[last]
+        extra = np.where(apart, lengths[tail_of], 0)
+        total = size + extra
+        after = np.cumsum(total) - total
+        ids = np.empty(total.sum(), "<u4")
+        step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        ids[step + np.repeat(after, size)] = pool[step + np.repeat(begin, size)]
+        for i, tail in enumerate(self.tails):
+            rows = apart & (tail_of == i)
+            for k, value in enumerate(tail.tolist()):
+                ids[after[rows] + size[rows] + k] = value
+        return ids, after, total
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """The ids of each text."""
-        special = pc.match_substring_regex(column, r"<\||[\x{0300}-\x{036F}]").to_numpy(zero_copy_only=False)
-        offsets, words = split_words(pc.ascii_lower(pc.if_else(pa.array(special), "", column)))
+        special = pc.match_substring_regex(column, r"<\||[\x{0300}-\x{036F}]")
+        offsets, words = split_words(pc.ascii_lower(pc.if_else(special, "", column)))
         codes, distinct = code_words(words)
-        encoded = self._word_ids(distinct.to_pylist())
-        sizes = np.array([len(e) // 4 for e in encoded], dtype=np.int64)
-        begin = np.cumsum(sizes) - sizes
-        size = sizes[codes] if len(codes) else codes
+        pool, begin, sizes = self._word_ids(distinct)
+        size = sizes[codes]
         before = np.concatenate([[0], np.cumsum(size)])
-        place = np.arange(before[-1]) + np.repeat((begin[codes] if len(codes) else codes) - before[:-1], size)
-        ids = np.frombuffer(b"".join(encoded), "<u4")[place]
-        out = [ids[a:b] for a, b in zip(before[offsets[:-1]], before[offsets[1:]])]
-        for row in np.flatnonzero(special).tolist():
+        place = np.arange(before[-1]) + np.repeat(begin[codes] - before[:-1], size)
+        ids = pool[place]
+        out = [ids[a:b] for a, b in zip(before[offsets[:-1]].tolist(), before[offsets[1:]].tolist())]
+        for row in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
             out[row] = np.array(self._encode([column[row].as_py()])[0], "<u4")
         return out
 
