@@ -17,17 +17,6 @@ REGISTRY_STATUSES = [
     "Suspended",
     "Unknown status",
 ]
-# The registry's spelling of a phase.
-REGISTRY_PHASES = [
-    "Phase 1",
-    "Phase 2",
-    "Phase 3",
-    "Phase 4",
-    "Phase 1/Phase 2",
-    "Phase 2/Phase 3",
-    "Early Phase 1",
-    "N/A",
-]
 # Silver keeps phases in lower case, as `clean_phase` gives them.
 SILVER_PHASES = [
     "phase 1",

@@ -80,6 +80,7 @@ def test_mark_defaults_moves_and_never_goes_back(spark):
     assert mark.read_mark(spark, path, run) == D(2024, 1, 30)
     mark.write_mark(spark, path, run, D(2024, 1, 30), policy="run_date")
     assert mark.read_mark(spark, path, run) == run
+    assert mark.write_mark(spark, path, run, D(2999, 1, 1)) == run
 
 
 def test_scan_from_the_mark_is_inclusive_for_text_and_dates(spark, rows):
@@ -88,6 +89,11 @@ def test_scan_from_the_mark_is_inclusive_for_text_and_dates(spark, rows):
     assert rows(mark.updated_since(df, since), "k") == [("b",), ("c",)]
     newest_last = mark.updated_since(df, since, ordered=True).collect()
     assert [r.k for r in newest_last] == ["b", "c"]
+    odd = df.union(spark.createDataFrame([("n", None), ("s", "01/15/2024"), ("p", "2024-01"), ("f", "2999-01-01")], df.schema))
+    assert rows(mark.updated_since(odd, since), "k") == [("b",), ("c",), ("f",), ("n",), ("p",), ("s",)]
+    assert mark.newest_day(odd, D(2024, 1, 2)) == since
+    assert mark.newest_day(odd.filter("k = 'f'"), D(2024, 1, 2)) == since
+    assert mark.newest_day(odd.filter("k = 'n'"), D(2024, 1, 2)) is None
     dated = df.withColumn("last_update_post_date", F.to_date("last_update_post_date"))
     assert rows(mark.updated_since(dated, since), "k") == [("b",), ("c",)]
 
