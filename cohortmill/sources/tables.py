@@ -19,7 +19,23 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, BRONZE)
+    return read_table(spark, path, BRONZE).select(*BRONZE.names)
+
+
+def _on_disk(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _on_disk(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it."""
+    files, place = _on_disk(spark, path)
+    files.delete(place, True)
 
 
 def read_jdbc(
@@ -56,7 +72,13 @@ def write_table(
 
 
 def append_bronze(bronze: DataFrame, path: str) -> None:
-    """Land a batch of bronze rows in the layout of the stream's sink."""
+    """Land a batch of bronze rows in the layout of the stream's sink, in a folder of their own.
+
+    Readers of a stream's folder follow the log of its sink and would not see
+    other files, so a folder with such a log is refused.
+    """
+    if exists(bronze.sparkSession, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a stream; land batches in another folder")
     (
         bronze.hint("rebalance", *BRONZE_PARTITIONS)
         .write.mode("append")
@@ -102,6 +124,19 @@ def compact_days(
     write_table(rows, target, BRONZE_PARTITIONS, replace="touched")
 
 
+def read_landed(spark: SparkSession, source: str, target: str, until: dt.date | None) -> DataFrame:
+    """Bronze of which the days up to `until` have been compacted into `target`.
+
+    Each day is read from one of the folders, and a filter on days prunes both.
+    """
+    landed = read_bronze(spark, source)
+    if until is None:
+        return landed
+    day = F.col("ingest_date")
+    compacted = read_bronze(spark, target).filter(day <= F.lit(until))
+    return compacted.unionByName(landed.filter(day > F.lit(until)))
+
+
 def day_arrived(bronze: DataFrame, day: dt.date) -> DataFrame:
     """One row: does bronze hold anything for the day? Reads at most one row of
     the day's folders."""

@@ -1,11 +1,12 @@
 """Structured Streaming jobs."""
 
 from cohortmill.streaming.bronze import drop_repeats, start_bronze, start_rejects
-from cohortmill.streaming.silver import read_silver, start_silver, upsert_silver
+from cohortmill.streaming.silver import read_silver, rebucket_silver, start_silver, upsert_silver
 
 __all__ = [
     "drop_repeats",
     "read_silver",
+    "rebucket_silver",
     "start_bronze",
     "start_rejects",
     "start_silver",

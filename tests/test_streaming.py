@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortmill import streaming
@@ -100,7 +101,7 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     path = scratch(spark, "silver")
     streaming.upsert_silver(versions(spark, *((f"K{i}", 1, "x") for i in range(50))), 0, path, buckets=8)
     streaming.upsert_silver(versions(spark, ("K1", 2, "y")), 1, path, buckets=8)
-    commits = spark.read.parquet(f"{path}/commits").filter("batch = 1")
+    commits = spark.read.parquet(f"{path}/commits").filter("commit = 1")
     assert commits.filter("version = 1").count() == 1 and commits.count() == 8
     assert len(current(spark, path, versions(spark, ("K", 1, "x")).schema)) == 50
 
@@ -115,10 +116,10 @@ def test_the_commit_before_survives_a_lost_one(spark):
     schema = versions(spark, ("A", 1, "x")).schema
     assert current(spark, path, schema) == [("A", "d")]
     commits = spark.read.parquet(f"{path}/commits")
-    assert {r.batch for r in commits.select("batch").distinct().collect()} == {1, 3}
+    assert {r.commit for r in commits.select("commit").distinct().collect()} == {1, 2}
     # The newest commit is lost while it is written: the one before still stands.
-    lost = commits.filter("batch = 3").first().slot
-    spark.createDataFrame([], "batch bigint, bucket int, version bigint").write.mode("overwrite").parquet(
+    lost = commits.filter("commit = 2").first().slot
+    spark.createDataFrame([], commits.drop("slot").schema).write.mode("overwrite").parquet(
         f"{path}/commits/slot={lost}"
     )
     assert current(spark, path, schema) == [("A", "b")]
@@ -126,6 +127,51 @@ def test_the_commit_before_survives_a_lost_one(spark):
     assert current(spark, path, schema) == [("A", "d")]
 
 
+def test_a_new_checkpoint_goes_on_from_the_newest_commit(spark):
+    path = scratch(spark, "silver")
+    for i in range(6):
+        rows = versions(spark, *((f"K{i}-{j}", 1, "x") for j in range(20)))
+        streaming.upsert_silver(rows, i, path, buckets=4, source="old")
+    for i in range(3):
+        streaming.upsert_silver(versions(spark, (f"N{i}", 1, "y")), i, path, buckets=4, source="new")
+    schema = versions(spark, ("A", 1, "x")).schema
+    assert len(current(spark, path, schema)) == 123
+    # What the old checkpoint has committed is not taken again.
+    streaming.upsert_silver(versions(spark, ("K0-0", 9, "z")), 2, path, buckets=4, source="old")
+    assert ("K0-0", "x") in current(spark, path, schema)
+
+
+def test_a_stream_with_a_new_checkpoint_keeps_the_table(spark):
+    arrivals, path = scratch(spark, "arrivals"), scratch(spark, "silver")
+    schema = versions(spark, ("A", 1, "x")).schema
+    versions(spark, ("A", 1, "a"), ("B", 1, "b")).write.parquet(arrivals)
+    stream = spark.readStream.schema(schema).parquet(arrivals)
+    for checkpoint in (scratch(spark, "cp"), scratch(spark, "cp")):
+        run(streaming.start_silver(stream, path, checkpoint, once=True, buckets=2))
+        versions(spark, ("C", 1, "c")).write.mode("append").parquet(arrivals)
+    assert current(spark, path, schema) == [("A", "a"), ("B", "b"), ("C", "c")]
+
+
+def test_another_number_of_buckets_is_refused_and_can_be_made(spark):
+    path = scratch(spark, "silver")
+    first = versions(spark, *((f"K{i}", 1, "x") for i in range(200)))
+    streaming.upsert_silver(first, 0, path, buckets=8)
+    update = versions(spark, *((f"K{i}", 2, "y") for i in range(60)))
+    with pytest.raises(ValueError, match="rebucket"):
+        streaming.upsert_silver(update, 1, path, buckets=64)
+    streaming.rebucket_silver(spark, path, first.schema, 64)
+    streaming.upsert_silver(update, 1, path)
+    got = current(spark, path, first.schema)
+    assert len(got) == 200 and sum(status == "y" for _, status in got) == 60
+
+
+def test_old_versions_are_removed(spark):
+    path = scratch(spark, "silver")
+    for i in range(6):
+        streaming.upsert_silver(versions(spark, ("A", i + 1, str(i))), i, path, buckets=1)
+    assert spark.read.parquet(f"{path}/data").select("version").distinct().count() == 2
+
+
 def test_empty_batch_and_empty_table(spark):
     path = scratch(spark, "silver")
     none = versions(spark, ("A", 1, "a")).limit(0)
