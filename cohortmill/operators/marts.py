@@ -44,10 +44,10 @@ def enrollment_mart(
     once everywhere. Trials without a condition stay, under a null category.
 
     A (trial, category) row weighted by its conditions says the same as the
-    condition rows, and is unique. So the distinct count is a plain count, the
-    weighted aggregates combine on the map side, and the whole mart needs one
-    shuffle on its group keys. The exact median keeps a count per different
-    enrollment value, not per row.
+    condition rows, and is unique. So the distinct count is a plain count, and the
+    weighted aggregates combine on the map side. Rows are combined by group and
+    enrollment value first, in a hash aggregation that can spill; the exact median then
+    weighs the different values of a group.
     """
     if grain not in ("condition", "trial"):
         raise ValueError(f"grain must be 'condition' or 'trial', not {grain!r}")
@@ -59,20 +59,24 @@ def enrollment_mart(
     )
     w, enrolled, days = F.col("w"), F.col("enrollment_count"), F.col("study_duration_days")
 
-    def weighted_avg(value):
-        total = F.sum(value * w).cast("double")
-        return total / F.sum(F.when(value.isNotNull(), w)).cast("double")
-
-    return rows.groupBy(
-        "phase", "condition_category", "lead_sponsor_class", "location_country"
-    ).agg(
-        F.count("*").alias("trial_count"),
+    keys = ["phase", "condition_category", "lead_sponsor_class", "location_country"]
+    by_value = rows.groupBy(*keys, "enrollment_count").agg(
+        F.count("*").alias("n"),
+        F.sum(w).alias("w"),
+        F.sum(days * w).alias("days"),
+        F.sum(F.when(days.isNotNull(), w)).alias("days_w"),
+        F.sum(F.col("is_completed") * w).alias("completed"),
+        F.sum(F.col("is_terminated") * w).alias("terminated"),
+    )
+    known = F.sum(F.when(enrolled.isNotNull(), w))
+    return by_value.groupBy(*keys).agg(
+        F.sum("n").alias("trial_count"),
         F.sum(enrolled * w).alias("total_enrollment"),
-        weighted_avg(enrolled).alias("avg_enrollment"),
+        (F.sum(enrolled * w).cast("double") / known.cast("double")).alias("avg_enrollment"),
         F.percentile(enrolled, F.lit(0.5), w).alias("median_enrollment"),
-        weighted_avg(days).alias("avg_duration_days"),
-        rate_pct(F.sum(F.col("is_completed") * w), F.sum(w)).alias("completion_rate_pct"),
-        rate_pct(F.sum(F.col("is_terminated") * w), F.sum(w)).alias("termination_rate_pct"),
+        (F.sum("days").cast("double") / F.sum("days_w").cast("double")).alias("avg_duration_days"),
+        rate_pct(F.sum("completed"), F.sum(w)).alias("completion_rate_pct"),
+        rate_pct(F.sum("terminated"), F.sum(w)).alias("termination_rate_pct"),
     )
 
 

@@ -30,26 +30,29 @@ def dropout_by_area(trials: DataFrame, conditions: DataFrame, k: int = 10) -> Da
     return top(areas, [F.desc("dropout_rate_pct"), F.asc("condition_category")], k)
 
 
-def timeline_percentiles(trials: DataFrame, as_of=None) -> DataFrame:
+def timeline_percentiles(trials: DataFrame, as_of=None, accuracy: int | None = None) -> DataFrame:
     """Quartiles of study duration by phase and sponsor class.
 
-    Exact: the state is a count per different number of days, combined on the
-    map side.
+    Exact by default: trials are counted by group and number of days first, in a hash
+    aggregation that can spill, and the quartiles weigh these counts. With an
+    `accuracy` each quartile is a value whose rank is off by a share of 1 / accuracy of
+    the group at most, from one sketch per group.
     """
-    quartiles = F.percentile("study_duration_days", [0.25, 0.5, 0.75])
-    return (
-        with_outcome(trials, as_of)
-        .filter(F.col("study_duration_days").isNotNull())
-        .groupBy("phase", "lead_sponsor_class")
-        .agg(F.count("*").alias("trial_count"), quartiles.alias("q"))
-        .select(
-            "phase",
-            "lead_sponsor_class",
-            "trial_count",
-            F.col("q")[0].alias("p25_days"),
-            F.col("q")[1].alias("p50_days"),
-            F.col("q")[2].alias("p75_days"),
+    keys, shares = ["phase", "lead_sponsor_class"], [0.25, 0.5, 0.75]
+    days = F.col("study_duration_days")
+    known = with_outcome(trials, as_of).filter(days.isNotNull())
+    if accuracy is None:
+        by_days = known.groupBy(*keys, days).agg(F.count("*").alias("n"))
+        found = by_days.groupBy(*keys).agg(
+            F.sum("n").alias("trial_count"), F.percentile(days, shares, F.col("n")).alias("q")
+        )
+    else:
+        found = known.groupBy(*keys).agg(
+            F.count("*").alias("trial_count"),
+            F.percentile_approx(days.cast("double"), shares, accuracy).alias("q"),
         )
+    return found.select(
+        *keys, "trial_count", *(F.col("q")[i].alias(f"p{int(100 * share)}_days") for i, share in enumerate(shares))
     )
 
 
@@ -90,10 +93,11 @@ def geo_gaps(
     """Countries with fewer than `min_trials` trials in a category that is studied
     elsewhere in their region.
 
-    `countries` lists (country, region); one region for all makes every country
-    expected for every category. The trials are read once, and a row per
-    (category, region) holds no more than the countries of that region.
+    `countries` lists (country, region), repeats counting once; one region for all makes
+    every country expected for every category. A category of a region is expanded to that
+    region's countries by a join with the list, so the result is all that grows.
     """
+    places = countries.select("country", "region").filter("country is not null").distinct()
     seen = (
         trial_countries(trials, ["nct_id"])
         .filter(F.col("country").isNotNull())
@@ -104,23 +108,10 @@ def geo_gaps(
         .groupBy(category, "country")
         .agg(F.count("*").alias("trial_count"))
     )
-    counts = F.collect_list(F.struct("country", "trial_count"))
-    active = (
-        seen.join(countries, "country")
-        .groupBy(category, "region")
-        .agg(F.map_from_entries(counts).alias("counts"))
-    )
-    expected = countries.groupBy("region").agg(F.collect_set("country").alias("countries"))
+    active = seen.join(places, "country").select(category, "region").distinct()
     return (
-        active.join(expected, "region")
-        .select(category, "region", "counts", F.explode("countries").alias("country"))
-        .select(
-            category,
-            "region",
-            "country",
-            F.coalesce(F.try_element_at("counts", "country"), F.lit(0).cast("bigint")).alias(
-                "trial_count"
-            ),
-        )
+        active.join(places, "region")
+        .join(seen, [category, "country"], "left")
+        .select(category, "region", "country", F.coalesce("trial_count", F.lit(0).cast("bigint")).alias("trial_count"))
         .filter(F.col("trial_count") < min_trials)
     )

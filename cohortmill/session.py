@@ -15,9 +15,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
-    # Exact percentiles aggregate in an object hash map. The default falls back to
-    # sorting every row of a task at its 129th group, which a mart passes at once.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     # State of a deduplicated stream grows with its watermark; keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,10 +33,14 @@ def build_session(app_name: str = "cohortmill", master: str | None = None, **con
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else has made."""
-    for key, value in RUNTIME_CONF.items():
-        if spark.conf.isModifiable(key):
-            spark.conf.set(key, value)
+    """Make a session somebody else has made fit for this package.
+
+    Only the time zone is set, as dates of timestamps depend on it; all other
+    settings are the caller's.
+    """
+    zone = "spark.sql.session.timeZone"
+    if spark.conf.get(zone) != RUNTIME_CONF[zone]:
+        spark.conf.set(zone, RUNTIME_CONF[zone])
     return spark
 
 
@@ -61,5 +62,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, never used folder below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/cohortmill/{name}-{uuid.uuid4().hex}"
+    """A new, never used folder below the shared one and the application's own."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/cohortmill/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders of this application; their tables can't be read any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place, True)

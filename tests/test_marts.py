@@ -100,9 +100,9 @@ def test_mart_agrees_with_brute_force_under_a_hot_trial_and_a_hot_group(spark):
         assert r.completion_rate_pct == pytest.approx(100 * sum(t[2] == "completed" for t in ts) / len(ts))
 
 
-def test_mart_needs_one_shuffle_on_its_keys_and_none_for_distinct(small, plan):
+def test_mart_shuffles_by_value_and_by_keys_and_never_for_distinct(small, plan):
     text = plan(marts.enrollment_mart(*small, AS_OF))
-    assert text.count("Exchange hashpartitioning(phase") == 1
+    assert text.count("Exchange hashpartitioning(phase") == 2
     assert "Expand" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
@@ -161,20 +161,20 @@ def test_geo_gaps_expect_the_region_a_category_is_active_in(spark, rows):
     assert ("onco", "EU", "FR", 1) in rows(few)
 
 
-@pytest.mark.parametrize("max_inline", [200, 0])
-def test_categorize(spark, rows, max_inline):
+def test_categorize(spark, rows):
     names = spark.createDataFrame(
         [("A", "Breast Cancer"), ("B", "heart attack, cancer"), ("C", "Broken toe"), ("D", None), ("E", "CANCER")],
         "nct_id string, condition_name string",
     )
-    found = C.categorize(names, C.keyword_dictionary(spark), max_inline=max_inline)
+    found = C.categorize(names, C.keyword_dictionary(spark))
     got = rows(found, "nct_id", "condition_category")
     assert got == [("A", "oncology"), ("B", "cardiology"), ("C", "other"), ("D", None), ("E", "oncology")]
 
 
-def test_a_small_dictionary_needs_no_shuffle(spark, plan):
+def test_a_lookup_is_no_cross_join(spark, plan):
     names = spark.createDataFrame([("A", "Breast Cancer")], "nct_id string, condition_name string")
-    assert "Exchange" not in plan(C.categorize(names, C.keyword_dictionary(spark)))
+    text = plan(C.categorize(names, C.keyword_dictionary(spark)))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 def test_explode_distinct_keeps_rows_without_elements_and_does_not_shuffle(spark, rows, plan):
@@ -184,3 +184,34 @@ def test_explode_distinct_keeps_rows_without_elements_and_does_not_shuffle(spark
     got = C.explode_distinct(df, "conditions", "condition_name", ["nct_id"])
     assert rows(got) == [("A", "x"), ("A", "y"), ("B", None), ("C", None)]
     assert "Exchange" not in plan(got)
+
+
+def test_keywords_of_several_words_and_null_ones(spark, rows):
+    names = spark.createDataFrame([("a", "Small-cell  Lung cancer"), ("b", "lung"), ("c", "cancer lung")], "id string, condition_name string")
+    keywords = spark.createDataFrame([("lung CANCER", "oncology"), (None, "x"), (" ", "y"), ("lung", "zz")], "keyword string, category string")
+    assert rows(C.categorize(names, keywords), "id", "condition_category") == [("a", "oncology"), ("b", "zz"), ("c", "zz")]
+    assert rows(C.categorize(names, keywords.limit(0)), "condition_category") == [("other",)] * 3
+
+
+def test_a_country_listed_twice(spark, rows):
+    from cohortmill.operators import reports
+
+    trials = spark.createDataFrame([("t", "France")], "nct_id string, location_country string")
+    bridge = spark.createDataFrame([("t", "x")], "nct_id string, condition_category string")
+    places = spark.createDataFrame([("France", "EU"), ("France", "EU"), ("Spain", "EU"), (None, "EU")], "country string, region string")
+    assert rows(reports.geo_gaps(trials, bridge, places), "country", "trial_count") == [("Spain", 0)]
+
+
+def test_many_groups_in_one_task(spark):
+    """20,000 groups: counted by value first, so that no hash map holds their values."""
+    from cohortmill.operators import reports
+
+    trials = spark.range(60_000).selectExpr(
+        "concat('p', id % 20000) AS phase", "'C' AS lead_sponsor_class", "'completed' AS overall_status",
+        "date'2024-01-01' AS start_date", "date_add(date'2024-01-01', cast(id div 20000 AS int) * 10) AS completion_date",
+    ).coalesce(1)
+    exact = reports.timeline_percentiles(trials)
+    assert exact.count() == 20_000
+    assert exact.filter("p25_days <> 5 or p50_days <> 10 or p75_days <> 15").count() == 0
+    rough = reports.timeline_percentiles(trials, accuracy=100)
+    assert rough.filter("p50_days <> 10").count() == 0

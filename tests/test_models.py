@@ -157,3 +157,16 @@ def test_training_learns_stores_and_ranks(spark):
 def test_equal_auc_takes_the_first_model(spark):
     runs = spark.createDataFrame([("b", 1, 0.9), ("a", 0, 0.9), ("c", 2, 0.1)], "model_type string, position int, auc double")
     assert learn.best_run(runs).first().model_type == "a"
+
+
+def test_a_run_without_an_auc_is_never_best(spark):
+    rows = [("a", 0, float("nan")), ("b", 1, 0.6), ("c", 2, 0.6), ("d", 3, None)]
+    runs = spark.createDataFrame(rows, "model_type string, position int, auc double")
+    assert learn.best_run(runs).first().model_type == "b"
+    assert learn.best_run(runs.filter("model_type = 'a'")).isEmpty()
+
+
+def test_every_code_has_a_bin(spark):
+    rows = spark.range(300).selectExpr("cast(id AS int) AS country", "cast(id % 3 AS int) AS phase")
+    assert learn.bins(rows, ["country", "phase"]) >= 300
+    assert learn.bins(rows, ["phase"]) == learn.bins(rows.limit(0), ["phase"]) == learn.MIN_BINS
