@@ -44,7 +44,9 @@ def test_two_runs_carry_updates_and_quarantine_nameless_studies(spark):
     layers = medallion.Layers(scratch(spark, "run"))
     day1, day2 = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
     first = [study(1, "Recruiting", "2024-01-05"), study(2, "Completed", "2024-01-09"), study(None, "Recruiting", "2024-01-09")]
-    assert medallion.ingest(spark, nested(spark, first, day1), layers, day1) == {"archived": 3, "sent": 2, "failed": 1}
+    assert medallion.ingest(spark, nested(spark, first, day1), layers, day1) == {
+        "archived": 3, "undated": 0, "sent": 2, "failed": 1,
+    }
     assert mark.read_mark(spark, layers.mark, day2) == dt.date(2024, 1, 9)
     assert spark.read.json(layers.unroutable).count() == 1
     early = medallion.refine_updates(spark, layers, buckets=4)
@@ -74,7 +76,7 @@ def test_two_runs_carry_updates_and_quarantine_nameless_studies(spark):
     assert (outcomes.trial_count, outcomes.completed_count) == (3, 2)
 
     assert medallion.ingest(spark, nested(spark, [study(2, "Completed", "2024-01-01")], day2), layers, day2) == {
-        "archived": 0, "sent": 0, "failed": 0,
+        "archived": 0, "undated": 0, "sent": 0, "failed": 0,
     }
 
 
@@ -102,3 +104,106 @@ def test_retrain(spark):
     runs = medallion.retrain(spark, layers, "2024-01-10", "2024-02-01", {"random_forest": {"numTrees": 3, "maxDepth": 2}})
     assert [r.model_type for r in runs.collect()] == ["random_forest"]
     assert learn.best_predictions(spark, layers.learn, "2024-01-10").count() == runs.first().n_test
+
+
+def test_undated_and_far_dated_studies_are_kept_and_counted(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day1, day2 = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
+    odd = [study(1, "Recruiting", None), study(2, "Recruiting", "01/15/2024"), study(3, "Recruiting", "2024-01"),
+           study(4, "Recruiting", "2999-01-01"), study(5, "Recruiting", "2024-01-08")]
+    first = medallion.ingest(spark, nested(spark, odd, day1), layers, day1)
+    assert first == {"archived": 5, "undated": 3, "sent": 5, "failed": 0}
+    assert {r.nct_id[-1] for r in spark.read.parquet(layers.undated).collect()} == {"1", "2", "3"}
+    # The mark is the newest day up to the run, not the one far ahead.
+    assert mark.read_mark(spark, layers.mark, day2) == dt.date(2024, 1, 8)
+    more = [*odd, study(6, "Recruiting", "2024-01-09"), study(7, "Recruiting", "2024-01-07")]
+    second = medallion.ingest(spark, nested(spark, more, day2), layers, day2)
+    assert second == {"archived": 6, "undated": 3, "sent": 6, "failed": 0}
+    assert {r.nct_id[-1] for r in medallion.refine_updates(spark, layers).collect()} == set("123456")
+
+
+def test_the_mark_can_follow_the_run(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    medallion.ingest(spark, nested(spark, [study(1, "Recruiting", "2024-01-08")], day), layers, day, policy="run_date")
+    assert mark.read_mark(spark, layers.mark, day) == day
+
+
+def test_a_bad_batch_is_not_merged(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day1, day2 = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
+    medallion.ingest(spark, nested(spark, [study(1, "Recruiting", "2024-01-05")], day1), layers, day1)
+    medallion.refine_updates(spark, layers)
+    medallion.ingest(spark, nested(spark, [study(2, "No such status", "2024-01-09")], day2), layers, day2)
+    with pytest.raises(QualityError):
+        medallion.refine_updates(spark, layers)
+    trials, bridge = medallion.silver(spark, layers, upserted=True)
+    assert [r.nct_id[-1] for r in trials.collect()] == ["1"] and bridge.count() == 1
+    history = medallion.quality_history(spark, layers, "bronze_suite")
+    assert history.select("checked_at").distinct().count() == 2
+
+
+def test_more_rows_than_expected_warn(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    studies = [study(i, "Recruiting", "2024-01-05") for i in range(5)]
+    medallion.ingest(spark, nested(spark, studies, day), layers, day)
+    medallion.refine(spark, layers, max_rows=3)
+    found = medallion.last_results(spark, layers, "bronze_suite").filter("not success").collect()
+    assert [(r.check_type, r.severity) for r in found] == [("expect_table_row_count_to_be_between", "warn")]
+    assert tables.read_table(spark, layers.trials).count() == 5
+
+
+def test_registry_codes_and_spellings(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    coded = study(1, "Recruiting", "2024-01-05", phase="PHASE2", conditions=("Asthma", "asthma ", "ASTHMA"))
+    medallion.ingest(spark, nested(spark, [coded], day), layers, day)
+    medallion.refine(spark, layers, registry_codes=True)
+    assert tables.read_table(spark, layers.trials).first().phase == "phase 2"
+    assert tables.read_table(spark, layers.conditions).count() == 1
+
+
+def test_no_training_after_a_failed_suite(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    with pytest.raises(QualityError) as caught:
+        medallion.retrain(spark, layers, "2024-01-10")
+    assert caught.value.failed == ["no results"]
+    bad = [study(1, "Completed", "2024-01-05"), study(2, "No such status", "2024-01-05")]
+    medallion.ingest(spark, nested(spark, bad, day), layers, day)
+    medallion.refine(spark, layers, enforce=False)
+    medallion.build_marts(spark, layers, "2024-02-01")
+    with pytest.raises(QualityError) as caught:
+        medallion.retrain(spark, layers, "2024-01-10")
+    assert caught.value.suite == "bronze_suite"
+
+
+def test_a_whole_run_on_the_upserted_silver(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    rng = random.Random(1)
+    studies = [study(i, rng.choice(["Completed", "Terminated"]), "2024-01-05", "Phase 1", str(rng.randrange(99))) for i in range(80)]
+    small = {"random_forest": {"numTrees": 2, "maxDepth": 2}}
+    day = dt.date(2024, 1, 10)
+    counts = medallion.run(spark, nested(spark, studies, day), layers, day, as_of="2024-02-01", models=small)
+    assert counts == {"archived": 80, "undated": 0, "sent": 80, "failed": 0}
+    mart = tables.read_table(spark, layers.gold("trial_enrollment_mart"))
+    assert mart.agg(F.sum("trial_count")).first()[0] == 80
+    assert learn.read_runs(spark, layers.learn).count() == 1
+
+
+def test_watch_and_compaction(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    medallion.ingest(spark, nested(spark, [study(1, "Recruiting", "2024-01-05")], day), layers, day)
+    landed = tables.read_bronze(spark, layers.bronze).first().ingest_date
+    assert medallion.watch(spark, layers, landed) == []
+    assert medallion.watch(spark, layers, landed + dt.timedelta(days=9)) == ["no_arrival", "stale"]
+    assert spark.read.parquet(layers.alerts).count() == 6
+    before = sorted(map(tuple, medallion.read_bronze(spark, layers).collect()))
+    medallion.compact(spark, layers, landed, landed)
+    after = medallion.read_bronze(spark, layers)
+    assert sorted(map(tuple, after.collect())) == before
+    assert all("bronze_compacted" in f for f in after.filter(F.col("ingest_date") <= F.lit(landed)).inputFiles())
+    with pytest.raises(ValueError):
+        tables.append_bronze(after, layers.bronze)
