@@ -244,6 +244,14 @@ good AS (
   FROM events WHERE event_type NOT IN ('signup', 'error')
 )"""
 
+_SCAN_RECORDS = f"""
+records AS (
+  SELECT *, {_date('last_update_post_date')} AS day FROM (
+    SELECT nct_id, CASE WHEN k % 31 = 0 THEN NULL WHEN k % 37 = 0 THEN '01/15/2024' WHEN k % 41 = 0 THEN '2999-01-01'
+      ELSE last_update_post_date END AS last_update_post_date
+    FROM (SELECT *, CAST(nct_id[4:] AS BIGINT) AS k FROM trials_raw))
+)"""
+
 _STUDY_CONDITIONS = f"""
 names AS (
   SELECT nct_id, healthy_volunteers AS condition_name FROM trials_raw
@@ -256,12 +264,18 @@ ORACLES |= {
           run_date, strftime(run_date, '%Y') AS year, strftime(run_date, '%m') AS month,
           strftime(run_date, '%d') AS day
         FROM (SELECT *, CAST(date_trunc('quarter', ingest_date) AS DATE) AS run_date FROM trials_raw)""",
-    "incremental_scan": f"""{_with(TRIALS_RAW)},
-        first AS (SELECT nct_id, last_update_post_date FROM trials_raw
-                  WHERE last_update_post_date >= CAST(DATE '2001-08-15' - 30 AS VARCHAR))
-        SELECT *, 1 AS scan FROM first
-        UNION ALL SELECT *, 2 FROM first
-        WHERE last_update_post_date >= (SELECT max(last_update_post_date) FROM first)""",
+    "incremental_scan": f"""{_with(TRIALS_RAW, _SCAN_RECORDS)},
+        first AS (SELECT * FROM records WHERE day IS NULL OR day >= DATE '2001-08-15' - 30)
+        SELECT nct_id, last_update_post_date, 1 AS scan FROM first
+        UNION ALL SELECT nct_id, last_update_post_date, 2 FROM records
+        WHERE day IS NULL OR day >= (SELECT max(day) FROM first WHERE day <= DATE '2001-08-15')""",
+    "ordered_scan": f"""{_with(TRIALS_RAW, _SCAN_RECORDS)}
+        SELECT count(*) AS n, true AS is_ordered FROM records WHERE day IS NULL OR day >= DATE '2001-01-01'""",
+    "wrapped_archive_scan": f"""{_with(TRIALS_RAW)}
+        SELECT nct_id, overall_status, brief_title, phase, enrollment_count, location_country,
+          CAST(date_trunc('quarter', ingest_date) AS DATE) AS run_date FROM trials_raw""",
+    "topic_bytes": f"""{_with(_GOOD_EVENTS)}
+        SELECT nct_id, overall_status, brief_title, last_update_post_date, raw FROM good""",
     "json_envelope": f"""{_with(TRIALS_RAW)}
         SELECT nct_id, coalesce(overall_status, 'Unknown status') AS overall_status, brief_title,
           last_update_post_date, phase, enrollment_count, lead_sponsor_name, sex FROM trials_raw""",
@@ -295,6 +309,18 @@ ORACLES |= {
                  JOIN words USING (word) GROUP BY 1)
         SELECT DISTINCT nct_id, condition_name, coalesce(category, 'other') AS condition_category
         FROM conditions LEFT JOIN hits ON p_name = condition_name""",
+    "condition_category_large": f"""{_with(CONDITIONS)},
+        dictionary AS (
+          SELECT lower(p_name) AS keyword, 'phrase ' || CAST(p_partkey % 3 AS VARCHAR) AS category FROM part
+          WHERE p_partkey % 7 <> 0
+          UNION ALL SELECT string_split(p_name, ' ')[-1], 'word ' || CAST(p_partkey % 3 AS VARCHAR) FROM part),
+        keywords AS (SELECT keyword, min(category) AS category FROM dictionary GROUP BY 1),
+        names AS (SELECT DISTINCT condition_name, string_split(lower(condition_name), ' ') AS w FROM conditions),
+        runs AS (SELECT condition_name, array_to_string(w[i:i + n - 1], ' ') AS run
+                 FROM names, (SELECT unnest(range(1, 8)) AS i), (SELECT unnest(range(1, 8)) AS n) WHERE i + n - 1 <= len(w)),
+        hits AS (SELECT condition_name, min(category) AS category FROM runs JOIN keywords ON run = keyword GROUP BY 1)
+        SELECT DISTINCT nct_id, condition_name, coalesce(category, 'other') AS condition_category
+        FROM conditions LEFT JOIN hits USING (condition_name)""",
 }
 
 
@@ -434,6 +460,22 @@ _ENVELOPED = (
 )
 
 
+# Trials with all nine statuses and several countries.
+_PASSING = (
+    TRIALS_RAW.replace("trials_raw AS", "plain AS"),
+    f"""trials_raw AS (
+      SELECT * REPLACE (
+          [{_STATUSES[1:-1]}][k % 9 + 1] AS overall_status,
+          CASE WHEN k % 211 = 0 THEN 'abc' ELSE CAST(k % 5000 AS VARCHAR) END AS enrollment_count),
+        'NATION_' || CAST(k % 25 AS VARCHAR) AS other_country
+      FROM (SELECT *, CAST(nct_id[4:] AS BIGINT) AS k FROM plain))""",
+    STG,
+    """places AS (
+      SELECT DISTINCT nct_id, trim(c) AS country
+      FROM (SELECT nct_id, unnest([location_country, other_country]) AS c FROM trials_raw))""",
+)
+
+
 def _code(column: str) -> str:
     return f"CAST(dense_rank() OVER (ORDER BY {column}) - 1 AS INTEGER) AS {column}"
 
@@ -465,13 +507,92 @@ ORACLES |= {
     "warehouse_layout": f"{_TRIALS} SELECT {_SILVER} FROM stg",
     "silver_updates": f"""{_with(*_ENVELOPED, STG)}
         SELECT * EXCLUDE (ingest_date, ingest_timestamp) FROM stg""",
-    "medallion_run": f"""{_with(
-        *_ENVELOPED,
-        STG,
-        _STUDY_CONDITIONS,
-        """conditions AS (SELECT nct_id, condition_name, CASE lower(trim(condition_name))
-             WHEN 'yes' THEN 'endocrinology' WHEN 'household' THEN 'oncology' WHEN 'machinery' THEN 'cardiology'
-             ELSE 'other' END AS condition_category FROM names)""",
-        JOINED,
-    )} SELECT {_MART_KEYS}, {_MART_AGG} FROM joined GROUP BY ALL""",
+    "silver_rebucketed": f"{_with(VERSIONS_RAW, STG_VERSIONS)} SELECT * FROM stg_versions",
+    **dict.fromkeys(
+        ("medallion_run", "incremental_run"),
+        f"""{_with(
+            *_PASSING,
+            _STUDY_CONDITIONS,
+            """conditions AS (SELECT DISTINCT nct_id, lower(trim(condition_name)) AS condition_name,
+                 CASE lower(trim(condition_name)) WHEN 'yes' THEN 'endocrinology' WHEN 'household' THEN 'oncology'
+                 WHEN 'machinery' THEN 'cardiology' ELSE 'other' END AS condition_category FROM names)""",
+            JOINED,
+        )} SELECT {_MART_KEYS}, {_MART_AGG} FROM joined GROUP BY ALL""",
+    ),
+    "phase_outcomes_all_statuses": ORACLES["phase_outcomes"].replace(_TRIALS, _with(*_PASSING)),
+    "sponsor_activity_countries": f"""{_with(*_PASSING)},
+        reach AS (SELECT lead_sponsor_name, count(DISTINCT country) AS country_count
+                  FROM stg JOIN places USING (nct_id) GROUP BY 1)
+        SELECT lead_sponsor_name, count(*) AS trial_count, any_value(country_count) AS country_count,
+          CAST(sum(enrollment_count) AS BIGINT) AS total_enrollment,
+          {_n("overall_status = 'completed'")} AS completed_count,
+          {_pct(_n("overall_status = 'completed'"))} AS completion_rate_pct,
+          {_pct(_n("overall_status = 'completed'"),
+                _n("overall_status IN ('completed', 'terminated', 'withdrawn')"))} AS success_rate_pct
+        FROM stg JOIN reach USING (lead_sponsor_name) GROUP BY 1""",
+    "trials_by_countries": f"""{_with(*_PASSING)}
+        SELECT country, count(*) AS trial_count, {_n("overall_status = 'recruiting'")} AS recruiting_count,
+          CAST(sum(enrollment_count) AS BIGINT) AS total_enrollment
+        FROM stg JOIN places USING (nct_id) GROUP BY 1""",
+    "geo_gaps_by_category": f"""{_with(*_PASSING, CONDITIONS)},
+        seen AS (SELECT condition_category, country, count(DISTINCT nct_id) AS n
+                 FROM stg JOIN places USING (nct_id) JOIN conditions USING (nct_id) GROUP BY ALL),
+        listed AS (SELECT n_name AS country, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey),
+        active AS (SELECT DISTINCT condition_category, region FROM seen JOIN listed USING (country))
+        SELECT condition_category, region, l.country, coalesce(n, 0) AS trial_count
+        FROM active JOIN listed l USING (region) LEFT JOIN seen USING (condition_category, country)
+        WHERE coalesce(n, 0) < 1000000""",
+}
+
+# --- models: what can be said without the trees ------------------------------------------------
+_SPLIT = f"""{_FEATS},
+split AS (
+  SELECT nct_id, is_completed,
+    row_number() OVER (PARTITION BY is_completed ORDER BY md5(nct_id || '|42'))
+      <= count(*) OVER (PARTITION BY is_completed)
+         - floor(count(*) OVER (PARTITION BY is_completed) * 0.2 + 0.5) AS is_train
+  FROM feats
+)"""
+
+_SCORED = f"""{_FEATS},
+scored AS (
+  SELECT nct_id, CASE WHEN p >= 0.4 THEN 1 ELSE 0 END AS predicted_completed, p AS completion_probability,
+    is_completed AS actual
+  FROM (SELECT *, CAST(enrollment_count % 1000 AS DOUBLE) / 1000 AS p FROM feats)
+)"""
+
+
+def _run(model: str) -> str:
+    return f"""{_SPLIT} SELECT '{model}' AS model_type, {_n("is_train")} AS n_train, {_n("NOT is_train")} AS n_test,
+        true AS metrics_hold FROM split"""
+
+
+ORACLES |= {
+    "model_metrics": f"""{_SCORED},
+        ranked AS (SELECT *, rank() OVER (ORDER BY completion_probability)
+                     + (count(*) OVER (PARTITION BY completion_probability) - 1) / 2.0::DOUBLE AS r FROM scored),
+        cells AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(actual) AS DOUBLE) AS p,
+                    CAST(sum(predicted_completed) AS DOUBLE) AS said,
+                    CAST({_n("actual = 1 AND predicted_completed = 1")} AS DOUBLE) AS hit1,
+                    CAST({_n("actual = 0 AND predicted_completed = 0")} AS DOUBLE) AS hit0,
+                    sum(r) FILTER (WHERE actual = 1) AS ranks FROM ranked)
+        SELECT round((hit1 + hit0) / n, 9) AS accuracy, round((ranks - p * (p + 1) / 2) / (p * (n - p)), 9) AS auc,
+          round((2 * hit1 / (said + p) * p + 2 * hit0 / (n - said + n - p) * (n - p)) / n, 9) AS f1,
+          round((n - hit1 - hit0) / n, 9) AS mae FROM cells""",
+    "best_of_runs": f"""{_FEATS}
+        SELECT location_country AS model_type, CAST(regexp_extract(location_country, '([0-9]+)$', 1) AS INTEGER) AS position,
+          round(avg(is_completed), 2) AS auc FROM feats WHERE length(location_country) % 2 <> 0
+        GROUP BY location_country ORDER BY auc DESC, position LIMIT 1""",
+    "predictions_csv": f"{_SCORED} SELECT * FROM scored",
+    "assembled_features": f"""SELECT nct_id, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in (
+        'phase', 'lead_sponsor_class', 'location_country', 'enrollment_count', 'study_duration_days', 'sex',
+        'healthy_volunteers', 'condition_category', 'n_conditions', 'n_categories', 'n_countries'))}
+        FROM ({ORACLES['feature_matrix']})""",
+    "train_random_forest": _run("random_forest"),
+    "train_gradient_boosting": _run("gradient_boosting"),
+    "best_model": "SELECT CAST(2 AS BIGINT) AS n_runs, true AS is_highest",
+    "model_predictions": f"{_SPLIT} SELECT nct_id, is_completed AS actual, true AS holds FROM split WHERE NOT is_train",
+    "feature_importances": """SELECT unnest(['phase', 'lead_sponsor_class', 'location_country', 'enrollment_count',
+        'study_duration_days', 'sex', 'healthy_volunteers', 'condition_category', 'n_conditions', 'n_categories',
+        'n_countries']) AS feature, true AS holds""",
 }

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortmill.schemas import REGISTRY_STATUSES
+
 AS_OF = "2003-01-01"
 RUN_DAY = "2001-08-15"
 
@@ -152,12 +154,51 @@ def versions_raw(events: DataFrame) -> DataFrame:
     )
 
 
-def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_number() -> Column:
+    """The number in a trial's id."""
+    return F.substring("nct_id", 4, 20).cast("bigint")
+
+
+def scan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trials with update dates of every kind: readable, missing, partial, in slashes, far ahead."""
+    k, day = order_number(), F.col("last_update_post_date")
+    return trials_raw(spark, sf_dir).select(
+        "nct_id",
+        F.when(k % 31 == 0, None)
+        .when(k % 37 == 0, "01/15/2024")
+        .when(k % 41 == 0, "2999-01-01")
+        .otherwise(day)
+        .alias("last_update_post_date"),
+    )
+
+
+def trials_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Untyped trials that pass the suites: all nine statuses, several countries, few bad counts."""
+    k = order_number()
+    raw = trials_raw(spark, sf_dir)
+    statuses = F.array(*map(F.lit, REGISTRY_STATUSES))
+    other = F.concat(F.lit("NATION_"), (k % 25).cast("string"))
+    return raw.withColumns(
+        {
+            "overall_status": F.element_at(statuses, (k % 9 + 1).cast("int")),
+            "enrollment_count": F.when(k % 211 == 0, "abc").otherwise((k % 5000).cast("string")),
+            "location_countries": F.array("location_country", other, F.concat(other, F.lit(" "))),
+        }
+    )
+
+
+def studies(spark: SparkSession, sf_dir: str, flat: DataFrame | None = None) -> DataFrame:
     """One nested study per order, as the registry nests it (column `study`).
 
-    The quarter of its update stands for the run it came in with.
+    The quarter of its update stands for the run it came in with. `flat` are other
+    trials than `trials_raw`.
     """
-    flat = trials_raw(spark, sf_dir)
+    flat = trials_raw(spark, sf_dir) if flat is None else flat
+    countries = (
+        F.transform("location_countries", lambda c: F.struct(c.alias("country")))
+        if "location_countries" in flat.columns
+        else F.array(F.struct(F.col("location_country").alias("country")))
+    )
 
     def box(name):
         return F.struct(F.col(name).alias("date"))
@@ -195,7 +236,7 @@ def studies(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("healthy_volunteers").alias("healthyVolunteers"),
         ).alias("eligibilityModule"),
         F.struct(
-            F.array(F.struct(F.col("location_country").alias("country"))).alias("locations")
+            countries.alias("locations")
         ).alias("contactsLocationsModule"),
         F.struct(
             F.array(F.struct(F.col("brief_title").alias("measure"))).alias("primaryOutcomes")

@@ -6,7 +6,8 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from catalogue import proxies as P
@@ -143,19 +144,49 @@ def trials_by_country(spark, sf_dir):
 
 @query
 def geo_gaps(spark, sf_dir):
-    nation, region = P.table(spark, sf_dir, "nation"), P.table(spark, sf_dir, "region")
-    places = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_name").alias("country"), F.col("r_name").alias("region")
-    )
     return reports.geo_gaps(
         silver(spark, sf_dir),
         P.conditions(spark, sf_dir),
-        places,
+        places(spark, sf_dir),
         category="condition_name",
         min_trials=30,
     )
 
 
+def places(spark, sf_dir) -> DataFrame:
+    nation, region = P.table(spark, sf_dir, "nation"), P.table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_name").alias("country"), F.col("r_name").alias("region")
+    )
+
+
+@query
+def geo_gaps_by_category(spark, sf_dir):
+    """Gaps by category over trials with several countries each; every country listed twice."""
+    listed = places(spark, sf_dir)
+    return reports.geo_gaps(passing(spark, sf_dir), P.conditions(spark, sf_dir), listed.union(listed), min_trials=1_000_000)
+
+
+def passing(spark, sf_dir) -> DataFrame:
+    """Silver of the trials with all nine statuses and several countries."""
+    return staging.stage_trials(P.trials_passing(spark, sf_dir))
+
+
+@query
+def phase_outcomes_all_statuses(spark, sf_dir):
+    return marts.phase_outcomes_mart(passing(spark, sf_dir))
+
+
+@query
+def sponsor_activity_countries(spark, sf_dir):
+    return marts.sponsor_activity_mart(passing(spark, sf_dir))
+
+
+@query
+def trials_by_countries(spark, sf_dir):
+    return reports.trials_by_country(passing(spark, sf_dir))
+
+
 # --- raw archive, incremental scan, messages ------------------------------------
 @query
 def raw_archive_scan(spark, sf_dir):
@@ -184,14 +215,56 @@ def incremental_scan(spark, sf_dir):
     """Two scans: from the default mark, then from the mark the first one left."""
     path = scratch(spark, "mark")
     run_day = dt.date.fromisoformat(P.RUN_DAY)
-    records = P.trials_raw(spark, sf_dir).select("nct_id", "last_update_post_date")
+    records = P.scan_records(spark, sf_dir)
     first = mark.updated_since(records, mark.read_mark(spark, path, run_day))
-    newest = first.agg(F.max("last_update_post_date").try_cast("date")).first()[0]
-    mark.write_mark(spark, path, run_day, newest)
+    mark.write_mark(spark, path, run_day, mark.newest_day(first, run_day))
     second = mark.updated_since(records, mark.read_mark(spark, path, run_day))
     return first.withColumn("scan", F.lit(1)).unionByName(second.withColumn("scan", F.lit(2)))
 
 
+@query
+def ordered_scan(spark, sf_dir):
+    """A scan in the order of the updates: its rows, and whether each task's follow those of the task before."""
+    found = mark.updated_since(P.scan_records(spark, sf_dir), dt.date(2001, 1, 1), ordered=True)
+    day = mark.update_day(found, "last_update_post_date")
+    tasks = found.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.min(day).alias("first"), F.max(day).alias("last"), F.count("*").alias("n")
+    )
+    before = F.max("last").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    return tasks.withColumn("ordered", F.coalesce(before <= F.col("first"), F.lit(True))).agg(
+        F.sum("n").alias("n"), F.bool_and("ordered").alias("is_ordered")
+    )
+
+
+@query
+def wrapped_archive_scan(spark, sf_dir):
+    """Studies written as documents that wrap up to 1,000 of them, read back as their union."""
+    path = scratch(spark, "wrapped")
+    rows = P.studies(spark, sf_dir)
+    number = F.substring(F.col("study.protocolSection.identificationModule.nctId"), 4, 20).cast("bigint")
+    documents = rows.groupBy("run_date", F.floor(number / 1000).alias("part")).agg(
+        F.collect_list("study").alias("studies")
+    )
+    documents.select(
+        F.col("run_date").cast("string").alias("run_date"), F.size("studies").cast("bigint").alias("count"), "studies"
+    ).write.option("maxRecordsPerFile", 1).json(path)
+    flat = envelope.flatten_studies(archive.read_wrapped_archive(spark, path), keep=["run_date"])
+    return flat.select("nct_id", "overall_status", "brief_title", "phase", "enrollment_count", "location_country", "run_date")
+
+
+@query
+def topic_bytes(spark, sf_dir):
+    """Messages as a topic holds them, in bytes, through the parsing behind the topic source."""
+    topic = P.versions_bus(spark, sf_dir).select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        "timestamp",
+        F.lit(0).alias("partition"),
+    )
+    bronze = envelope.accepted(envelope.parse_messages(bus.from_bytes(topic)))
+    return bronze.select("nct_id", "overall_status", "brief_title", "last_update_post_date", "raw")
+
+
 @query
 def json_envelope(spark, sf_dir):
     """Study -> message text -> parsed message, with fields of the study inside."""
@@ -334,6 +407,21 @@ def condition_category(spark, sf_dir):
     return conditions.categorize(named, conditions.keyword_dictionary(spark, P.NOUN_KEYWORDS))
 
 
+@query
+def condition_category_large(spark, sf_dir):
+    """A dictionary of the different part names and their last words, some null: phrases and words."""
+    named = P.conditions(spark, sf_dir).select("nct_id", "condition_name").distinct()
+    part = P.table(spark, sf_dir, "part")
+    size = (F.col("p_partkey") % 3).cast("string")
+    phrases = part.select(
+        F.when(F.col("p_partkey") % 7 != 0, F.upper("p_name")).alias("keyword"), F.concat(F.lit("phrase "), size).alias("category")
+    )
+    words = part.select(
+        F.element_at(F.split("p_name", " "), -1).alias("keyword"), F.concat(F.lit("word "), size).alias("category")
+    )
+    return conditions.categorize(named, phrases.unionByName(words))
+
+
 # --- quality -------------------------------------------------------------------------
 @query
 def bronze_suite(spark, sf_dir):
@@ -343,9 +431,8 @@ def bronze_suite(spark, sf_dir):
 @query
 def silver_suite(spark, sf_dir):
     trials = stored(silver(spark, sf_dir), "trials")
-    bridge = checks.run_suite(
-        P.conditions(spark, sf_dir), checks.BRIDGE_SUITE, {"stg_trials": trials}
-    )
+    bridge = stored(P.conditions(spark, sf_dir).select("nct_id"), "bridge")
+    bridge = checks.run_suite(bridge, checks.BRIDGE_SUITE, {"stg_trials": trials})
     return checks.run_suite(trials, checks.SILVER_SUITE).unionByName(bridge).drop("params")
 
 
@@ -354,7 +441,7 @@ def model_tests(spark, sf_dir):
     trials = stored(silver(spark, sf_dir), "trials")
     results = checks.run_model_tests(
         {
-            "trials_raw": P.versions_raw(P.table(spark, sf_dir, "events")),
+            "trials_raw": stored(P.versions_raw(P.table(spark, sf_dir, "events")), "versions"),
             "stg_trials": trials,
             "trial_enrollment_mart": marts.enrollment_mart(
                 trials, P.conditions(spark, sf_dir), P.AS_OF
@@ -441,29 +528,79 @@ def balanced_weights(spark, sf_dir):
     )
 
 
-_TRAINED: dict[tuple[str, str], tuple[str, DataFrame, set[str]]] = {}
+def scored(spark, sf_dir) -> DataFrame:
+    """Predictions by a rule over the trial rows, in place of a model: what SQL can follow."""
+    rows = trial_rows(spark, sf_dir)
+    probability = (F.col("enrollment_count") % 1000) / 1000.0
+    return rows.select(
+        "nct_id",
+        F.when(probability >= 0.4, 1).otherwise(0).alias("predicted_completed"),
+        probability.alias("completion_probability"),
+        F.col(features.TARGET).alias("actual"),
+    )
+
+
+@query
+def model_metrics(spark, sf_dir):
+    """Accuracy, AUC, weighted F1 and error of the rule's predictions."""
+    metrics = learn.evaluate(stored(scored(spark, sf_dir), "scored"))
+    names = ["accuracy", "auc", "f1", "mae"]
+    row = spark.createDataFrame([tuple(float(metrics[n]) for n in names)], ", ".join(f"{n} double" for n in names))
+    return row.select(*(F.round(n, 9).alias(n) for n in names))
+
+
+@query
+def best_of_runs(spark, sf_dir):
+    """The best of runs whose AUC is undefined for some: a run for each country, by its share of completed trials."""
+    shares = trial_rows(spark, sf_dir).groupBy("location_country").agg(F.avg(features.TARGET).alias("share"))
+    odd = F.pmod(F.length("location_country"), F.lit(2)) == 0
+    runs = shares.select(
+        F.col("location_country").alias("model_type"),
+        F.regexp_extract("location_country", r"(\d+)$", 1).cast("int").alias("position"),
+        F.when(odd, F.lit(float("nan"))).otherwise(F.round("share", 2)).alias("auc"),
+    )
+    return learn.best_run(runs)
+
+
+@query
+def predictions_csv(spark, sf_dir):
+    """The rule's predictions, by way of the CSV they are handed on as."""
+    path = scratch(spark, "predictions")
+    tables.write_csv(scored(spark, sf_dir), path)
+    return spark.read.schema(PREDICTIONS).option("header", True).csv(path)
+
+
+PREDICTIONS = "nct_id string, predicted_completed int, completion_probability double, actual int"
+
+
+@query
+def assembled_features(spark, sf_dir):
+    """The model's input vectors, taken apart again."""
+    assembled = learn.assembler(features.TRIAL_FEATURES).transform(feature_matrix(spark, sf_dir))
+    values = assembled.select("nct_id", vector_to_array("features").alias("v"))
+    return values.select("nct_id", *(F.col("v")[i].alias(name) for i, name in enumerate(features.TRIAL_FEATURES)))
+
+
 RUN_DATE = "2003-01-01"
 
 
 def trained(spark, sf_dir, *models: str) -> str:
-    """The folder that holds these models, each trained once per session and scale."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TRAINED:
-        coded = feature_matrix(spark, sf_dir)
-        split = features.stratified_split(coded, ["nct_id"], features.TARGET)
-        _TRAINED[key] = (scratch(spark, "learn"), split, set())
-    root, split, done = _TRAINED[key]
-    missing = {m: {} for m in models if m not in done}
-    if missing:
-        learn.train_models(split, features.TRIAL_FEATURES, root, RUN_DATE, ["nct_id"], missing)
-        done.update(missing)
+    """A folder with these models, trained on the trial rows."""
+    root = scratch(spark, "learn")
+    split = features.stratified_split(feature_matrix(spark, sf_dir), ["nct_id"], features.TARGET)
+    learn.train_models(
+        split, features.TRIAL_FEATURES, root, RUN_DATE, ["nct_id"], {m: {} for m in models}, features.TRIAL_CATEGORICAL
+    )
     return root
 
 
 def run_of(spark, sf_dir, model: str) -> DataFrame:
+    """What can be said of a run whatever the trees: sizes, and metrics within their bounds."""
     runs = learn.read_runs(spark, trained(spark, sf_dir, model))
-    return runs.filter(F.col("model_type") == model).select(
-        "model_type", "n_train", "n_test", "accuracy", "auc", "f1", "mae"
+    bounded = [F.col(m).between(0, 1) for m in ("accuracy", "auc", "f1", "mae")]
+    consistent = F.abs(F.col("accuracy") + F.col("mae") - 1) < 1e-9
+    return runs.select(
+        "model_type", "n_train", "n_test", reduce(lambda a, b: a & b, bounded, consistent).alias("metrics_hold")
     )
 
 
@@ -479,24 +616,33 @@ def train_gradient_boosting(spark, sf_dir):
 
 @query
 def best_model(spark, sf_dir):
+    """Both models' runs, and whether the best one has the highest AUC."""
     runs = learn.read_runs(spark, trained(spark, sf_dir, *learn.MODELS))
-    return learn.best_run(runs).select("model_type", "auc")
+    best = learn.best_run(runs).select(F.col("auc").alias("best"))
+    return runs.agg(F.count("*").alias("n_runs"), F.max("auc").alias("highest")).join(best).select(
+        "n_runs", (F.col("best") == F.col("highest")).alias("is_highest")
+    )
 
 
 @query
 def model_predictions(spark, sf_dir):
-    """The best model's test predictions, by way of the CSV they are handed on as."""
+    """The best model's predictions of the test rows, by way of their CSV; scores within their bounds."""
     path = scratch(spark, "predictions")
     tables.write_csv(learn.best_predictions(spark, trained(spark, sf_dir, *learn.MODELS), RUN_DATE), path)
-    schema = "nct_id string, predicted_completed int, completion_probability double, actual int"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    rows = spark.read.schema(PREDICTIONS).option("header", True).csv(path)
+    agree = (F.col("completion_probability") > 0.5) == (F.col("predicted_completed") == 1)
+    holds = F.col("completion_probability").between(0, 1) & F.col("predicted_completed").isin(0, 1)
+    return rows.select("nct_id", "actual", (holds & (agree | (F.col("completion_probability") == 0.5))).alias("holds"))
 
 
 @query
 def feature_importances(spark, sf_dir):
+    """Each feature's share, and whether the shares make up a whole."""
     root = trained(spark, sf_dir, "random_forest")
     model = learn.PipelineModel.load(f"{root}/models/random_forest/{RUN_DATE}")
-    return learn.importances(model, spark, features.TRIAL_FEATURES)
+    shares = learn.importances(model, spark, features.TRIAL_FEATURES)
+    whole = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9
+    return shares.select("feature", (F.col("importance").between(0, 1) & whole).alias("holds"))
 
 
 # --- layout, whole run ---------------------------------------------------------------------
@@ -511,23 +657,50 @@ def warehouse_layout(spark, sf_dir):
 
 @query
 def silver_updates(spark, sf_dir):
-    """Two ingests, each followed by an upsert of what it brought into silver."""
+    """Two ingests, each followed by an upsert of what it brought into silver, the second by a new checkpoint."""
     layers = medallion.Layers(scratch(spark, "layers"))
     for day in (dt.date(2002, 1, 1), dt.date(2002, 1, 2)):
         medallion.ingest(spark, P.studies(spark, sf_dir), layers, day)
-        trials = medallion.refine_updates(spark, layers, buckets=8)
+        trials = medallion.refine_updates(spark, layers, buckets=8, enforce=False)
+        tables.remove(spark, layers.silver_checkpoint)
     return trials.select(
         *(c for c in SILVER_COLUMNS if c not in ("ingest_date", "ingest_timestamp"))
     )
 
 
+@query
+def silver_rebucketed(spark, sf_dir):
+    """Versions upserted by two sources, with more buckets for the second."""
+    events = P.versions_raw(P.table(spark, sf_dir, "events"))
+    trials = staging.standardize_trials(events)
+    early = F.col("ingest_timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")
+    path = scratch(spark, "silver")
+    streaming.upsert_silver(trials.filter(early), 0, path, buckets=4, source="a")
+    streaming.rebucket_silver(spark, path, trials.schema, 16)
+    streaming.upsert_silver(trials.filter(~early), 0, path, buckets=16, source="b")
+    return streaming.read_silver(spark, path, trials.schema)
+
+
 @query
 def medallion_run(spark, sf_dir):
-    """Studies -> archive -> bus -> bronze stream -> silver -> enrollment mart."""
+    """Studies -> archive -> bus -> bronze stream -> silver -> enrollment mart, every gate shut."""
     layers = medallion.Layers(scratch(spark, "layers"))
-    medallion.ingest(spark, P.studies(spark, sf_dir), layers, dt.date(2002, 1, 1))
-    medallion.refine(
-        spark, layers, conditions.keyword_dictionary(spark, P.WORD_KEYWORDS), enforce=False
-    )
+    studies = P.studies(spark, sf_dir, P.trials_passing(spark, sf_dir))
+    medallion.ingest(spark, studies, layers, dt.date(2002, 1, 1))
+    medallion.refine(spark, layers, conditions.keyword_dictionary(spark, P.WORD_KEYWORDS))
     medallion.build_marts(spark, layers, P.AS_OF)
     return tables.read_table(spark, layers.gold("trial_enrollment_mart"))
+
+
+@query
+def incremental_run(spark, sf_dir):
+    """Two days' whole runs on the upserted silver, gates shut; the second day brings all studies again."""
+    layers = medallion.Layers(scratch(spark, "layers"))
+    studies = P.studies(spark, sf_dir, P.trials_passing(spark, sf_dir))
+    early = F.col("run_date") < F.lit(dt.date(1998, 1, 1))
+    keywords = conditions.keyword_dictionary(spark, P.WORD_KEYWORDS)
+    for part, day in ((studies.filter(early), dt.date(2002, 1, 1)), (studies, dt.date(2002, 1, 2))):
+        medallion.ingest(spark, part, layers, day, since=dt.date(1900, 1, 1))
+        medallion.refine_updates(spark, layers, keywords, buckets=8)
+    medallion.build_marts(spark, layers, P.AS_OF, upserted=True)
+    return tables.read_table(spark, layers.gold("trial_enrollment_mart"))

@@ -61,7 +61,7 @@ def main(argv):
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = argv[1:] or list(queries())
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = build_session(master=os.environ.get("ORACLE_MASTER", "local[8]"), **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
