@@ -85,5 +85,26 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """`name`, made longer until `df` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def sampled(df: DataFrame, size: int, key: str) -> DataFrame:
+    """About `size` of the rows of `df`, by a hash of `key`; all if there are no more.
+
+    The rows are counted and the hash's bound follows from the count, so no task and
+    no driver sees more than its share of the sample.
+    """
+    n = df.count()
+    if n <= size:
+        return df
+    buckets = 1 << 30
+    return df.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(buckets)) < int(buckets * size / n))
+
+
 def sha256_of(column) -> F.Column:
     return F.sha2(F.coalesce(column, F.lit("")).cast("binary"), 256)

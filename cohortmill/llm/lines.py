@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortmill.llm.common import signed
+from cohortmill.llm.common import free_name, signed
 
 
 def text_lines(text: bytes) -> list[bytes]:
@@ -39,15 +39,15 @@ def drop_lines(
     differ in their verdict. It is the small side and is hashed, so no text is sorted.
     """
     by_text = "text_key" in verdict.columns
-    keys = ["doc_id", "host", "removed", *["text_key"] * by_text]
-    v = verdict.select(*[F.col(k).alias(f"__{k}") for k in keys]).hint("shuffle_hash")
-    same = F.col(doc_id).cast("bigint").eqNullSafe(F.col("__doc_id"))
-    same &= F.coalesce(F.col(host), F.lit("")) == F.col("__host")
+    keys = {k: free_name(f"__{k}", docs) for k in ("doc_id", "host", "removed", *["text_key"] * by_text)}
+    v = verdict.select(*[F.col(k).alias(name) for k, name in keys.items()]).hint("shuffle_hash")
+    same = docs[doc_id].cast("bigint").eqNullSafe(F.col(keys["doc_id"]))
+    same &= F.coalesce(docs[host], F.lit("")) == F.col(keys["host"])
     if by_text:
-        same &= _text_key(F.col(text)) == F.col("__text_key")
+        same &= _text_key(docs[text]) == F.col(keys["text_key"])
     columns, at = docs.columns, docs.columns.index(text)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
-    joined = docs.join(v, same, how).select(*[docs[c] for c in columns], "__removed")
+    joined = docs.join(v, same, how).select(*[docs[c] for c in columns], keys["removed"])
 
     def run(batches):
         for batch in batches:

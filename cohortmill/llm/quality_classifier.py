@@ -10,9 +10,9 @@ rows' shares say. A view that can tell nothing is never sure and hands nothing o
 Each view is then calibrated by Platt scaling on labelled rows that trained neither, and a
 document's score is the product of both calibrated odds over the prior's.
 
-The features of all rows are computed once and stored. Fitting takes a bounded sample: up to
-`SAMPLE` labelled and as many unlabelled rows, in the order of a hash of the id. All
-rows are scored.
+The features of all rows are computed once and stored. Fitting takes a bounded sample: about
+`SAMPLE` labelled and as many unlabelled documents, chosen by a hash of the id. All rows are
+scored.
 
 Defined cases: null and empty texts have zero features; null source, language and length are
 values of their own. Null ids and labels don't train; of repeated labels the larger
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import code_words, mapped, split_words, stored, texts
+from cohortmill.llm.common import code_words, mapped, sampled, split_words, stored, texts
 
 TEXT_FEATURES = (
     "log_words", "word_length", "upper", "digits", "symbols", "marks", "exclamations", "bars", "wide",
@@ -223,12 +223,16 @@ def score(
         .groupBy("doc_id")
         .agg((F.avg("y") >= 0.5).cast("int").alias("y"))
     )
-    fold = (F.crc32(F.col("doc_id").cast("string")) % FOLDS).alias("fold")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text_view", "source", "lang", "n_chars")]
-    joined = table.join(known, "doc_id", "left")
     # One fold trains nothing and tells how well the rest does; one calibrates.
-    marked = joined.filter("y is not null").select("*", fold).filter("fold <> 0").orderBy(*order).limit(sample).collect()
-    pool = joined.filter("y is null").orderBy(*order).limit(sample).collect()
+    fold = F.crc32(F.col("doc_id").cast("string")) % FOLDS
+    known = known.withColumn("fold", fold).filter("fold <> 0")
+    # One row for each id, however often it is repeated.
+    row = F.min(F.struct("text_view", "source", "lang", "n_chars")).alias("row")
+    chosen = table.join(sampled(known, sample, "doc_id"), "doc_id").groupBy("doc_id", "y", "fold").agg(row)
+    marked = chosen.orderBy("doc_id").select("row.*", "y", "fold").collect()
+    unknown = table.select("doc_id").distinct().join(known, "doc_id", "left_anti")
+    pool = table.join(sampled(unknown, sample, "doc_id"), "doc_id").groupBy("doc_id").agg(row)
+    pool = pool.orderBy("doc_id").select("row.*").collect()
     y = np.array([r["y"] for r in marked], dtype=np.float64)
     calibrates = np.array([r["fold"] == 1 for r in marked], dtype=bool)
     able = len(y) and all(len(set(part.tolist())) == 2 for part in (y[calibrates], y[~calibrates]))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import mapped, signed, stored, texts
+from cohortmill.llm.common import free_name, mapped, signed, stored, texts
 
 SEGMENTS = 8
 WIDTH = 8
@@ -266,17 +266,15 @@ def keep_one(
     """One row of `docs` for each component: of its smallest id, one if that is repeated."""
     found = near_duplicates(docs, shingle, radius, doc_id, text)
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
+    key, own_id, own_text = (free_name(f"__{name}", docs) for name in ("key", "doc_id", "text_key"))
     kept = found.groupBy("root").agg(pick).select(
-        F.col("pick.doc_id").alias("__doc_id"), F.col("pick.text_key").alias("__text_key")
-    )
-    number = F.col(doc_id).cast("bigint")
-    own_key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    left = docs.withColumn("__key", F.xxhash64(number, own_key))
-    right = kept.withColumn("__key", F.xxhash64("__doc_id", "__text_key"))
-    same = (left["__key"] == right["__key"]) & number.eqNullSafe(F.col("__doc_id")) & (own_key == F.col("__text_key"))
-    return (
-        left.join(right, same)
-        .select(*[left[c] for c in docs.columns], left["__key"], "__doc_id", "__text_key")
-        .dropDuplicates(["__key", "__doc_id", "__text_key"])
-        .select(*docs.columns)
+        F.col("pick.doc_id").alias(own_id),
+        F.col("pick.text_key").alias(own_text),
+        F.xxhash64("pick.doc_id", "pick.text_key").alias(f"{key}_kept"),
     )
+    number = docs[doc_id].cast("bigint")
+    text_key = F.xxhash64(F.coalesce(docs[text], F.lit("")))
+    keyed = docs.withColumn(key, F.xxhash64(number, text_key))
+    # One key to join on and to drop repeats by, so that texts are shuffled once.
+    same = (F.col(key) == F.col(f"{key}_kept")) & number.eqNullSafe(F.col(own_id)) & (text_key == F.col(own_text))
+    return keyed.join(kept, same).dropDuplicates([key, own_id, own_text]).select(*docs.columns)

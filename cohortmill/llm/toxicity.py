@@ -19,8 +19,8 @@ on sampled documents makes that a probability.
 As the features are finite, the trained expansion over the landmarks is one table of weights
 by three letters. Scoring looks letters up in it, over whole texts and without a shuffle.
 
-Training takes a bounded sample: up to `SAMPLE` toxic documents and twice as
-many others, of at most `SAMPLE_CHARS` characters, in the order of a hash of the id. Everything else covers all rows.
+Training takes a bounded sample: about `SAMPLE` toxic documents and twice as
+many others, of at most `SAMPLE_CHARS` characters, chosen by a hash of the id. Everything else covers all rows.
 
 Defined cases: null and empty texts have no word and get the model's score for none, below
 0.5. Null ids and labels don't train; of repeated labels the toxic one counts. With labels of
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import mapped, texts
+from cohortmill.llm.common import mapped, sampled, texts
 
 DECAY = 0.75
 # First and second step of each subsequence that spans at most five letters.
@@ -394,7 +394,7 @@ def fold(doc_id) -> F.Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, size: int) -> list[tuple[str, int]]:
-    """Up to `size` toxic texts and twice as many others, of the folds that may train, by a hash of their id."""
+    """About `size` toxic texts and twice as many others, of the folds that may train, by a hash of their id."""
     known = (
         labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).cast("int").alias("toxic"))
         .filter("doc_id is not null and toxic is not null")
@@ -402,17 +402,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
         .agg(F.max("toxic").alias("toxic"))
         .filter(fold(F.col("doc_id")) != 0)
     )
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.filter("toxic = 1").orderBy(*order).limit(size).union(
-        known.filter("toxic = 0").orderBy(*order).limit(2 * size)
+    chosen = sampled(known.filter("toxic = 1"), size, "doc_id").union(
+        sampled(known.filter("toxic = 0"), 2 * size, "doc_id")
     )
     own = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter(
         F.length("text") <= SAMPLE_CHARS
     )
-    # At most three times `size` ids and numbers.
-    rows = own.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
-    one = {r["doc_id"]: (r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]), reverse=True)}
-    return [one[i] for i in sorted(one)]
+    # About three times `size` ids and numbers; one text for each id, however often it is repeated.
+    rows = own.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return [(r["text"], r["toxic"]) for r in rows.orderBy("doc_id").collect()]
 
 
 def score(
