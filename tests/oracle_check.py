@@ -57,7 +57,7 @@ def compare(df, con, sql: str) -> list[str]:
 
 def main(argv):
     from __spark_entry__ import oracle_sql, queries
-    from cohortmill.session import build_session
+    from cohortmill.session import build_session, remove_scratch
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = argv[1:] or list(queries())
@@ -76,6 +76,7 @@ def main(argv):
                 problems, n = [], f"{df.count()} (no oracle)"
         except Exception as error:  # report and go on to the next query
             problems, n = [f"{type(error).__name__}: {str(error)[:1500]}"], "?"
+        remove_scratch(spark)
         bad += bool(problems)
         print(f"{'FAIL' if problems else 'ok  '} {name:30s} rows={n} {time.time() - start:.1f}s", flush=True)
         for p in problems:
