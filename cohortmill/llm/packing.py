@@ -39,7 +39,7 @@ END_ID = 1
 LEAST_FILL = 0.97
 WHOLE = 64
 BLOCK_ROWS = 20_000
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 TAIL = ".,!?;:|"
 MARK = "\x01"
@@ -94,14 +94,20 @@ class WordTokens:
 
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of different words; words not met for long are forgotten."""
-        if len(self.known) + len(words) > CACHE_WORDS:
+        found = list(map(self.known.get, words))
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if not gaps:
+            return found
+        if len(self.known) > CACHE_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        if older:
-            known.update([(w, older[w]) for w in words if w in older and w not in known])
-        if new := [w for w in words if w not in known]:
-            self._learn(new)
-        return [known[w] for w in words]
+        missed = [words[i] for i in gaps]
+        self._learn([w for w in missed if w not in older])
+        for i, word in zip(gaps, missed):
+            if (ids := known.get(word)) is None:
+                ids = known[word] = older[word]
+            found[i] = ids
+        return found
 
     def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of different words in one array, with begin and size of each word's."""
