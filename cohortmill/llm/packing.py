@@ -29,7 +29,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from cohortmill.llm.common import code_words, mapped, split_words, stored, texts
@@ -208,10 +207,18 @@ def pieces(
     return mapped(needed, work, PIECES)
 
 
-def _fill_rest(capacity: int, schema: T.StructType) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def numbered(found: DataFrame) -> DataFrame:
+    """The pieces stored, each with a number: its task's in the upper bits, its row's in the lower."""
+    return stored(found.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+
+
+PLACES = "piece bigint, sequence_id bigint, offset bigint"
+
+
+def _fill_rest(capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def work(rest: pd.DataFrame) -> pd.DataFrame:
         """Largest first, each into the fullest sequence that takes it."""
-        rest = rest.sort_values(["length", "__class", "__rank"], ascending=[False, True, True], kind="stable")
+        rest = rest.sort_values(["length", "piece"], ascending=[False, True])
         room: list[tuple[int, int]] = []  # (ids left, sequence), ascending
         number, offset, opened = [], [], 0
         for length in rest["length"].tolist():
@@ -221,61 +228,54 @@ def _fill_rest(capacity: int, schema: T.StructType) -> Callable[[pd.DataFrame],
             number.append(sequence)
             offset.append(capacity - left)
             bisect.insort(room, (left - length, sequence))
-        rest["sequence_id"] = np.array(number, dtype=np.int64) * (capacity + 1)
-        rest["offset"] = np.array(offset, dtype=np.int64)
-        return rest[schema.fieldNames()]
+        sequences = np.array(number, dtype=np.int64) * (capacity + 1)
+        return pd.DataFrame({"piece": rest["piece"], "sequence_id": sequences, "offset": np.array(offset, np.int64)})
 
     return work
 
 
-def place(table: DataFrame, capacity: int = CAPACITY, carried: dict[str, F.Column] | None = None) -> DataFrame:
-    """`table` of pieces with `sequence_id` and `offset`.
-
-    The table has to be stored as Parquet: a piece's place follows from its file and row.
-    `carried` are the columns that go along, by name; the ids if not given.
-    """
-    numbered = table.select(
-        "doc_id",
-        "start",
+def place(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """(piece, sequence_id, offset) of each piece of a stored table with `piece` and `length`."""
+    rows = table.select(
+        "piece",
         "length",
-        "doc_tokens",
-        *[c.alias(name) for name, c in ({"ids": F.col("ids")} if carried is None else carried).items()],
-        F.col("length").alias("__length"),
-        F.expr(f"int({capacity} div length)").alias("__class"),
-        F.col("_metadata.file_path").alias("__file"),
-        F.expr(f"_metadata.row_index div {BLOCK_ROWS}").alias("__block"),
-        F.col("_metadata.row_index").alias("__row"),
+        F.expr(f"int({capacity} div length)").alias("class"),
+        F.expr(f"piece div {BLOCK_ROWS}").alias("block"),
     )
-    columns = [c for c in numbered.columns if not c.startswith("__")]
-    block = ["__class", "__file", "__block"]
-    counts = numbered.groupBy(*block).agg(F.count("*").alias("__n"))
-    up_to = W.partitionBy("__class").orderBy("__file", "__block").rowsBetween(W.unboundedPreceding, -1)
-    whole = W.partitionBy("__class")
+    counts = rows.groupBy("class", "block").agg(F.count("*").alias("n"))
+    up_to = W.partitionBy("class").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     begins = counts.select(
-        *block,
-        F.coalesce(F.sum("__n").over(up_to), F.lit(0)).alias("__before"),
-        F.sum("__n").over(whole).alias("__all"),
+        "class",
+        "block",
+        F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("before"),
+        F.sum("n").over(W.partitionBy("class")).alias("total"),
     )
-    ranked = numbered.withColumn("__own", F.row_number().over(W.partitionBy(*block).orderBy("__row")) - 1)
+    own = F.row_number().over(W.partitionBy("class", "block").orderBy("piece")) - 1
     placed = (
-        ranked.join(begins, block)
-        .withColumn("__rank", F.col("__before") + F.col("__own"))
-        .withColumn("__full", F.expr("__rank < __all div __class * __class"))
+        rows.withColumn("own", own)
+        .join(begins, ["class", "block"])
+        .withColumn("rank", F.col("before") + F.col("own"))
+        .withColumn("whole", F.expr("rank < total div class * class"))
     )
+    earlier = W.partitionBy("sequence_id").orderBy("rank").rowsBetween(W.unboundedPreceding, -1)
     full = (
-        placed.filter("__full")
-        .withColumn("sequence_id", F.expr(f"__rank div __class * {capacity + 1} + __class"))
-        .withColumn("__slot", F.expr("__rank % __class"))
+        placed.filter("whole")
+        .withColumn("sequence_id", F.expr(f"rank div class * {capacity + 1} + class"))
+        .select("piece", "sequence_id", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset"))
     )
-    earlier = W.partitionBy("sequence_id").orderBy("__slot").rowsBetween(W.unboundedPreceding, -1)
-    full = full.withColumn("offset", F.coalesce(F.sum("__length").over(earlier), F.lit(0)))
-    wanted = [*columns, "sequence_id", "offset"]
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in full.select(*wanted).schema.fields])
     # Under `class` pieces of each class: a number that the documents don't move.
-    rest = placed.filter("not __full").withColumn("__all", F.lit(0)).groupBy("__all").applyInPandas(_fill_rest(capacity, schema), schema)
-    return full.select(*wanted).unionByName(rest)
+    rest = placed.filter("not whole").select(F.lit(0).alias("all"), "piece", "length")
+    return full.unionByName(rest.groupBy("all").applyInPandas(_fill_rest(capacity), PLACES))
+
+
+def with_places(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The columns of a numbered table, and the places of its pieces.
+
+    Places are found from lengths alone; the other columns are shuffled once, to meet them.
+    """
+    return table.join(place(table, capacity).hint("shuffle_hash"), "piece").drop("piece")
 
 
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The pieces of `docs` with their ids and places."""
-    return place(stored(pieces(docs, doc_id, text, **options), "pieces"), options.get("capacity", CAPACITY))
+    return with_places(numbered(pieces(docs, doc_id, text, **options)), options.get("capacity", CAPACITY))

@@ -19,7 +19,7 @@ from cohortmill.llm import (
     simhash,
     toxicity,
 )
-from cohortmill.llm.common import stored, table
+from cohortmill.llm.common import table
 from cohortmill.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,9 +106,9 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of each piece of each document in the token sequences."""
-    found = stored(packing.pieces(table(spark, sf_dir, "documents")), "pieces")
-    placed = packing.place(found, carried={"ids_crc32": F.crc32("ids")})
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    found = packing.numbered(packing.pieces(table(spark, sf_dir, "documents")))
+    narrow = found.select("piece", "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.with_places(narrow)
 
 
 @query
