@@ -76,8 +76,10 @@ def dedup_lines(
     """`docs` without the boilerplate lines of their hosts."""
     seen = pages(docs, doc_id, text, host)
     lines = seen.select("doc_id", "host", F.explode("hashes").alias("hash"))
+    # A table of its own: broadcast if Spark finds it small, else joined so that a hot line is split.
+    often = stored(boilerplate(seen, max_ratio, min_pages).select("host", "hash"), "boilerplate")
     removed = (
-        lines.join(boilerplate(seen, max_ratio, min_pages).select("host", "hash"), ["host", "hash"])
+        lines.join(often, ["host", "hash"])
         .groupBy("doc_id", "host")
         .agg(F.collect_set("hash").alias("removed"))
     )

@@ -110,8 +110,10 @@ def judge(
     `profile` is read three times, so it has to be a stored table.
     """
     lines = profile.select(*KEY, F.explode("lines").alias("line")).select(*KEY, "line.hash", "line.words")
+    # A table of its own: broadcast if Spark finds it small, else joined so that a hot line is split.
+    frequent = stored(frequent_lines(profile, min_texts, max_share), "frequent-lines")
     removed = (
-        lines.join(frequent_lines(profile, min_texts, max_share), ["host", "hash"])
+        lines.join(frequent, ["host", "hash"])
         .distinct()
         .groupBy(*KEY)
         .agg(F.sum("words").cast("bigint").alias("removed_words"), F.collect_list("hash").alias("removed"))
