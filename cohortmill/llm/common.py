@@ -27,6 +27,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python, where the session has Spark's default.
+
+    A task holds some of them at a time, in the JVM and in Python, so their size is
+    most of what texts take of an executor's memory.
+    """
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(name, default) == default:
+        spark.conf.set(name, "16m")
+
+
 def mapped(
     df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None], schema: str
 ) -> DataFrame:
@@ -35,18 +46,19 @@ def mapped(
     `work` returns a dict of columns in the order of `schema`. All columns of `df`
     are sent, so select before the call.
     """
+    small_batches(df.sparkSession)
     names = [field.split(" ")[0] for field in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _slices(batch):
+            for piece in slices(batch):
                 out = work(piece)
                 yield pa.RecordBatch.from_arrays([out[name] for name in names], names=names)
 
     return df.mapInArrow(run, schema)
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     if not batch.num_rows:
         return
     lengths = np.zeros(batch.num_rows, dtype=np.int64)

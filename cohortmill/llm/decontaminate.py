@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortmill.llm.common import _slices, split_words, texts
+from cohortmill.llm.common import slices, small_batches, split_words, texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -212,6 +212,7 @@ class Benchmark:
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items in lists of about BLOCK_BYTES of text at most; the benchmark's size is checked first."""
+    small_batches(items.sparkSession)
     needed = items.select(F.col(item_id).cast("bigint").alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     total = needed.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     blocks = math.ceil(total / BLOCK_BYTES)
@@ -233,7 +234,7 @@ def matches(
         def run(batches, shared=shared):
             benchmark = Benchmark(shared.value)
             for batch in batches:
-                for piece in _slices(batch):
+                for piece in slices(batch):
                     ids = piece["doc_id"].to_pylist()
                     rows = [(ids[r], benchmark.ids[i], *rest) for r, i, *rest in benchmark.search(piece["text"])]
                     if rows:
@@ -257,7 +258,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
         def run(batches, shared=shared):
             benchmark = Benchmark(shared.value)
             for batch in batches:
-                for piece in _slices(batch):
+                for piece in slices(batch):
                     keep = np.ones(piece.num_rows, dtype=bool)
                     keep[[r for r, *_ in benchmark.search(piece.column(at))]] = False
                     yield piece.filter(pa.array(keep))

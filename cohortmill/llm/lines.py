@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortmill.llm.common import free_name, signed
+from cohortmill.llm.common import free_name, signed, small_batches
 
 
 def text_lines(text: bytes) -> list[bytes]:
@@ -38,6 +38,7 @@ def drop_lines(
     `verdict` has (doc_id, host, removed), and text_key where rows of one id may
     differ in their verdict. It is the small side and is hashed, so no text is sorted.
     """
+    small_batches(docs.sparkSession)
     by_text = "text_key" in verdict.columns
     keys = {k: free_name(f"__{k}", docs) for k in ("doc_id", "host", "removed", *["text_key"] * by_text)}
     v = verdict.select(*[F.col(k).alias(name) for k, name in keys.items()]).hint("shuffle_hash")
