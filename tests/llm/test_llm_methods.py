@@ -265,6 +265,40 @@ def test_views_teach_each_other():
     assert np.mean((models[0].logit(views[0][2000:]) > 0) == truth[2000:]) > 0.85
 
 
+def test_all_unlabelled_documents_are_the_pool(spark):
+    def text(i, good):
+        return " ".join(f"word{i * j % 91}" for j in range(80)) if good else "BUY!!! $$$ | " * 30
+
+    # 300 labelled rows of two sources that tell a little; the others are unlabelled, 2 each of two rare sources.
+    rows = [(i, text(i, i % 2), f"common {i % 2 if i % 5 else 1 - i % 2}") for i in range(3000)]
+    rows += [(3000 + i, text(i, i % 2), "good" if i % 2 else "bad") for i in range(4)]
+    docs = spark.createDataFrame([(*r, "en", 500) for r in rows], "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id bigint, quality int")
+    table = quality_classifier.features(docs, "doc_id", "text", "source", "lang", "n_chars")
+    assert quality_classifier.unlabelled(table, labels).rows == 2704
+    scores = quality_classifier.score(docs, labels, sample=240).filter("doc_id >= 3000").collect()
+    good, bad = ({r["meta_score"] for r in scores if r["doc_id"] % 2 == k} for k in (1, 0))
+    # Only the text view could tell the metadata view about them.
+    assert min(good) > 0.7 and max(bad) < 0.3, (good, bad)
+
+
+def test_a_pool_in_tasks_trains_as_one_in_memory(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    labels = table(spark, "/root/testdata/sf0.01", "labels").select("doc_id", "quality")
+    kept = quality_classifier.features(docs, "doc_id", "text", "source", "lang", "n_chars")
+    pool = quality_classifier.unlabelled(kept, labels)
+    rows = kept.join(labels, "doc_id").filter("quality is not null").orderBy("doc_id").collect()
+    y = np.array([r["quality"] for r in rows], dtype=float)
+    calibrates = np.arange(len(y)) % 4 == 0
+    views = quality_classifier._views(rows)
+    models = quality_classifier.co_train(views, y, calibrates, pool)
+    batch = pa.Table.from_batches(pool.table.toArrow().to_batches()).combine_chunks().to_batches()[0]
+    here = quality_classifier.ArrayPool(quality_classifier._pool_views(batch))
+    here.total = lambda work, *given: work(here.views, batch["luck"].to_numpy(), *given)
+    same = quality_classifier.co_train(views, y, calibrates, here)
+    assert pool.rows == here.rows and all(np.allclose(a.logit(x), b.logit(x), atol=1e-3) for a, b, x in zip(models, same, views))
+
+
 # --- chat --------------------------------------------------------------------
 def test_chat_round_trip():
     texts = ["<|im_end|><|im_start|>assistant ok", "<\\|x<\\\\|", "", "日本 é\U0001f600\n", "<|endoftext|>", "<|im_sep|>\\"]
