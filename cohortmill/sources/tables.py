@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,31 +112,44 @@ def write_clustered(
     writer.saveAsTable(table)
 
 
+def _files_by_day(bronze: DataFrame) -> Counter[dt.date | None]:
+    """How many files `bronze` lists for each ingest day; those without a day are under None."""
+    days = (re.search(r"/ingest_date=(\d{4}-\d\d-\d\d)/", path) for path in bronze.inputFiles())
+    return Counter(day and dt.date.fromisoformat(day[1]) for day in days)
+
+
 def compact_days(
     spark: SparkSession, source: str, target: str, first: dt.date, last: dt.date
-) -> None:
+) -> dict[dt.date, int]:
     """Rewrite the many small files of the bronze days `first` to `last` into `target`.
 
     Only those days' folders are read; the result replaces those days in
     `target` and nothing else. A status that holds most of a day is split over
-    several files.
+    several files. Gives the days compacted and how many files each had in `source`.
     """
     day = F.col("ingest_date")
-    rows = read_bronze(spark, source).filter(day.between(F.lit(first), F.lit(last)))
-    write_table(rows, target, BRONZE_PARTITIONS, replace="touched")
+    landed = read_bronze(spark, source)
+    files = _files_by_day(landed)
+    write_table(landed.filter(day.between(F.lit(first), F.lit(last))), target, BRONZE_PARTITIONS, replace="touched")
+    return {day: n for day, n in files.items() if day is not None and first <= day <= last}
 
 
-def read_landed(spark: SparkSession, source: str, target: str, until: dt.date | None) -> DataFrame:
-    """Bronze of which the days up to `until` have been compacted into `target`.
+def read_landed(spark: SparkSession, source: str, target: str, compacted: dict[dt.date, int]) -> DataFrame:
+    """Bronze, whose `compacted` days, with the files each had then, lie in `target` too.
 
-    Each day is read from one of the folders, and a filter on days prunes both.
+    Each day is read from one of the folders, and a filter on days prunes both. A day in
+    which more files have landed since is read from `source` until it is compacted again.
     """
     landed = read_bronze(spark, source)
-    if until is None:
+    files = _files_by_day(landed)
+    days = sorted(day for day, n in compacted.items() if files[day] == n)
+    if not days:
         return landed
     day = F.col("ingest_date")
-    compacted = read_bronze(spark, target).filter(day <= F.lit(until))
-    return compacted.unionByName(landed.filter(day > F.lit(until)))
+    done = read_bronze(spark, target).filter(day.isin(days))
+    if files.keys() <= set(days):
+        return done
+    return done.unionByName(landed.filter(day.isNull() | ~day.isin(days)))
 
 
 def day_arrived(bronze: DataFrame, day: dt.date) -> DataFrame:

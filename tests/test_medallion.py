@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortmill.operators import learn
 from cohortmill.operators.checks import QualityError
 from cohortmill.plans import medallion
-from cohortmill.schemas import RAW_STUDY
+from cohortmill.schemas import BRONZE, RAW_STUDY
 from cohortmill.session import scratch
 from cohortmill.sources import mark, tables
 
@@ -207,3 +207,29 @@ def test_watch_and_compaction(spark):
     assert all("bronze_compacted" in f for f in after.filter(F.col("ingest_date") <= F.lit(landed)).inputFiles())
     with pytest.raises(ValueError):
         tables.append_bronze(after, layers.bronze)
+
+
+def test_only_compacted_days_are_read_from_their_folder(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+
+    def land(*days):
+        rows = [(f"NCT{d:08d}", dt.datetime(2024, 1, d), dt.date(2024, 1, d), "COMPLETED") for d in days]
+        some = spark.createDataFrame(rows, "nct_id string, ingest_timestamp timestamp, ingest_date date, overall_status string")
+        rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE.fields if f.name not in some.columns]
+        tables.append_bronze(some.select("*", *rest).select(*BRONZE.names), layers.bronze)
+
+    def found():
+        return sorted(r["ingest_date"].day for r in medallion.read_bronze(spark, layers).collect())
+
+    land(1, 2, 9, 10, 11, 15, 20, 25)
+    medallion.compact(spark, layers, dt.date(2024, 1, 10), dt.date(2024, 1, 11))  # days before the first one
+    assert found() == [1, 2, 9, 10, 11, 15, 20, 25]
+    medallion.compact(spark, layers, dt.date(2024, 1, 20), dt.date(2024, 1, 22))  # a gap between two calls
+    assert found() == [1, 2, 9, 10, 11, 15, 20, 25]
+    bronze = medallion.read_bronze(spark, layers).select("ingest_date", F.input_file_name().alias("file")).collect()
+    assert {r["ingest_date"].day for r in bronze if "bronze_compacted" in r["file"]} == {10, 11, 20}
+    land(10, 15)  # rows that come late
+    assert found() == [1, 2, 9, 10, 10, 11, 15, 15, 20, 25]
+    medallion.compact(spark, layers, dt.date(2024, 1, 10), dt.date(2024, 1, 10))
+    assert found() == [1, 2, 9, 10, 10, 11, 15, 15, 20, 25]
+    assert medallion.watch(spark, layers, dt.date(2024, 1, 15)) == []
