@@ -14,7 +14,7 @@ benchmark takes one pass over the documents for each block. A document is search
 within its row, so nothing of the documents is shuffled.
 
 Defined cases: null and empty texts match nothing, nor do null and empty items. An item of
-under 5 words matches only a text of just these words. Of windows equally similar the first
+under 5 words is one shingle as a whole and matches where just these words follow each other. Of windows equally similar the first
 counts. Repeated items and rows each give their matches. Columns that the operator doesn't
 name are passed through by `clean`. An empty benchmark leaves all documents.
 """
@@ -124,6 +124,28 @@ class BlockIndex:
         return query[hit], item[hit], distance[hit]
 
 
+def _found(codes: np.ndarray, offsets: np.ndarray, size: int, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(place, row, index in `wanted`) of the runs of `size` known words, within a text, of a wanted hash."""
+    none = np.zeros(0, dtype=np.int64)
+    if not len(wanted) or len(codes) < size:
+        return none, none, none
+    known = codes >= 0
+    run = known[: len(known) - size + 1].copy()
+    for i in range(1, size):
+        run &= known[i : i + len(run)]
+    place = np.flatnonzero(run)
+    row = np.searchsorted(offsets, place, side="right") - 1
+    inside = place + size <= offsets[row + 1]
+    place, row = place[inside], row[inside]
+    total = np.zeros(len(place), dtype=np.uint64)
+    for i in range(size):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + codes[place + i].astype(np.uint64)
+    value = _mix(total)
+    at = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
+    hit = wanted[at] == value
+    return place[hit], row[hit], at[hit]
+
+
 class Benchmark:
     """A block of items, ready to be searched for."""
 
@@ -132,18 +154,23 @@ class Benchmark:
         words = words.to_pylist()
         lists = [words[a:b] for a, b in zip(offsets, offsets[1:])]
         self.ids = [item for item, _ in items]
-        self.short: dict[tuple, list[int]] = {}
+        short: dict[int, dict[tuple, list[int]]] = {}
         self.vocabulary = pa.array(sorted(set(words)), pa.large_string())
         code = {w: i for i, w in enumerate(self.vocabulary.to_pylist())}
         self.shingles, sizes, anchors = {}, {}, {}
         for i, own in enumerate(lists):
             if 0 < len(own) < SHINGLE:
-                self.short.setdefault(tuple(own), []).append(i)
+                short.setdefault(len(own), {}).setdefault(tuple(code[w] for w in own), []).append(i)
             elif own:
                 self.shingles[i] = shingles(word_hashes(own))
                 sizes.setdefault(len(own), []).append(i)
                 for anchor in shingles(np.array([code[w] for w in own], dtype=np.uint64)).tolist():
                     anchors.setdefault(anchor, set()).add(len(own))
+        # Of each size under a shingle's: the hashes of the items in order, and the items by their words' codes.
+        self.short = {
+            size: (np.sort([shingles(np.array(key, dtype=np.uint64))[0] for key in own]), own)
+            for size, own in short.items()
+        }
         self.anchors = np.array(sorted(anchors), dtype=np.uint64)
         self.anchor_sizes = [anchors[a] for a in sorted(anchors)]
         self.sizes = {
@@ -154,29 +181,19 @@ class Benchmark:
     def search(self, column: pa.Array) -> Iterator[tuple[int, int, int, int, int, float]]:
         """(row, item, start, length, distance, similarity): each row's best window for each item found."""
         offsets, words = plain_words(texts(column))
-        if self.short:
-            for row in np.flatnonzero((np.diff(offsets) < SHINGLE) & (np.diff(offsets) > 0)).tolist():
-                own = words[offsets[row] : offsets[row + 1]].to_pylist()
-                for i in self.short.get(tuple(own), ()):
-                    yield row, i, 0, len(own), 0, 1.0
-        if not len(self.anchors) or len(words) < SHINGLE:
+        if not len(self.vocabulary):
             return
         codes = pc.fill_null(pc.index_in(words, value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False)
-        known = codes >= 0
-        run = known[: len(known) - SHINGLE + 1].copy()
-        for i in range(1, SHINGLE):
-            run &= known[i : i + len(run)]
-        place = np.flatnonzero(run)
-        row = np.searchsorted(offsets, place, side="right") - 1
-        inside = place + SHINGLE <= offsets[row + 1]
-        place, row = place[inside], row[inside]
-        total = np.zeros(len(place), dtype=np.uint64)
-        for i in range(SHINGLE):
-            total = total * np.uint64(0x9E3779B97F4A7C15) + codes[place + i].astype(np.uint64)
-        value = _mix(total)
-        at = np.minimum(np.searchsorted(self.anchors, value), len(self.anchors) - 1)
-        hit = self.anchors[at] == value
-        place, row, at = place[hit], row[hit], at[hit]
+        for size, (hashes, own) in self.short.items():
+            place, row, at = _found(codes, offsets, size, hashes)
+            if not len(place):
+                continue
+            # The first place of each item in each text.
+            _, first = np.unique(np.stack([row, at]), axis=1, return_index=True)
+            for p, r in zip(place[first].tolist(), row[first].tolist()):
+                for i in own.get(tuple(codes[p : p + size].tolist()), ()):
+                    yield r, i, p - int(offsets[r]), size, 0, 1.0
+        place, row, at = _found(codes, offsets, SHINGLE, self.anchors)
         for r in np.unique(row).tolist():
             a, b = np.searchsorted(row, [r, r + 1])
             first, last = int(offsets[r]), int(offsets[r + 1])

@@ -383,6 +383,16 @@ def plain_matches(docs, items):
     return out
 
 
+def test_short_items_are_found_inside_longer_texts(spark):
+    docs = [(1, "so we say Answer: forty two, answer forty two again"), (2, "answer forty"), (3, "two answer"), (4, "Forty-two")]
+    items = [(1, "answer forty two"), (2, "forty two"), (3, "two"), (4, "a longer item that no document here holds at all")]
+    got = decontaminate.matches(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    )
+    found = sorted((r["doc_id"], r["item_id"], r["start"], r["length"]) for r in got.collect())
+    assert found == [(1, 1, 3, 3), (1, 2, 4, 2), (1, 3, 5, 1), (3, 3, 0, 1), (4, 2, 0, 2), (4, 3, 1, 1)]
+
+
 def test_decontamination_agrees_with_brute_force(spark, monkeypatch):
     rng = random.Random(3)
     vocabulary = [f"w{i}" for i in range(300)]
