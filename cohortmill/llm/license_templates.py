@@ -46,7 +46,11 @@ TEMPLATES = (
         "to endorse or promote products derived from this software without specific prior written "
         "permission.<<end>> THIS SOFTWARE IS PROVIDED BY <<var 1-12>> \"AS IS\" AND ANY EXPRESS OR IMPLIED "
         "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
-        "PARTICULAR PURPOSE ARE DISCLAIMED.",
+        "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var 1-12>> BE LIABLE FOR ANY DIRECT, INDIRECT, "
+        "INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+        "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+        "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) "
+        "ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     (
         "apache-2",

@@ -457,6 +457,15 @@ def test_templates(label, name, markup, whole):
             assert name not in [f["name"] for f in licenses.find(changed.encode(), automata)[2]], (i, changed)
 
 
+def test_bsd_needs_its_last_sentence():
+    text = _text(next(markup for _, name, markup in TEMPLATES if name == "bsd-text"), True)
+    names = lambda t: [f["name"] for f in licenses.find(t.encode(), licenses.compiled())[2]]
+    end = "POSSIBILITY OF SUCH DAMAGE."
+    assert text.endswith(end) and "bsd-text" in names(text)
+    assert "bsd-text" not in names(text.replace(end, "POSSIBILITY OF ANY DAMAGE."))
+    assert "bsd-text" not in names(text[: text.index("DISCLAIMED.") + len("DISCLAIMED.")])
+
+
 def test_phrases(spark):
     text = "Under the MIT license; under the mit License! Apache License, Version 2.0 CC-BY NC under the mit licenses"
     row = licenses.labelled(licenses.scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))).first()
