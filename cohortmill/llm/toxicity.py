@@ -48,7 +48,7 @@ STEPS = [(1, 1), (1, 2), (2, 1), (1, 3), (2, 2), (3, 1)]
 LETTERS = 64
 FIRST, LAST = 62, 63
 WINDOW, STRIDE = 16, 8
-SAMPLE = 1000
+SAMPLE = 1200
 SAMPLE_CHARS = 20_000
 LANDMARKS = 160
 ALIKE = 0.6

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -235,6 +236,10 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
 
 
+def test_toxicity_trains_on_the_whole_sample():
+    assert inspect.signature(toxicity.score).parameters["sample"].default >= 1200
+
+
 # --- quality classifier ------------------------------------------------------
 def test_quality_of_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.1"
