@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from cohortmill.llm import chat, license_templates, licenses, line_dedup, quality_rules, secret_ledger
+from cohortmill.llm import (
+    chat,
+    license_templates,
+    licenses,
+    line_dedup,
+    quality_rules,
+    secret_ledger,
+    warc_bundles,
+)
 
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -179,10 +187,105 @@ FROM t LEFT JOIN by_doc USING (doc_id)
 """
 
 
+BUNDLES = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), m AS (
+  SELECT *, CASE WHEN strlen(html) >= {warc_bundles.REVISIT_BYTES} THEN max(page_id) OVER (PARTITION BY html) END AS top FROM p
+), r AS (
+  SELECT *, top IS NOT NULL AND top IS DISTINCT FROM page_id AS again FROM m
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to
+FROM r
+"""
+
+
+# CRC-32 of a short ASCII string, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda sum, byte: list_reduce(
+    list_prepend(xor(sum, byte), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+    lambda rest, nothing: xor(rest >> 1, (rest & 1) * CAST(3988292384 AS BIGINT)))))"""
+
+REPAIR = rf"""
+WITH RECURSIVE g AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place
+  FROM conversations
+), h AS (
+  SELECT *, {_CRC32.format("place")} % 20 AS harm FROM g
+), d AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id) AS c, conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, harm
+  FROM h
+), t AS (
+  SELECT c, turn, role, text,
+    CAST(row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text) AS INTEGER) AS i
+  FROM (SELECT *, unnest(range(CASE harm WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM d)
+), f AS (
+  SELECT *, left(role, 1) AS ini, CASE
+    WHEN NOT regexp_matches(text, '{WORD}') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' END AS fault
+  FROM t
+), step(s, k, pos, want, nxt) AS (
+  SELECT s, k, pos, CASE pos WHEN 2 THEN 'a' ELSE 'u' END, CASE pos WHEN 2 THEN 3 ELSE 2 END
+  FROM (VALUES (0,0,0), (0,1,2), (0,2,3), (0,3,2), (1,0,1), (1,1,2), (1,2,3), (1,3,2),
+               (2,0,2), (2,1,3), (2,2,2), (2,3,3), (3,0,3), (3,1,2), (3,2,3), (3,3,2)) v(s, k, pos)
+), dp AS (
+  SELECT DISTINCT c, 0 AS i, 0 AS s, {{'cost': 0, 'audit': ''}} AS best FROM t
+  UNION ALL
+  SELECT c, i, s, min(way) FROM (
+    SELECT dp.c, dp.i + 1 AS i, CASE WHEN e = 'D' THEN pos WHEN e = 'K' AND ini = 's' THEN 1 ELSE nxt END AS s,
+      {{'cost': CAST(best.cost + 5 * k + CASE e WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END
+          + CASE WHEN fault = 'truncated' AND e <> 'D' THEN 5 ELSE 0 END AS INTEGER),
+        'audit': best.audit || repeat('I', k) || e}} AS way
+    FROM dp JOIN f ON f.c = dp.c AND f.i = dp.i + 1 JOIN step USING (s), (VALUES ('K'), ('R'), ('D')) v(e)
+    WHERE e = 'D' OR (coalesce(fault, 'truncated') = 'truncated'
+      AND (e = 'R' OR ini = want OR (ini = 's' AND pos = 0)))
+  ) GROUP BY c, i, s
+), won AS (
+  SELECT c, min({{'cost': best.cost + 5 * more, 'audit': best.audit || repeat('I', more)}}) AS best
+  FROM dp JOIN (SELECT c, max(i) AS i FROM t GROUP BY c) USING (c, i)
+    JOIN (VALUES (0, 0), (1, 2), (2, 1), (3, 0)) v(s, more) USING (s)
+  GROUP BY c
+), replay AS (
+  SELECT c, 0 AS p, 0 AS i, 0 AS s, '' AS e, '' AS said FROM won
+  UNION ALL
+  SELECT c, p, i, CASE WHEN e = 'D' THEN s WHEN e = 'K' AND ini = 's' THEN 1 WHEN s = 2 THEN 3 ELSE 2 END, e,
+    CASE WHEN e = 'K' THEN role || ':' || text
+      ELSE CASE s WHEN 2 THEN 'assistant:' ELSE 'user:' END || CASE e WHEN 'R' THEN text ELSE '' END END
+  FROM (
+    SELECT replay.c, p + 1 AS p, substr(best.audit, p + 1, 1) AS e, s, replay.i + CASE WHEN substr(best.audit, p + 1, 1) = 'I' THEN 0 ELSE 1 END AS i
+    FROM replay JOIN won ON won.c = replay.c AND p < length(best.audit)
+  ) x LEFT JOIN f USING (c, i)
+), said AS (
+  SELECT c, string_agg(said, chr(10) ORDER BY p) AS said FROM replay WHERE e NOT IN ('', 'D') GROUP BY c
+), pairs AS (
+  SELECT c, count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT c, i, lag(ini, 1, '') OVER (PARTITION BY c ORDER BY i) || ini AS pair FROM f) GROUP BY c
+), counts AS (
+  SELECT c, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated
+  FROM f GROUP BY c
+)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM d) ids LEFT JOIN counts USING (c) LEFT JOIN pairs USING (c)
+  LEFT JOIN won USING (c) LEFT JOIN said USING (c)
+"""
+
+
 ORACLES = {
     "op2_quality_rules": QUALITY_RULES,
     "op3_secret_ledger": _secrets(),
     "op6_chat_formatting": CHAT,
     "op9_line_dedup": LINE_DEDUP,
     "op10_license_scan": _licenses(),
+    "op12_warc_bundles": BUNDLES,
+    "op13_turn_repair": REPAIR,
 }

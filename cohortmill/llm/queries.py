@@ -17,7 +17,10 @@ from cohortmill.llm import (
     quality_rules,
     secret_ledger,
     simhash,
+    token_alignment,
     toxicity,
+    turn_repair,
+    warc_bundles,
 )
 from cohortmill.llm.common import table
 from cohortmill.session import scratch
@@ -132,3 +135,42 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "labels",
         "score",
     )
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of each document's tokens in two tokenizers, weighed by the links of all documents."""
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all pages, read back from bundles that are written first."""
+    index = warc_bundles.write(table(spark, sf_dir, "pages"), warc_bundles.new_folder(spark))
+    records = warc_bundles.read(index, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The turns with faults by a checksum of their place: dropped, emptied, cut off, repeated, of a wrong role."""
+
+    def of(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    fault = F.crc32(F.concat(of("conv_id"), F.lit(":"), of("turn"))) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(of("text"), "[.!?]", "")).otherwise(of("text"))
+    times = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(of("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy"),
+    ).drop("copy")
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired digest of each conversation, after damage."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.summary(damaged(conversations), ids=conversations)

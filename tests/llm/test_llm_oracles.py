@@ -15,12 +15,13 @@ NO_SQL = {
     "op5_simhash",
     "op7_packing",
     "op8_benchmark_decontamination",
+    "op11_token_alignment",
 }
 
 
 def test_names():
     assert set(QUERIES) - set(ORACLES) == NO_SQL
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
