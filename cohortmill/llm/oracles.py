@@ -13,6 +13,7 @@ from cohortmill.llm import (
 )
 
 WORD = r"[^\x20\x09-\x0D]+"
+BLANK = r"[\x20\x09-\x0D]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -227,8 +228,7 @@ WITH RECURSIVE g AS (
   SELECT *, left(role, 1) AS ini, CASE
     WHEN NOT regexp_matches(text, '{WORD}') THEN 'blank'
     WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-
-]*\z') THEN 'truncated' END AS fault
+    WHEN NOT regexp_matches(text, '[.!?]{BLANK}*\z') THEN 'truncated' END AS fault
   FROM t
 ), step(s, k, pos, want, nxt) AS (
   SELECT s, k, pos, CASE pos WHEN 2 THEN 'a' ELSE 'u' END, CASE pos WHEN 2 THEN 3 ELSE 2 END
