@@ -9,7 +9,8 @@ values within 2 bits of its own, so no fingerprint within the radius is missed.
 least similarity accepted about 10 bits differ (deviation 3). Candidates within the radius
 are verified by the exact weighted Jaccard similarity of the shingles, repeats counted.
 
-Items are held by every worker, in blocks of at most `BLOCK_BYTES` of text: a larger
+Items are held by every worker, in blocks of about `BLOCK_BYTES` of text at most, indexed once
+for each worker and not for each task: a larger
 benchmark takes one pass over the documents for each block. A document is searched
 within its row, so nothing of the documents is shuffled.
 
@@ -21,6 +22,7 @@ name are passed through by `clean`. An empty benchmark leaves all documents.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -28,17 +30,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortmill.llm.common import slices, small_batches, split_words, texts
+from cohortmill.llm.common import positioned, slices, small_batches, split_words, texts
 
 SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS, BLOCK_BITS = 8, 8
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 WINDOWS = 4096
 MATCHES = "doc_id bigint, item_id bigint, start bigint, length bigint, distance int, similarity double"
 
@@ -157,22 +160,26 @@ class Benchmark:
         short: dict[int, dict[tuple, list[int]]] = {}
         self.vocabulary = pa.array(sorted(set(words)), pa.large_string())
         code = {w: i for i, w in enumerate(self.vocabulary.to_pylist())}
-        self.shingles, sizes, anchors = {}, {}, {}
+        self.shingles, sizes, anchors, anchor_sizes = {}, {}, [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
         for i, own in enumerate(lists):
             if 0 < len(own) < SHINGLE:
                 short.setdefault(len(own), {}).setdefault(tuple(code[w] for w in own), []).append(i)
             elif own:
                 self.shingles[i] = shingles(word_hashes(own))
                 sizes.setdefault(len(own), []).append(i)
-                for anchor in shingles(np.array([code[w] for w in own], dtype=np.uint64)).tolist():
-                    anchors.setdefault(anchor, set()).add(len(own))
+                anchors.append(np.unique(shingles(np.array([code[w] for w in own], dtype=np.uint64))))
+                anchor_sizes.append(np.full(len(anchors[-1]), len(own), dtype=np.uint32))
         # Of each size under a shingle's: the hashes of the items in order, and the items by their words' codes.
         self.short = {
             size: (np.sort([shingles(np.array(key, dtype=np.uint64))[0] for key in own]), own)
             for size, own in short.items()
         }
-        self.anchors = np.array(sorted(anchors), dtype=np.uint64)
-        self.anchor_sizes = [anchors[a] for a in sorted(anchors)]
+        # Each anchor once, and the sizes of the items that hold it between two ends.
+        held, of = np.concatenate(anchors), np.concatenate(anchor_sizes)
+        order = np.lexsort((of, held))
+        held, of = held[order], of[order]
+        self.anchors, begin = np.unique(held, return_index=True)
+        self.anchor_ends, self.anchor_sizes = np.append(begin, len(held)), of
         self.sizes = {
             size: (own, BlockIndex(np.concatenate([window_fingerprints(self.shingles[i], size - SHINGLE + 1) for i in own])))
             for size, own in sizes.items()
@@ -197,7 +204,8 @@ class Benchmark:
         for r in np.unique(row).tolist():
             a, b = np.searchsorted(row, [r, r + 1])
             first, last = int(offsets[r]), int(offsets[r + 1])
-            wanted = sorted(set().union(*(self.anchor_sizes[i] for i in np.unique(at[a:b]).tolist())))
+            ends = self.anchor_ends
+            wanted = sorted({s for i in np.unique(at[a:b]).tolist() for s in self.anchor_sizes[ends[i] : ends[i + 1]].tolist()})
             best: dict[int, tuple] = {}
             for size in wanted:
                 self._windows(words, first, last, place[a:b], size, best)
@@ -227,6 +235,21 @@ class Benchmark:
                     best[i] = (alike, start, length, distance, alike)
 
 
+_LOADED: dict[str, Benchmark] = {}
+
+
+def loaded(key: str, shared: Broadcast) -> Benchmark:
+    """The index of a block, built once for a worker and kept for its next tasks; one at a time."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Benchmark(shared.value)
+    return _LOADED[key]
+
+
+def _key(block: list[tuple[int, str]]) -> str:
+    return hashlib.sha256(repr(block).encode()).hexdigest()
+
+
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
     """The items in lists of about BLOCK_BYTES of text at most; the benchmark's size is checked first."""
     small_batches(items.sparkSession)
@@ -248,8 +271,8 @@ def matches(
     for block in item_blocks(items, item_id):
         shared = spark.sparkContext.broadcast(block)
 
-        def run(batches, shared=shared):
-            benchmark = Benchmark(shared.value)
+        def run(batches, shared=shared, key=_key(block)):
+            benchmark = loaded(key, shared)
             for batch in batches:
                 for piece in slices(batch):
                     ids = piece["doc_id"].to_pylist()
@@ -267,13 +290,14 @@ def matches(
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id") -> DataFrame:
     """The rows of `docs`, in all their columns, that hold no benchmark item."""
+    docs, (text,), named = positioned(docs, text)
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
     at = docs.columns.index(text)
     for block in item_blocks(items, item_id):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
-        def run(batches, shared=shared):
-            benchmark = Benchmark(shared.value)
+        def run(batches, shared=shared, key=_key(block)):
+            benchmark = loaded(key, shared)
             for batch in batches:
                 for piece in slices(batch):
                     keep = np.ones(piece.num_rows, dtype=bool)
@@ -281,4 +305,4 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str =
                     yield piece.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, schema)
-    return docs
+    return named(docs)

@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -48,6 +49,9 @@ ROUNDS = 4
 SURE = 0.95
 FOLDS = 5
 STEPS = 25
+# Rows of sums that the driver gets at most in a pass.
+SUMS = 64
+HANDED = ("label_text", "label_meta")
 # Steps between `SURE` and the largest logit in which the pool's rows are counted.
 BINS = 1_024
 MAX_LOGIT = 20
@@ -181,22 +185,20 @@ def _bins(logits: np.ndarray, side: int, sure: float) -> np.ndarray:
     return np.where(above < 0, -1, np.minimum(above * BINS, BINS - 1)).astype(np.int64)
 
 
-def _pool_labels(views: list[np.ndarray], luck: np.ndarray, rounds: list[list[Handed]], sure: float) -> list[np.ndarray]:
-    """The label each view was handed for each row, or -1."""
-    labels = [np.full(len(luck), -1, dtype=np.int8) for _ in views]
-    for turn, handed in enumerate(rounds):
-        drawn = _luck(luck, turn)
-        for view, model, limits in handed:
-            free, logits = labels[1 - view] < 0, model.logit(views[view])
-            for side, bound, part in limits:
-                bins = _bins(logits, side, sure)
-                labels[1 - view][free & ((bins > bound) | ((bins == bound) & (drawn < part)))] = side
+def _hand_on(views, luck, labels: list[np.ndarray], turn: int, handed: list[Handed], sure: float) -> list[np.ndarray]:
+    """The label each view has been handed for each row after a turn, or -1."""
+    labels = [own.copy() for own in labels]
+    drawn = _luck(luck, turn)
+    for view, model, limits in handed:
+        free, logits = labels[1 - view] < 0, model.logit(views[view])
+        for side, bound, part in limits:
+            bins = _bins(logits, side, sure)
+            labels[1 - view][free & ((bins > bound) | ((bins == bound) & (drawn < part)))] = side
     return labels
 
 
-def _counts(views, luck, rounds: list[list[Handed]], models: list[Logistic], sure: float) -> np.ndarray:
+def _counts(views, labels: list[np.ndarray], models: list[Logistic], sure: float) -> np.ndarray:
     """Rows by view that is sure of them, side and bin; without those it has handed on."""
-    labels = _pool_labels(views, luck, rounds, sure)
     out = np.zeros((2, 2, BINS))
     for view, model in enumerate(models):
         logits = model.logit(views[view])[labels[1 - view] < 0]
@@ -216,8 +218,7 @@ def _sums(x: np.ndarray, y: np.ndarray, base: tuple[np.ndarray, np.ndarray], w:
     return np.concatenate([[len(x), loss], x.T @ (y - p), hessian.ravel(), x.sum(axis=0), (x * x).sum(axis=0)])
 
 
-def _pool_sums(views, luck, rounds: list[list[Handed]], bases: list, weights: list, sure: float) -> np.ndarray:
-    labels = _pool_labels(views, luck, rounds, sure)
+def _pool_sums(views, labels: list[np.ndarray], bases: list, weights: list) -> np.ndarray:
     parts = []
     for x, label, base, w in zip(views, labels, bases, weights):
         parts.append(_sums(x[label >= 0], label[label >= 0].astype(np.float64), base, w))
@@ -227,32 +228,69 @@ def _pool_sums(views, luck, rounds: list[list[Handed]], bases: list, weights: li
 class ArrayPool:
     """Unlabelled rows of both views in memory."""
 
-    def __init__(self, views: list[np.ndarray]) -> None:
+    def __init__(self, views: list[np.ndarray], luck: np.ndarray | None = None) -> None:
         self.views = views
         self.rows = len(views[0])
+        self.luck = np.arange(self.rows) if luck is None else luck
+        self.labels = [np.full(self.rows, -1, dtype=np.int8) for _ in views]
 
     def total(self, work: Callable, *given) -> np.ndarray | float:
-        return work(self.views, np.arange(self.rows), *given)
+        return work(self.views, self.labels, *given)
+
+    def hand_on(self, *given) -> None:
+        self.labels = _hand_on(self.views, self.luck, self.labels, *given)
+
+
+def _added(parts: pd.DataFrame) -> pd.DataFrame:
+    return pd.DataFrame({"sums": [sum(np.frombuffer(x) for x in parts["sums"]).tobytes()]})
 
 
 class TablePool:
-    """Unlabelled rows as a stored table; each task gives the sum over its rows."""
+    """Unlabelled rows as a stored table, with the labels handed on so far; each task gives the sum over its rows."""
 
     def __init__(self, table: DataFrame) -> None:
-        self.table = table
-        self.rows = table.count()
+        self.table = stored(table.withColumns({name: F.lit(-1).cast("tinyint") for name in HANDED}), "quality-pool")
+        self.rows = self.table.count()
+
+    def parts(self, work: Callable, *given) -> DataFrame:
+        """Sums over some of the rows each, `SUMS` rows at most."""
 
-    def total(self, work: Callable, *given) -> np.ndarray | float:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = 0.0
             for batch in batches:
                 if batch.num_rows:
-                    out = out + work(_pool_views(batch), batch["luck"].to_numpy(), *given)
+                    out = out + work(_pool_views(batch), _pool_labels(batch), *given)
             if np.ndim(out):
                 yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
 
-        # A row of 60 KB for each task.
-        return sum(np.frombuffer(r["sums"]) for r in self.table.mapInArrow(run, "sums binary").collect())
+        parts = self.table.mapInArrow(run, "sums binary")
+        if self.table.rdd.getNumPartitions() > SUMS:
+            # Added up in tasks first, so that what the driver sees doesn't grow with the table.
+            slot = F.pmod(F.spark_partition_id(), F.lit(SUMS)).alias("slot")
+            parts = parts.select(slot, "sums").groupBy("slot").applyInPandas(_added, "sums binary")
+        return parts
+
+    def total(self, work: Callable, *given) -> np.ndarray | float:
+        # Rows of 60 KB.
+        return sum(np.frombuffer(r["sums"]) for r in self.parts(work, *given).collect())
+
+    def hand_on(self, *given) -> None:
+        """Store the labels of a turn, so that no pass applies earlier models again."""
+        names = self.table.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    labels = _hand_on(_pool_views(batch), batch["luck"].to_numpy(), _pool_labels(batch), *given)
+                    own = dict(zip(HANDED, labels))
+                    arrays = [pa.array(own[n], pa.int8()) if n in own else batch[n] for n in names]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+        self.table = stored(self.table.mapInArrow(run, self.table.schema), "quality-pool")
+
+
+def _pool_labels(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [batch[name].to_numpy() for name in HANDED]
 
 
 def _pool_views(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -325,14 +363,13 @@ def co_train(
     trains = ~calibrates
     fits = [_Newton(x[trains]) for x in views]
     sizes = [2 + d + d * d + 2 * d for d in (len(fit.w) for fit in fits)]
-    handed: list[list[Handed]] = []
     models: list[Logistic] = []
     for turn in range(rounds + 1):
         for fit in fits:
             fit.begin()
         for _ in range(STEPS):
             bases, weights = [fit.base for fit in fits], [fit.w for fit in fits]
-            given = pool.total(_pool_sums, handed, bases, weights, sure) if handed else np.zeros(sum(sizes))
+            given = pool.total(_pool_sums, bases, weights) if turn else np.zeros(sum(sizes))
             for fit, x, sums in zip(fits, views, np.split(given, [sizes[0]])):
                 if not fit.done:
                     fit.step(sums + _sums(x[trains], y[trains], fit.base, fit.w))
@@ -341,14 +378,15 @@ def co_train(
         models = [fit.model.calibrate(x[calibrates], y[calibrates]) for fit, x in zip(fits, views)]
         if turn == rounds or not pool.rows:
             break
-        counts = np.reshape(pool.total(_counts, handed, models, sure), (2, 2, BINS))
+        counts = np.reshape(pool.total(_counts, models, sure), (2, 2, BINS))
         if not counts.any():
             break
         shares = (1 - y.mean(), y.mean())
-        handed.append([
+        handed = [
             (view, model, [(side, *_limit(counts[view, side], per_round * shares[side])) for side in (0, 1)])
             for view, model in enumerate(models)
-        ])
+        ]
+        pool.hand_on(turn, handed, sure)
     return models
 
 
@@ -388,7 +426,7 @@ def unlabelled(table: DataFrame, known: DataFrame) -> TablePool:
         column("lang", LANG_COLUMNS),
         "row.n_chars",
     )
-    return TablePool(stored(pool, "quality-pool"))
+    return TablePool(pool)
 
 
 def _views(rows: list) -> list[np.ndarray]:

@@ -141,6 +141,22 @@ def find(texts: DataFrame, rule_sets: tuple[RuleSet, ...] = RULE_SETS) -> DataFr
     )
 
 
+# Rows of about 200 bytes that are sent to all executors.
+FEW = 20_000
+
+
+def unseen(read: DataFrame, todo: DataFrame) -> DataFrame:
+    """(blob, text, todo): the rows of `read` whose blob has something to do, by one path each.
+
+    Where a few blobs are new, as in most scans after the first, these are counted and broadcast, and no
+    text is moved; otherwise the texts meet them in a shuffle, `todo` being hashed.
+    """
+    t = todo.select(F.col("blob").alias("t_blob"), F.col("path").alias("t_path"), "todo")
+    t = F.broadcast(t) if todo.count() <= FEW else t.hint("shuffle_hash")
+    met = read.join(t, (F.col("blob") == F.col("t_blob")) & F.col("path").eqNullSafe(F.col("t_path")))
+    return met.select("blob", "text", "todo")
+
+
 def scan(
     history: DataFrame,
     ledger: str,
@@ -165,10 +181,8 @@ def scan(
         .agg(F.collect_set("rules").alias("todo"))
     )
     todo = stored(todo, "todo")
-    t = todo.select(F.col("blob").alias("t_blob"), F.col("path").alias("t_path"), "todo").hint("shuffle_hash")
-    unseen = read.join(t, (F.col("blob") == F.col("t_blob")) & F.col("path").eqNullSafe(F.col("t_path")))
     found = (
-        find(unseen.select("blob", "text", "todo"), rule_sets)
+        find(unseen(read, todo), rule_sets)
         .groupBy("blob", "rules")
         .agg(F.sort_array(F.collect_list(F.struct("start", "kind_order", "kind", "end"))).alias("spans"))
     )
