@@ -12,7 +12,7 @@ encoded where they are read; nothing holds a conversation in one piece. `read_ba
 through the sorted rows of a task and keeps the digests of one conversation.
 
 Defined cases: null text and role are empty, a null id is a conversation of its own. Turns
-come by number, null first; repeated numbers by role, then ids; repeated rows are
+come by number, null first; repeated numbers by role, then text; repeated rows are
 turns of their own. Columns that the operator doesn't name are ignored. An empty table
 gives no row.
 """
@@ -33,7 +33,7 @@ from cohortmill.llm.common import mapped, texts
 MARKS = {"<|im_start|>": 50257, "<|im_sep|>": 50258, "<|im_end|>": 50259}
 START, SEPARATE, END = MARKS.values()
 LOSS_ROLE = "assistant"
-TURNS = "conv_id bigint, turn bigint, role string, ids binary, loss binary"
+TURNS = "conv_id bigint, turn bigint, role string, text string, ids binary, loss binary"
 READ = (
     "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
     "formatted_chars bigint, n_tokens bigint"
@@ -116,6 +116,7 @@ def turns(
             "conv_id": batch["conv_id"],
             "turn": batch["turn"],
             "role": pa.array(roles, pa.string()),
+            "text": pa.array(contents, pa.string()),
             "ids": pa.array([x.tobytes() for x in ids], pa.binary()),
             "loss": pa.array([x.tobytes() for x in loss], pa.binary()),
         }
@@ -161,7 +162,7 @@ class _Reader:
 
 
 def read_back(formatted: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """Digests of each conversation, taken from the ids and masks alone."""
+    """Digests of each conversation, taken from the ids and masks alone; texts only order turns of one number."""
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
     names = [field.split(" ")[0] for field in READ.split(", ")]
 
@@ -184,5 +185,5 @@ def read_back(formatted: DataFrame, tokenizer: str | None = None) -> DataFrame:
         if reader is not None:
             yield rows([reader.row()])
 
-    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids")
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "ids", "loss").mapInArrow(run, READ)

@@ -105,6 +105,16 @@ def free_name(name: str, df: DataFrame) -> str:
     return name
 
 
+def positioned(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str], Callable[[DataFrame], DataFrame]]:
+    """`docs` with columns named by position, the new names of `used`, and how to get the old names back.
+
+    So a column may have any name: one with a dot, or one that an operator gives to a column of its own.
+    """
+    names = docs.columns
+    plain = [f"c{i}" for i in range(len(names))]
+    return docs.toDF(*plain), [plain[names.index(name)] for name in used], lambda df: df.toDF(*names)
+
+
 def sampled(df: DataFrame, size: int, key: str) -> DataFrame:
     """About `size` of the rows of `df`, by a hash of `key`; all if there are no more.
 

@@ -17,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import mapped, stored, texts
+from cohortmill.llm.common import mapped, positioned, stored, texts
 from cohortmill.llm.lines import drop_lines, line_hashes, text_lines
 
 MAX_RATIO = 0.08
-MIN_PAGES = 5
+# The least on which a line repeats; a host of one page has no boilerplate.
+MIN_PAGES = 2
 PAGES = "doc_id bigint, host string, n_lines bigint, hashes array<bigint>"
 
 
@@ -74,6 +75,7 @@ def dedup_lines(
     min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """`docs` without the boilerplate lines of their hosts."""
+    docs, (doc_id, text, host), named = positioned(docs, doc_id, text, host)
     seen = pages(docs, doc_id, text, host)
     lines = seen.select("doc_id", "host", F.explode("hashes").alias("hash"))
     # A table of its own: broadcast if Spark finds it small, else joined so that a hot line is split.
@@ -83,4 +85,4 @@ def dedup_lines(
         .groupBy("doc_id", "host")
         .agg(F.collect_set("hash").alias("removed"))
     )
-    return drop_lines(docs, removed, doc_id, text, host, how="left")
+    return named(drop_lines(docs, removed, doc_id, text, host, how="left"))

@@ -41,10 +41,10 @@ WITH d AS (
   SELECT doc_id, host, text, {_normal('line')} AS line, len(regexp_extract_all(line, '{WORD}')) AS n
   FROM (SELECT doc_id, host, text, unnest(lines) AS line FROM w)
 ), often AS (
-  SELECT host, line FROM held JOIN (SELECT host, count(DISTINCT text) AS texts FROM d GROUP BY host) USING (host)
-  GROUP BY host, line, texts
-  HAVING count(DISTINCT text) > {quality_rules.MIN_TEXTS}
-    AND count(DISTINCT text) > CAST({quality_rules.MAX_SHARE} AS DOUBLE) * texts
+  SELECT host, line FROM held JOIN (SELECT host, count(*) AS docs FROM d GROUP BY host) USING (host)
+  GROUP BY host, line, docs
+  HAVING count(DISTINCT doc_id) > {quality_rules.MIN_DOCS}
+    AND count(DISTINCT doc_id) > CAST({quality_rules.MAX_SHARE} AS DOUBLE) * docs
 ), removed AS (
   SELECT doc_id, sum(n) AS n FROM held JOIN often USING (host, line) GROUP BY doc_id
 ), counted AS (
@@ -135,9 +135,9 @@ WITH c AS (
   UNION ALL SELECT -1, n, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, role)
 )
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum({sum(map(len, chat.MARKS))} + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """

@@ -2,10 +2,9 @@
 
 One pass over the texts makes a profile per row: word counts and a hash of each
 normalised line (A-Z lowered, words joined by one space). Per host and line the
-different texts that hold it are counted. A line held by more than `min_texts`
-texts and more than `max_share` of the host's texts is boilerplate and removed; a
+documents that hold it are counted, copies too. A line held by more than `min_docs`
+documents and more than `max_share` of the host's is boilerplate and removed; a
 document that keeps less than `min_left` of its words is depleted and rejected.
-Exact copies of a text count once, so a page is not rejected for being copied.
 
 Defined cases: a null text is empty, a null host is the host without a name, a null
 document id is an id of its own. Repeated rows each get their result, which depends
@@ -22,12 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import code_words, mapped, signed, split_words, stored, texts
+from cohortmill.llm.common import code_words, mapped, positioned, signed, split_words, stored, texts
 from cohortmill.llm.lines import drop_lines, line_hashes, text_lines
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
-MIN_TEXTS = 10
+MIN_DOCS = 10
 MAX_SHARE = 0.1
 MIN_LEFT = 0.3
 
@@ -89,21 +88,17 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     return stored(mapped(needed, _profile, PROFILE), "line-profiles")
 
 
-def frequent_lines(profile: DataFrame, min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE) -> DataFrame:
+def frequent_lines(profile: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
     """(host, hash) of the lines above the limits."""
-    held = profile.select("host", "text_key", F.explode("lines.hash").alias("hash"))
-    counts = held.distinct().groupBy("host", "hash").agg(F.count("*").alias("n_texts"))
-    often = counts.filter(F.col("n_texts") > min_texts)
-    hosts = profile.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
-    return (
-        often.join(hosts, "host")
-        .filter(F.col("n_texts") > F.lit(max_share) * F.col("host_texts"))
-        .select("host", "hash")
-    )
+    # A profile has each hash once, so documents are counted on the map side.
+    held = profile.select("host", F.explode("lines.hash").alias("hash"))
+    often = held.groupBy("host", "hash").agg(F.count("*").alias("n")).filter(F.col("n") > min_docs)
+    hosts = profile.groupBy("host").agg(F.count("*").alias("host_docs"))
+    return often.join(hosts, "host").filter(F.col("n") > F.lit(max_share) * F.col("host_docs")).select("host", "hash")
 
 
 def judge(
-    profile: DataFrame, min_texts: int = MIN_TEXTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
+    profile: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
 ) -> DataFrame:
     """Each row's counts and verdicts, and the hashes of its removed lines.
 
@@ -111,7 +106,7 @@ def judge(
     """
     lines = profile.select(*KEY, F.explode("lines").alias("line")).select(*KEY, "line.hash", "line.words")
     # A table of its own: broadcast if Spark finds it small, else joined so that a hot line is split.
-    frequent = stored(frequent_lines(profile, min_texts, max_share), "frequent-lines")
+    frequent = stored(frequent_lines(profile, min_docs, max_share), "frequent-lines")
     removed = (
         lines.join(frequent, ["host", "hash"])
         .distinct()
@@ -132,6 +127,7 @@ def judge(
 
 def clean(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
     """The kept rows of `docs` in all their columns, without the removed lines."""
+    docs, (doc_id, text, host), named = positioned(docs, doc_id, text, host)
     profile = profiles(docs, doc_id, text, host)
     kept = judge(profile, **limits).filter("kept").select(*KEY, "removed").distinct()
-    return drop_lines(docs, kept, doc_id, text, host)
+    return named(drop_lines(docs, kept, doc_id, text, host))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortmill.llm.common import free_name, mapped, signed, stored, texts
+from cohortmill.llm.common import mapped, positioned, signed, stored, texts
 
 SEGMENTS = 8
 WIDTH = 8
@@ -264,9 +264,10 @@ def keep_one(
     docs: DataFrame, shingle: int = 3, radius: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row of `docs` for each component: of its smallest id, one if that is repeated."""
+    docs, (doc_id, text), named = positioned(docs, doc_id, text)
     found = near_duplicates(docs, shingle, radius, doc_id, text)
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("pick")
-    key, own_id, own_text = (free_name(f"__{name}", docs) for name in ("key", "doc_id", "text_key"))
+    key, own_id, own_text = "__key", "__doc_id", "__text_key"
     kept = found.groupBy("root").agg(pick).select(
         F.col("pick.doc_id").alias(own_id),
         F.col("pick.text_key").alias(own_text),
@@ -277,4 +278,4 @@ def keep_one(
     keyed = docs.withColumn(key, F.xxhash64(number, text_key))
     # One key to join on and to drop repeats by, so that texts are shuffled once.
     same = (F.col(key) == F.col(f"{key}_kept")) & number.eqNullSafe(F.col(own_id)) & (text_key == F.col(own_text))
-    return keyed.join(kept, same).dropDuplicates([key, own_id, own_text]).select(*docs.columns)
+    return named(keyed.join(kept, same).dropDuplicates([key, own_id, own_text]).select(*docs.columns))

@@ -23,14 +23,14 @@ from cohortmill.session import scratch
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
-    "kept string, host string, hash bigint, removed string, fp double, path string, __row bigint, root int"
+    "kept string, host string, hash bigint, removed string, fp double, path string, __row bigint, root int, `a.b` string, __key_kept int, c0 string"
 )
 PROSE = " ".join(f"word{i}" for i in range(70))
 LONG = " ".join(f"w{i % 997} token{i}" for i in range(60_000))
 
 
 def _row(doc_id, text, lang="en", source="a", n_chars=1):
-    return (doc_id, text, lang, source, n_chars, "kept?", "host?", 1, "removed?", 0.5, "path?", 9, 3)
+    return (doc_id, text, lang, source, n_chars, "kept?", "host?", 1, "removed?", 0.5, "path?", 9, 3, "dot", 4, "c")
 
 
 ROWS = [
@@ -102,10 +102,50 @@ def test_rows_of_one_id_are_judged_by_their_text(spark):
 def test_line_dedup(docs, none):
     got = line_dedup.dedup_lines(docs)
     assert got.columns == docs.columns
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(ROWS, key=repr)
+    # Two pages of host "a" and two of "b" have a line in common; the one that the upper-case copy repeats, too.
+    def left(row):
+        text = {("a", PROSE): "", ("a", PROSE + "\n" + PROSE.upper()): "", ("b", "same " + PROSE): ""}.get((row[3], row[1]), row[1])
+        return (row[0], text, *row[2:])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(left, ROWS), key=repr)
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_hosts_of_few_pages(spark):
+    """A banner on every page goes from two pages on; a lone page has no boilerplate."""
+    rows = [(n, i, f"banner\nown line {n} {i}", f"host {n}") for n in range(1, 6) for i in range(n)]
+    docs = spark.createDataFrame(rows, "n int, doc_id bigint, text string, source string")
+    for r in line_dedup.dedup_lines(docs).collect():
+        own = f"own line {r['n']} {r['doc_id']}"
+        assert r["text"] == (f"banner\n{own}" if r["n"] == 1 else own)
+
+
+def test_copies_count_as_documents(spark):
+    """Eleven copies are over the limit of ten documents, ten are not."""
+    rows = [(100 * n + i, f"{PROSE} {n}\nown {n} {i} {PROSE[::-1]}" if i else f"{PROSE} {n}", "h") for n in (10, 11) for i in range(n)]
+    rows += [(2000 + i, f"{PROSE} 12", "h") for i in range(11)]
+    docs = stored(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), "copies")
+    got = {r["doc_id"]: r for r in quality_rules.judge(quality_rules.profiles(docs)).collect()}
+    assert {r["removed_words"] for i, r in got.items() if 1000 <= i < 1010} == {0}
+    assert {r["removed_words"] for i, r in got.items() if 1100 <= i < 1111} == {71}
+    assert not any(got[2000 + i]["kept"] for i in range(11))
+
+
+def test_a_second_scan_leaves_seen_texts_where_they_are(spark, plan):
+    docs = stored(spark.range(3000).selectExpr("id AS doc_id", "concat('password=abcdef', id) AS text"), "ledger-docs")
+    ledger = scratch(spark, "second-ledger")
+    first = secret_ledger.scan(docs, ledger)
+    more = docs.union(spark.createDataFrame([(9000 + i, f"token: zzzzzz{i}") for i in range(10)], docs.schema))
+    second = secret_ledger.scan(stored(more, "more-docs"), ledger)
+    assert second.filter("size(spans) > 0").count() == 3010
+    assert second.filter("path < 9000").exceptAll(first).count() == 0
+    assert spark.read.parquet(ledger).groupBy("blob", "rules").count().filter("count > 1").count() == 0
+    # Few unseen blobs are sent to the texts, many meet them in a shuffle.
+    todo = spark.createDataFrame([("x", 1, ["base"])], "blob string, path bigint, todo array<string>")
+    read = docs.selectExpr("doc_id AS path", "text", "sha2(text, 256) AS blob")
+    assert "BroadcastHashJoin" in plan(secret_ledger.unseen(read, todo))
+    assert "Exchange hashpartitioning" not in plan(secret_ledger.unseen(read, todo))
+
+
 def test_secret_ledger(docs, none, spark):
     got = secret_ledger.scan(docs, scratch(spark, "edge-ledger"))
     assert ids(got, "path") == ALL
@@ -158,6 +198,19 @@ def test_chat(spark):
     assert chat.read_back(chat.turns(conversations.limit(0))).count() == 0
 
 
+def test_chat_ties_agree_with_sql(spark, tmp_path):
+    from oracle_check import compare, connect
+
+    from cohortmill.llm import queries
+    from cohortmill.llm.oracles import ORACLES
+
+    turns = [None, 0, 0, 1, None, 1, 0]
+    rows = [(c, t, r, x) for c in (1, 2, None) for i, t in enumerate(turns) for r, x in (("user", f"b{i % 3}"), ("assistant", None), (None, "<|x"), ("user", "é"))]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    df.toPandas().astype({"conv_id": "Int64", "turn": "Int64"}).to_parquet(f"{tmp_path}/conversations.parquet")
+    assert compare(queries.op6_chat_formatting(spark, str(tmp_path)), connect(str(tmp_path)), ORACLES["op6_chat_formatting"]) == []
+
+
 def test_packing(docs, none):
     got = packing.pack(docs)
     assert set(ids(got)) == set(ALL)
