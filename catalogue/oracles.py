@@ -252,6 +252,21 @@ records AS (
     FROM (SELECT *, CAST(nct_id[4:] AS BIGINT) AS k FROM trials_raw))
 )"""
 
+_EVENT_CONDITIONS = f"""
+named AS (
+  SELECT nct_id, unnest(list_distinct([lower(lead_sponsor_class), healthy_volunteers])) AS condition_name FROM stg_versions
+),
+with_category AS (
+  SELECT t.*, CASE condition_name WHEN 'click' THEN 'cardiology' WHEN 'view' THEN 'neurology'
+      WHEN 'yes' THEN 'endocrinology' ELSE 'other' END AS condition_category,
+    date_diff('day', start_date, coalesce(completion_date, {AS_OF})) AS days,
+    CASE WHEN overall_status = 'completed' THEN 1 ELSE 0 END AS done,
+    CASE WHEN overall_status = 'terminated' THEN 1 ELSE 0 END AS ended
+  FROM stg_versions t JOIN named USING (nct_id)
+)"""
+
+_CHANGED = "nct_id, overall_status, phase, ingest_timestamp, enrollment_count"
+
 _STUDY_CONDITIONS = f"""
 names AS (
   SELECT nct_id, healthy_volunteers AS condition_name FROM trials_raw
@@ -300,6 +315,17 @@ ORACLES |= {
     "stream_dedup": f"""{_with(_GOOD_EVENTS)}
         SELECT nct_id, overall_status, brief_title, last_update_post_date, raw FROM good""",
     "silver_upsert": f"{_with(VERSIONS_RAW, STG_VERSIONS)} SELECT * FROM stg_versions",
+    "incremental_mart": f"""{_with(VERSIONS_RAW, STG_VERSIONS, _EVENT_CONDITIONS)}
+        SELECT {_MART_KEYS}, {_MART_AGG} FROM with_category GROUP BY ALL""",
+    "silver_changes": f"""{_with(VERSIONS_RAW, STG_VERSIONS)},
+        before AS (SELECT {_SILVER} FROM (SELECT *, row_number() OVER (PARTITION BY nct_id
+            ORDER BY last_update_post_date DESC NULLS LAST, ingest_timestamp DESC NULLS LAST, {_TIES}) AS r
+          FROM std_versions WHERE ingest_timestamp < TIMESTAMP '2024-01-15') WHERE r = 1),
+        late AS (SELECT nct_id FROM std_versions WHERE ingest_timestamp >= TIMESTAMP '2024-01-15'),
+        old AS (SELECT * FROM before WHERE nct_id IN (SELECT nct_id FROM late)),
+        new AS (SELECT * FROM stg_versions WHERE nct_id IN (SELECT nct_id FROM late))
+        SELECT {_CHANGED}, 1 AS sign FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
+        UNION ALL SELECT {_CHANGED}, -1 FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)""",
     "condition_bridge": f"{_with(TRIALS_RAW, _STUDY_CONDITIONS)} SELECT * FROM names",
     "condition_category": f"""{_with(CONDITIONS)},
         words(word, category) AS (VALUES ('ring', 'cardiology'), ('bolt', 'oncology'), ('gear', 'neurology'),

@@ -26,6 +26,9 @@ NOUN_KEYWORDS = {
 # Condition keywords for the words the studies' condition arrays hold.
 WORD_KEYWORDS = {"yes": "endocrinology", "household": "oncology", "machinery": "cardiology"}
 
+# Condition keywords for the conditions made of events.
+EVENT_KEYWORDS = {"click": "cardiology", "view": "neurology", "yes": "endocrinology"}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

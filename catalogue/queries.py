@@ -24,7 +24,7 @@ from cohortmill.operators import (
     reports,
     staging,
 )
-from cohortmill.plans import medallion
+from cohortmill.plans import medallion, upkeep
 from cohortmill.schemas import SILVER_COLUMNS
 from cohortmill.session import prepare, scratch
 from cohortmill.sources import archive, bus, mark, tables
@@ -393,6 +393,36 @@ def silver_upsert(spark, sf_dir):
     return streaming.read_silver(spark, path, trials.schema)
 
 
+def early_and_late(spark, sf_dir) -> list[DataFrame]:
+    """Versions of the events' trials, with conditions, in two batches."""
+    raw = P.versions_raw(P.table(spark, sf_dir, "events"))
+    named = raw.withColumn("conditions", F.array("lead_sponsor_class", "healthy_volunteers", "lead_sponsor_class"))
+    trials = staging.standardize_trials(named)
+    early = F.col("ingest_timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")
+    return [trials.filter(early), trials.filter(~early)]
+
+
+@query
+def incremental_mart(spark, sf_dir):
+    """The enrollment mart after two upserts, made of what they changed."""
+    silver_path, counts = scratch(spark, "silver"), scratch(spark, "counts")
+    words = conditions.keyword_dictionary(spark, P.EVENT_KEYWORDS)
+    for i, batch in enumerate(early_and_late(spark, sf_dir)):
+        streaming.upsert_silver(batch, i, silver_path, buckets=8, after=upkeep.keep_counts(counts, words, parts=8))
+    return upkeep.enrollment_mart(spark, counts, P.AS_OF)
+
+
+@query
+def silver_changes(spark, sf_dir):
+    """The rows that the second upsert replaced and those it put in their place."""
+    path, passed = scratch(spark, "silver"), []
+    for i, batch in enumerate(early_and_late(spark, sf_dir)):
+        def keep(changes, name):
+            passed.append(stored(changes, "changes"))
+        streaming.upsert_silver(batch, i, path, buckets=8, after=keep)
+    return passed[-1].select("nct_id", "overall_status", "phase", "ingest_timestamp", "enrollment_count", "sign")
+
+
 # --- conditions ---------------------------------------------------------------------
 @query
 def condition_bridge(spark, sf_dir):

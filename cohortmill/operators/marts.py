@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortmill.functions import has_status, open_duration_days, rate_pct
+from cohortmill.functions.measures import as_date
 
 
 def with_outcome(trials: DataFrame, as_of=None) -> DataFrame:
@@ -33,53 +37,101 @@ def categories_per_trial(conditions: DataFrame) -> DataFrame:
     )
 
 
-def enrollment_mart(
-    trials: DataFrame, conditions: DataFrame, as_of=None, grain: str = "condition"
-) -> DataFrame:
-    """Enrollment by phase, condition category, sponsor class and country.
+ENROLLMENT_KEYS = ("phase", "condition_category", "lead_sponsor_class", "location_country")
+# What the enrollment mart is made of, by group and enrollment value; all of it can be added and taken away.
+ENROLLMENT_COUNTS = ("n", "w", "closed_days", "closed_w", "open_start", "open_w", "completed", "terminated")
 
-    `trials` holds one row per trial. At the default grain every condition row
-    counts, so a trial with two conditions in a category enters sums, averages,
-    median and rates twice (but `trial_count` once); `grain="trial"` counts it
-    once everywhere. Trials without a condition stay, under a null category.
 
-    A (trial, category) row weighted by its conditions says the same as the
-    condition rows, and is unique. So the distinct count is a plain count, and the
-    weighted aggregates combine on the map side. Rows are combined by group and
-    enrollment value first, in a hash aggregation that can spill; the exact median then
-    weighs the different values of a group.
+COUNTS_SCHEMA = T.StructType(
+    [
+        *(T.StructField(name, T.StringType()) for name in ENROLLMENT_KEYS),
+        T.StructField("enrollment_count", T.IntegerType()),
+        *(T.StructField(name, T.LongType()) for name in ENROLLMENT_COUNTS),
+    ]
+)
+
+
+def enrollment_counts(trials: DataFrame, conditions: DataFrame, grain: str = "condition") -> DataFrame:
+    """Sums by group and enrollment value, of which `enrollment_from_counts` makes the mart of any day.
+
+    Closed studies give their days. Of open ones, whose days grow, their number and the sum of
+    their start days is kept. A trial's rows are found from the trial and its conditions alone, so sums of
+    changed trials can be added and taken away.
     """
     if grain not in ("condition", "trial"):
         raise ValueError(f"grain must be 'condition' or 'trial', not {grain!r}")
     weight = F.coalesce("n_conditions", F.lit(1).cast("bigint"))
-    rows = (
-        with_outcome(trials, as_of)
-        .join(categories_per_trial(conditions), "nct_id", "left")
-        .withColumn("w", weight if grain == "condition" else F.lit(1).cast("bigint"))
+    rows = trials.join(categories_per_trial(conditions), "nct_id", "left").withColumn(
+        "w", weight if grain == "condition" else F.lit(1).cast("bigint")
     )
-    w, enrolled, days = F.col("w"), F.col("enrollment_count"), F.col("study_duration_days")
-
-    keys = ["phase", "condition_category", "lead_sponsor_class", "location_country"]
-    by_value = rows.groupBy(*keys, "enrollment_count").agg(
-        F.count("*").alias("n"),
-        F.sum(w).alias("w"),
-        F.sum(days * w).alias("days"),
-        F.sum(F.when(days.isNotNull(), w)).alias("days_w"),
-        F.sum(F.col("is_completed") * w).alias("completed"),
-        F.sum(F.col("is_terminated") * w).alias("terminated"),
+    w, status = F.col("w"), F.col("overall_status")
+    start, completion = F.col("start_date"), F.col("completion_date")
+    closed = start.isNotNull() & completion.isNotNull()
+    opened = start.isNotNull() & completion.isNull()
+    zero = F.lit(0).cast("bigint")
+    sums = {
+        "w": w,
+        "closed_days": F.when(closed, F.datediff(completion, start) * w).otherwise(zero),
+        "closed_w": F.when(closed, w).otherwise(zero),
+        "open_start": F.when(opened, F.unix_date(start) * w).otherwise(zero),
+        "open_w": F.when(opened, w).otherwise(zero),
+        "completed": has_status(status, "completed") * w,
+        "terminated": has_status(status, "terminated") * w,
+    }
+    return rows.groupBy(*ENROLLMENT_KEYS, "enrollment_count").agg(
+        F.count("*").alias("n"), *(F.sum(column).alias(name) for name, column in sums.items())
     )
+
+
+def add_counts(*parts: DataFrame) -> DataFrame:
+    """Sums of the same groups added up."""
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy(*ENROLLMENT_KEYS, "enrollment_count").agg(
+        *(F.sum(name).alias(name) for name in ENROLLMENT_COUNTS)
+    )
+
+
+def taken_away(counts: DataFrame) -> DataFrame:
+    return counts.withColumns({name: -F.col(name) for name in ENROLLMENT_COUNTS})
+
+
+def enrollment_from_counts(counts: DataFrame, as_of=None) -> DataFrame:
+    """The enrollment mart from its counts; the exact median weighs the values of a group."""
+    w, enrolled = F.col("w"), F.col("enrollment_count")
     known = F.sum(F.when(enrolled.isNotNull(), w))
-    return by_value.groupBy(*keys).agg(
+    today = F.unix_date(as_date(as_of))
+    days = F.sum(F.col("closed_days") + F.col("open_w") * today - F.col("open_start"))
+    days_w = F.nullif(F.sum(F.col("closed_w") + F.col("open_w")), F.lit(0).cast("bigint"))
+    return counts.filter("n > 0").groupBy(*ENROLLMENT_KEYS).agg(
         F.sum("n").alias("trial_count"),
         F.sum(enrolled * w).alias("total_enrollment"),
         (F.sum(enrolled * w).cast("double") / known.cast("double")).alias("avg_enrollment"),
         F.percentile(enrolled, F.lit(0.5), w).alias("median_enrollment"),
-        (F.sum("days").cast("double") / F.sum("days_w").cast("double")).alias("avg_duration_days"),
+        (days.cast("double") / days_w.cast("double")).alias("avg_duration_days"),
         rate_pct(F.sum("completed"), F.sum(w)).alias("completion_rate_pct"),
         rate_pct(F.sum("terminated"), F.sum(w)).alias("termination_rate_pct"),
     )
 
 
+def enrollment_mart(
+    trials: DataFrame, conditions: DataFrame, as_of=None, grain: str = "condition"
+) -> DataFrame:
+    """Enrollment by phase, condition category, sponsor class and country.
+
+    `trials` holds one row per trial. At the default grain every condition row
+    counts, so a trial with two conditions in a category enters sums, averages,
+    median and rates twice (but `trial_count` once); `grain="trial"` counts it
+    once everywhere. Trials without a condition stay, under a null category.
+
+    A (trial, category) row weighted by its conditions says the same as the
+    condition rows, and is unique. So the distinct count is a plain count, and the
+    weighted aggregates combine on the map side. Rows are combined by group and
+    enrollment value first, in a hash aggregation that can spill; the exact median then
+    weighs the different values of a group.
+    """
+    return enrollment_from_counts(enrollment_counts(trials, conditions, grain), as_of)
+
+
 def phase_outcomes_mart(trials: DataFrame) -> DataFrame:
     """Outcomes by phase and sponsor class; each trial counts once.
 

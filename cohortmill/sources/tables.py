@@ -24,6 +24,11 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, BRONZE).select(*BRONZE.names)
 
 
+def as_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of `schema`, in its types and order."""
+    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def _on_disk(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
@@ -40,6 +45,24 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder that holds few, in order; none where there is no folder."""
+    files, place = _on_disk(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    files, place = _on_disk(spark, path)
+    files.create(place).close()
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, place = _on_disk(spark, old)
+    if not files.rename(place, _on_disk(spark, new)[1]):
+        raise OSError(f"{old} can't be renamed to {new}")
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -10,6 +10,7 @@ from cohortmill import streaming
 from cohortmill.operators import envelope, staging
 from cohortmill.session import scratch
 from cohortmill.sources import bus, tables
+from cohortmill.streaming import silver
 
 VERSION = "nct_id string, last_update_post_date date, ingest_timestamp timestamp, status string"
 
@@ -83,73 +84,94 @@ def test_upsert_keeps_the_newest_version_whatever_the_order(spark):
     assert current(spark, path, first.schema) == [("A", "a5"), ("B", "b2"), ("C", "c1")]
 
 
-def test_a_repeated_or_half_done_batch_changes_nothing(spark):
+def test_a_repeated_batch_changes_nothing(spark):
     path = scratch(spark, "silver")
     first, second = versions(spark, ("A", 1, "a1"), ("B", 1, "b1")), versions(spark, ("A", 2, "a2"))
-    streaming.upsert_silver(first, 0, path, buckets=4)
-    streaming.upsert_silver(second, 1, path, buckets=4)
-    streaming.upsert_silver(second, 1, path, buckets=4)
-    assert current(spark, path, first.schema) == [("A", "a2"), ("B", "b1")]
-    # Data without a commit row: readers do not see it.
-    versions(spark, ("A", 9, "a9")).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(
-        f"{path}/data/version=2"
-    )
+    seen = []
+
+    def after(changes, batch):
+        seen.append((batch, sorted((r.sign, r.status) for r in changes.collect())))
+
+    streaming.upsert_silver(first, 0, path, buckets=4, after=after)
+    for _ in range(2):
+        streaming.upsert_silver(second, 1, path, buckets=4, after=after)
+    streaming.upsert_silver(first, 0, path, buckets=4, after=after)  # an old one again
     assert current(spark, path, first.schema) == [("A", "a2"), ("B", "b1")]
+    assert seen == [("batch-0", [(1, "a1"), (1, "b1")]), ("batch-1", [(-1, "a1"), (1, "a2")]), ("batch-0", [])]
+
+
+def test_a_batch_lost_half_way_is_completed_by_the_next_call(spark):
+    path, passed = scratch(spark, "silver"), []
+    after = lambda changes, batch: passed.append((batch, changes.count()))
+    first = versions(spark, *((f"K{i}", 1, "x") for i in range(40)))
+    streaming.upsert_silver(first, 0, path, buckets=4, after=after)
+    update = versions(spark, *((f"K{i}", 2, "y") for i in range(40)))
+    streaming.upsert_silver(update, 1, path, buckets=4, after=after)
+    # As if the overwrite of two of the parts had been lost, and nothing passed on.
+    for part in tables.children(spark, f"{path}/rows/of=4")[:2]:
+        tables.remove(spark, f"{path}/rows/of=4/{part}")
+    tables.rename(spark, f"{path}/staged/batch-1.passed", f"{path}/staged/batch-1.whole")
+    assert len(current(spark, path, first.schema)) < 40
+    streaming.upsert_silver(versions(spark, ("K0", 3, "z")), 2, path, after=after)
+    got = current(spark, path, first.schema)
+    assert len(got) == 40 and [s for _, s in got].count("y") == 39
+    assert passed == [("batch-0", 40), ("batch-1", 80), ("batch-1", 80), ("batch-2", 2)]
+    # Rows written apart without the file that says they are whole are never taken.
+    versions(spark, ("K1", 9, "lost")).write.parquet(f"{path}/staged/batch-3/rows/of=4/part=0")
+    streaming.upsert_silver(versions(spark, ("K2", 3, "z")), 4, path, after=after)
+    assert ("K1", "y") in current(spark, path, first.schema)
 
 
-def test_only_touched_buckets_are_written(spark, tmp_path):
+def test_only_touched_buckets_are_read_and_written(spark):
     path = scratch(spark, "silver")
     streaming.upsert_silver(versions(spark, *((f"K{i}", 1, "x") for i in range(50))), 0, path, buckets=8)
+    parts = {p: tables.children(spark, f"{path}/rows/of=8/{p}") for p in tables.children(spark, f"{path}/rows/of=8")}
     streaming.upsert_silver(versions(spark, ("K1", 2, "y")), 1, path, buckets=8)
-    commits = spark.read.parquet(f"{path}/commits").filter("commit = 1")
-    assert commits.filter("version = 1").count() == 1 and commits.count() == 8
+    changed = [p for p, names in parts.items() if tables.children(spark, f"{path}/rows/of=8/{p}") != names]
+    assert len(changed) == 1 and len(parts) == 8
+    assert tables.children(spark, f"{path}/staged/batch-1/rows/of=8") == changed
     assert len(current(spark, path, versions(spark, ("K", 1, "x")).schema)) == 50
 
 
-def test_the_commit_before_survives_a_lost_one(spark):
-    path = scratch(spark, "silver")
-    for i, status in enumerate("abcd"):
-        if i == 2:  # a batch without rows commits nothing
-            streaming.upsert_silver(versions(spark, ("A", 1, "-")).limit(0), i, path, buckets=2)
-        else:
-            streaming.upsert_silver(versions(spark, ("A", i + 1, status)), i, path, buckets=2)
-    schema = versions(spark, ("A", 1, "x")).schema
-    assert current(spark, path, schema) == [("A", "d")]
-    commits = spark.read.parquet(f"{path}/commits")
-    assert {r.commit for r in commits.select("commit").distinct().collect()} == {1, 2}
-    # The newest commit is lost while it is written: the one before still stands.
-    lost = commits.filter("commit = 2").first().slot
-    spark.createDataFrame([], commits.drop("slot").schema).write.mode("overwrite").parquet(
-        f"{path}/commits/slot={lost}"
-    )
-    assert current(spark, path, schema) == [("A", "b")]
-    streaming.upsert_silver(versions(spark, ("A", 4, "d")), 3, path, buckets=2)
-    assert current(spark, path, schema) == [("A", "d")]
-
-
-def test_a_new_checkpoint_goes_on_from_the_newest_commit(spark):
-    path = scratch(spark, "silver")
-    for i in range(6):
-        rows = versions(spark, *((f"K{i}-{j}", 1, "x") for j in range(20)))
-        streaming.upsert_silver(rows, i, path, buckets=4, source="old")
-    for i in range(3):
-        streaming.upsert_silver(versions(spark, (f"N{i}", 1, "y")), i, path, buckets=4, source="new")
-    schema = versions(spark, ("A", 1, "x")).schema
-    assert len(current(spark, path, schema)) == 123
-    # What the old checkpoint has committed is not taken again.
-    streaming.upsert_silver(versions(spark, ("K0-0", 9, "z")), 2, path, buckets=4, source="old")
-    assert ("K0-0", "x") in current(spark, path, schema)
-
-
-def test_a_stream_with_a_new_checkpoint_keeps_the_table(spark):
+def test_a_new_checkpoint_goes_on_from_the_table(spark):
     arrivals, path = scratch(spark, "arrivals"), scratch(spark, "silver")
     schema = versions(spark, ("A", 1, "x")).schema
-    versions(spark, ("A", 1, "a"), ("B", 1, "b")).write.parquet(arrivals)
+    versions(spark, ("A", 2, "a"), ("B", 1, "b")).write.parquet(arrivals)
     stream = spark.readStream.schema(schema).parquet(arrivals)
     for checkpoint in (scratch(spark, "cp"), scratch(spark, "cp")):
         run(streaming.start_silver(stream, path, checkpoint, once=True, buckets=2))
         versions(spark, ("C", 1, "c")).write.mode("append").parquet(arrivals)
     assert current(spark, path, schema) == [("A", "a"), ("B", "b"), ("C", "c")]
+    # Its state begins empty, so what is late for the table is new to the state.
+    late = scratch(spark, "late")
+    versions(spark, ("A", 1, "late"), ("B", 2, "newer")).write.parquet(late)
+    run(streaming.start_silver(spark.readStream.schema(schema).parquet(late), path, scratch(spark, "cp"), once=True))
+    assert current(spark, path, schema) == [("A", "a"), ("B", "newer"), ("C", "c")]
+
+
+def test_state_keeps_the_newest_version_over_restarts(spark):
+    arrivals, path, checkpoint = (scratch(spark, n) for n in ("arrivals", "silver", "cp"))
+    batches = [[("A", 5, "a5"), ("A", 3, "a3"), ("B", 1, "b1")], [("A", 4, "late"), ("B", 2, "b2")], [("C", 1, "c1"), ("B", 2, "a tie")]]
+    want = [[("A", "a5"), ("B", "b1")], [("A", "a5"), ("B", "b2")], [("A", "a5"), ("B", "a tie"), ("C", "c1")]]
+    for rows, expected in zip(batches, want):
+        versions(spark, *rows).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(versions(spark, *rows).schema).parquet(arrivals)
+        run(job := streaming.start_silver(stream, path, checkpoint, once=True, buckets=4))
+        assert current(spark, path, versions(spark, *rows).schema) == expected
+    state = job.lastProgress["stateOperators"][0]
+    assert state["numShufflePartitions"] == 4 and "rocksdb" in str(state).lower()
+
+
+def test_newest_rows_are_those_of_latest_version(spark, rows):
+    at = dt.datetime(2024, 1, 1)
+    data = [(k, d and dt.date(2024, 1, d), t and at + dt.timedelta(seconds=t), s, a)
+            for k in "AB" for d in (None, 1, 2) for t in (None, 1) for s, a in (("x", ["q"]), (None, None), ("y", ["p", None]))]
+    df = spark.createDataFrame(data + data, VERSION + ", names array<string>")
+    newest_first = ["last_update_post_date", "ingest_timestamp"]
+    for part in (df, df.filter("last_update_post_date IS NULL"), df.filter("ingest_timestamp IS NULL")):
+        assert rows(silver.newest_rows(part)) == rows(staging.latest_version(part, "nct_id", newest_first))
+    with pytest.raises(ValueError, match="status"):
+        silver.newest_rows(df, newest_first=["status"])
 
 
 def test_another_number_of_buckets_is_refused_and_can_be_made(spark):
@@ -157,24 +179,34 @@ def test_another_number_of_buckets_is_refused_and_can_be_made(spark):
     first = versions(spark, *((f"K{i}", 1, "x") for i in range(200)))
     streaming.upsert_silver(first, 0, path, buckets=8)
     update = versions(spark, *((f"K{i}", 2, "y") for i in range(60)))
-    with pytest.raises(ValueError, match="rebucket"):
+    with pytest.raises(ValueError, match="has 8 parts"):
         streaming.upsert_silver(update, 1, path, buckets=64)
     streaming.rebucket_silver(spark, path, first.schema, 64)
+    assert tables.children(spark, f"{path}/rows")[-1] == "of=64"
     streaming.upsert_silver(update, 1, path)
     got = current(spark, path, first.schema)
     assert len(got) == 200 and sum(status == "y" for _, status in got) == 60
 
 
-def test_old_versions_are_removed(spark):
+def test_a_change_of_layout_lost_half_way(spark):
     path = scratch(spark, "silver")
-    for i in range(6):
-        streaming.upsert_silver(versions(spark, ("A", i + 1, str(i))), i, path, buckets=1)
-    assert spark.read.parquet(f"{path}/data").select("version").distinct().count() == 2
+    first = versions(spark, *((f"K{i}", 1, "x") for i in range(60)))
+    streaming.upsert_silver(first, 0, path, buckets=4)
+    streaming.rebucket_silver(spark, path, first.schema, 8)
+    # Both layouts are there, each in part: rows are read once, and the next call completes the new one.
+    tables.rename(spark, f"{path}/staged/layout-8.applied", f"{path}/staged/layout-8.whole")
+    first.filter("nct_id < 'K3'").withColumn("part", F.lit(0)).write.partitionBy("part").parquet(f"{path}/rows/of=4")
+    assert len(current(spark, path, first.schema)) == 60
+    streaming.upsert_silver(versions(spark, ("K1", 2, "y")), 1, path)
+    assert [n for n in tables.children(spark, f"{path}/rows") if n.startswith("of=")] == ["of=8"]
+    assert len(current(spark, path, first.schema)) == 60
 
 
-def test_empty_batch_and_empty_table(spark):
+def test_reading_writes_nothing(spark):
     path = scratch(spark, "silver")
     none = versions(spark, ("A", 1, "a")).limit(0)
+    assert current(spark, path, none.schema) == []
+    assert not tables.exists(spark, path)
     streaming.upsert_silver(none, 0, path)
     assert current(spark, path, none.schema) == []
 
