@@ -294,6 +294,19 @@ ORACLES |= {
     "json_envelope": f"""{_with(TRIALS_RAW)}
         SELECT nct_id, coalesce(overall_status, 'Unknown status') AS overall_status, brief_title,
           last_update_post_date, phase, enrollment_count, lead_sponsor_name, sex FROM trials_raw""",
+    "variant_studies": f"""{_with(TRIALS_RAW)}
+        SELECT nct_id, coalesce(overall_status, 'Unknown status') AS overall_status, brief_title,
+          last_update_post_date, phase, enrollment_count, lead_sponsor_name, sex, location_country,
+          [healthy_volunteers, lead_sponsor_class, healthy_volunteers] AS conditions FROM trials_raw""",
+    "schema_drift": f"""{_with(TRIALS_RAW)},
+        s AS (SELECT CAST(date_trunc('quarter', ingest_date) AS DATE) AS day, CAST(nct_id[4:] AS BIGINT) AS k FROM trials_raw),
+        found AS (
+          SELECT day, '$.protocolSection.identificationModule.newTitle' AS path, 'new' AS change FROM s WHERE day = DATE '1996-01-01'
+          UNION ALL SELECT day, '$.protocolSection.identificationModule.officialTitle', 'gone' FROM s WHERE day = DATE '1996-01-01'
+          UNION ALL SELECT day, '$.protocolSection.extraModule', 'new' FROM s WHERE day <> DATE '1996-01-01' AND k % 50 = 0
+          UNION ALL SELECT day, '$.protocolSection.eligibilityModule.sex', 'retyped' FROM s
+            WHERE day <> DATE '1996-01-01' AND k % 50 <> 0 AND k % 40 = 0)
+        SELECT day, path, change, count(*) AS n FROM found GROUP BY ALL""",
     "publish_counters": """
         SELECT count(*) FILTER (WHERE event_type <> 'signup') AS sent,
           count(*) FILTER (WHERE event_type = 'signup') AS failed,
@@ -326,6 +339,14 @@ ORACLES |= {
         new AS (SELECT * FROM stg_versions WHERE nct_id IN (SELECT nct_id FROM late))
         SELECT {_CHANGED}, 1 AS sign FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
         UNION ALL SELECT {_CHANGED}, -1 FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new)""",
+    "stream_volume": """
+        WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id % 20 = 0 AS held, ts FROM events),
+        marks AS (SELECT max(ts) FILTER (NOT held) - INTERVAL 1 DAY AS first, max(ts) - INTERVAL 1 DAY AS last FROM e),
+        days AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM e)
+        SELECT d.day, count(ts) FILTER (NOT held OR d.day + INTERVAL 1 DAY > m.first) AS n,
+          count(ts) FILTER (held AND d.day + INTERVAL 1 DAY <= m.first) AS late,
+          d.day + INTERVAL 1 DAY <= m.last AS is_closed
+        FROM days d CROSS JOIN marks m LEFT JOIN e USING (day) GROUP BY d.day, m.first, m.last""",
     "condition_bridge": f"{_with(TRIALS_RAW, _STUDY_CONDITIONS)} SELECT * FROM names",
     "condition_category": f"""{_with(CONDITIONS)},
         words(word, category) AS (VALUES ('ring', 'cardiology'), ('bolt', 'oncology'), ('gear', 'neurology'),
@@ -411,6 +432,10 @@ def _tests(model: str, source: str, *selects: str) -> str:
 
 ORACLES |= {
     "bronze_suite": f"{_with(TRIALS_RAW)} {_over('trials_raw', _BRONZE_CHECKS)}",
+    "stream_suite": f"SELECT *, CAST(3 AS BIGINT) AS batches FROM ({_with(VERSIONS_RAW)} {_over('versions_raw', _BRONZE_CHECKS)})",
+    "sketched_days": """
+        SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, true AS users_hold, true AS quartiles_hold
+        FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY ALL""",
     "silver_suite": f"""{_with(TRIALS_RAW, STG, CONDITIONS)}
         {_over('stg', _nulls('nct_id'),
                _check('unique', 'nct_id', 'count(nct_id)', _UNIQUE_ROWS),
@@ -622,3 +647,6 @@ ORACLES |= {
         'study_duration_days', 'sex', 'healthy_volunteers', 'condition_category', 'n_conditions', 'n_categories',
         'n_countries']) AS feature, true AS holds""",
 }
+
+# The same rows by another way.
+ORACLES["bucketed_mart"] = ORACLES["enrollment_mart"]

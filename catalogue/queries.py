@@ -22,7 +22,9 @@ from cohortmill.operators import (
     marts,
     monitor,
     reports,
+    sketches,
     staging,
+    variants,
 )
 from cohortmill.plans import medallion, upkeep
 from cohortmill.schemas import SILVER_COLUMNS
@@ -285,6 +287,32 @@ def json_envelope(spark, sf_dir):
     )
 
 
+@query
+def variant_studies(spark, sf_dir):
+    """Study -> message text -> message parsed once -> bronze with VARIANT studies -> fields by path."""
+    path = scratch(spark, "variants")
+    messages = envelope.to_messages(P.studies(spark, sf_dir)).withColumn("timestamp", F.current_timestamp())
+    envelope.accepted(variants.parse_messages(messages)).write.parquet(path)
+    raw = variants.to_raw_trials(tables.read_table(spark, path))
+    return raw.select(
+        "nct_id", "overall_status", "brief_title", "last_update_post_date", "phase", "enrollment_count",
+        "lead_sponsor_name", "sex", "location_country", "conditions",
+    )
+
+
+@query
+def schema_drift(spark, sf_dir):
+    """Where each quarter's studies depart from the schema; a module, a number for a text and a gap are planted."""
+    text = F.to_json("study")
+    k = F.get_json_object(text, "$.protocolSection.identificationModule.nctId").substr(4, 20).cast("bigint")
+    extra = F.regexp_replace(text, r'^\{"protocolSection":\{', '{"protocolSection":{"extraModule":{"x":1},')
+    number = F.regexp_replace(text, '"sex":"[^"]*"', '"sex":5')
+    gap = F.regexp_replace(text, '"officialTitle":"[^"]*"', '"newTitle":[]')
+    planted = F.when(F.col("run_date") == "1996-01-01", gap).when(k % 50 == 0, extra).when(k % 40 == 0, number).otherwise(text)
+    rows = P.studies(spark, sf_dir).select("run_date", F.parse_json(planted).alias("raw"))
+    return variants.drift(stored(rows, "variants"), "run_date")
+
+
 @query
 def publish_counters(spark, sf_dir):
     """Messages dropped for the bus: sent and failed, and how many arrived."""
@@ -423,6 +451,37 @@ def silver_changes(spark, sf_dir):
     return passed[-1].select("nct_id", "overall_status", "phase", "ingest_timestamp", "enrollment_count", "sign")
 
 
+@query
+def stream_volume(spark, sf_dir):
+    """Events per day of event time: a drop with 19 of 20, then, after a restart, the others; what is late is counted apart."""
+    events = P.table(spark, sf_dir, "events")
+    arrivals, path = scratch(spark, "arrivals"), scratch(spark, "volume")
+    held_back = F.col("event_id") % 20 == 0
+    for part in (events.filter(~held_back), events.filter(held_back)):
+        part.write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(events.schema).parquet(arrivals)
+        for job in streaming.start_daily_volume(stream, "ts", path, once=True):
+            job.awaitTermination()
+    return streaming.daily_volume(spark, path)
+
+
+@query
+def stream_suite(spark, sf_dir):
+    """The bronze suite over versions that stream in three micro-batches: its result over all of them."""
+    events = P.table(spark, sf_dir, "events")
+    arrivals, path, checkpoint, out = (scratch(spark, n) for n in ("arrivals", "suite", "checkpoint", "out"))
+    events.repartition(3).write.parquet(arrivals)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrivals)
+    watch = streaming.SuiteWatch(spark, checks.BRONZE_SUITE, path)
+    rows = watch.over(P.versions_raw(stream)).select("nct_id")
+    job = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    job = job.trigger(availableNow=True).start()
+    job.awaitTermination()
+    watch.finish(job)
+    n = F.lit(watch.batches().filter("n > 0").count()).cast("bigint").alias("batches")
+    return watch.totals().drop("params").select("*", n)
+
+
 # --- conditions ---------------------------------------------------------------------
 @query
 def condition_bridge(spark, sf_dir):
@@ -514,6 +573,31 @@ def freshness(spark, sf_dir):
     )
 
 
+@query
+def sketched_days(spark, sf_dir):
+    """Different users and quartiles of the values of some days by type, from sketches of each day, beside the exact ones."""
+    events = P.table(spark, sf_dir, "events")
+    path = scratch(spark, "sketches")
+    sketches.daily_sketches(events, F.col("ts").cast("date"), ["event_type"], "user_id", "value").write.parquet(path)
+    first, last = dt.date(2024, 1, 5), dt.date(2024, 1, 20)
+    got = sketches.over_days(tables.read_table(spark, path), first, last, ["event_type"])
+    days = events.filter(F.col("ts").cast("date").between(F.lit(first), F.lit(last)))
+    users = days.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    # How many values lie below and up to each estimate: the rank asked for has to be near.
+    estimates = got.select("event_type", "n_values", F.posexplode("quantiles").alias("i", "q"))
+    ranks = days.join(F.broadcast(estimates), "event_type").groupBy("event_type", "i", "n_values").agg(
+        F.count_if(F.col("value") < F.col("q")).alias("below"), F.count_if(F.col("value") <= F.col("q")).alias("upto")
+    )
+    wanted = F.element_at(F.array(*map(F.lit, sketches.QUARTILES)), F.col("i") + 1) * F.col("n_values")
+    slack = F.lit(sketches.rank_error()) * F.col("n_values") + 1
+    near = (F.col("below") - slack <= wanted) & (wanted <= F.col("upto") + slack)
+    ranks = ranks.groupBy("event_type").agg(F.bool_and(near).alias("quartiles_hold"))
+    bound = F.lit(sketches.distinct_error()) * F.col("users") + 0.5
+    return got.join(users, "event_type").join(ranks, "event_type").select(
+        "event_type", "n", "users", (F.abs(F.col("n_distinct") - F.col("users")) <= bound).alias("users_hold"), "quartiles_hold"
+    )
+
+
 # --- features and models ---------------------------------------------------------------
 def trial_rows(spark, sf_dir) -> DataFrame:
     return features.fill_features(
@@ -685,6 +769,16 @@ def warehouse_layout(spark, sf_dir):
     return spark.table(table)
 
 
+@query
+def bucketed_mart(spark, sf_dir):
+    """The enrollment mart of trials and bridge that are bucketed alike by trial."""
+    path = scratch(spark, "warehouse")
+    named = [f"{name}_{path[-8:]}" for name in ("trials", "bridge")]
+    tables.write_clustered(silver(spark, sf_dir), named[0], f"{path}/trials", buckets=8)
+    tables.write_clustered(P.conditions(spark, sf_dir), named[1], f"{path}/bridge", sort="condition_category", buckets=8)
+    return marts.enrollment_mart(spark.table(named[0]), spark.table(named[1]), P.AS_OF)
+
+
 @query
 def silver_updates(spark, sf_dir):
     """Two ingests, each followed by an upsert of what it brought into silver, the second by a new checkpoint."""

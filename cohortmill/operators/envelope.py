@@ -97,6 +97,11 @@ def flatten_studies(
     flat = rows.select(
         *(keep or []), source.alias("_s")
     ).select(*(keep or []), *(F.col(f"_s.{path}").alias(name) for name, path in paths.items()))
+    return scalar_fields(flat, registry_codes)
+
+
+def scalar_fields(flat: DataFrame, registry_codes: bool = False) -> DataFrame:
+    """Add `phase` and `location_country`, made of the lists."""
     phases = F.col("phases")
     if registry_codes:
         phases = F.transform(phases, normalize_registry_code)

@@ -29,20 +29,26 @@ def freshness(
     )
 
 
-def daily_counts(df: DataFrame, day: Column) -> DataFrame:
+# Days that a day's volume is compared with.
+BASELINE_DAYS = 7
+
+
+def daily_counts(df: DataFrame, day: Column, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
     """Rows per day, with a zero for every day in between that has none."""
-    counts = df.select(day.alias("day")).filter("day IS NOT NULL").groupBy("day").agg(
-        F.count("*").alias("n")
-    )
-    calendar = counts.agg(F.min("day").alias("a"), F.max("day").alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("day")
-    )
+    counts = df.select(day.alias("day")).filter("day IS NOT NULL").groupBy("day").agg(F.count("*").alias("n"))
+    return without_gaps(counts, first, last)
+
+
+def without_gaps(counts: DataFrame, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """(day, n) with a zero for every day without a row, from the first that has one (or `first`) to the last (or `last`)."""
+    bounds = F.least(F.min("day"), F.lit(first)).alias("a"), F.greatest(F.max("day"), F.lit(last)).alias("b")
+    calendar = counts.agg(*bounds).filter("a <= b").select(F.explode(F.sequence("a", "b")).alias("day"))
     return calendar.join(counts, "day", "left").select(
         "day", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
     )
 
 
-def volume_anomaly(daily: DataFrame, k: int = 7, z: float = 3.0) -> DataFrame:
+def volume_anomaly(daily: DataFrame, k: int = BASELINE_DAYS, z: float = 3.0) -> DataFrame:
     """Days whose count is more than `z` standard deviations off the `k` days before.
 
     Days with less than two days before them have no baseline and raise no alert;

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cohortmill.operators import envelope, staging
+from cohortmill.operators import envelope, marts, staging
 from cohortmill.schemas import RAW_STUDY
 from cohortmill.session import scratch
 from cohortmill.sources import archive, bus, mark, tables
@@ -195,6 +195,24 @@ def test_compaction_keeps_rows_and_replaces_only_its_days(spark, tmp_path):
     assert len(tables.read_bronze(spark, source).inputFiles()) > 3
 
 
+def test_the_mart_of_clustered_tables_shuffles_by_group_alone(spark, plan, rows):
+    trials = spark.range(500).selectExpr(
+        "concat('N', id) AS nct_id", "'completed' AS overall_status", "concat('p', id % 3) AS phase", "'X' AS lead_sponsor_class",
+        "'F' AS location_country", "cast(id as int) AS enrollment_count", "date'2024-01-01' AS start_date", "date'2024-03-01' AS completion_date",
+    )
+    bridge = spark.range(900).selectExpr("concat('N', id % 450) AS nct_id", "concat('c', id % 5) AS condition_category")
+    tables.write_clustered(trials, "mart_trials", scratch(spark, "wh"), buckets=4)
+    tables.write_clustered(bridge, "mart_bridge", scratch(spark, "wh"), sort="condition_category", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mart = marts.enrollment_mart(spark.table("mart_trials"), spark.table("mart_bridge"), "2024-06-01")
+        shuffles = [line for line in plan(mart).splitlines() if "Exchange" in line]
+        assert len(shuffles) >= 1 and not any("nct_id" in line for line in shuffles)
+        assert rows(mart) == rows(marts.enrollment_mart(trials, bridge, "2024-06-01"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_clustered_table_joins_without_a_shuffle(spark, plan):
     df = spark.range(100).select(
         F.concat(F.lit("N"), "id").alias("nct_id"), F.lit(D(2024, 1, 1)).alias("completion_date")

@@ -209,6 +209,30 @@ def test_watch_and_compaction(spark):
         tables.append_bronze(after, layers.bronze)
 
 
+def test_watch_reads_the_last_days_only(spark, monkeypatch):
+    from cohortmill.operators import monitor
+
+    layers = medallion.Layers(scratch(spark, "run"))
+    rows = [(f"NCT{d:08d}", dt.datetime(2024, 1, 1) + dt.timedelta(days=d), dt.date(2024, 1, 1) + dt.timedelta(days=d), "COMPLETED")
+            for d in range(40) for _ in range(50 if d == 39 else 3 + d % 2)]
+    some = spark.createDataFrame(rows, "nct_id string, ingest_timestamp timestamp, ingest_date date, overall_status string")
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE.fields if f.name not in some.columns]
+    tables.append_bronze(some.select("*", *rest).select(*BRONZE.names), layers.bronze)
+    seen = []
+    counts = monitor.daily_counts
+    monkeypatch.setattr(monitor, "daily_counts", lambda df, *more: seen.append(df) or counts(df, *more))
+    day = dt.date(2024, 2, 9)
+    assert medallion.watch(spark, layers, day) == ["odd_volume"]
+    assert medallion.watch(spark, layers, day - dt.timedelta(days=1)) == []
+    # The same verdict as over the whole history, of a few days' files.
+    whole = monitor.volume_anomaly(counts(tables.read_bronze(spark, layers.bronze), F.col("ingest_date")))
+    assert whole.filter(F.col("day") == F.lit(day)).first()["is_anomaly"]
+    assert len({r[0] for r in seen[0].select("ingest_date").distinct().collect()}) == 8
+    # Days without a row count as zero, also the first of them.
+    late = medallion.watch(spark, layers, day + dt.timedelta(days=3))
+    assert "no_arrival" in late and "stale" in late
+
+
 def test_only_compacted_days_are_read_from_their_folder(spark):
     layers = medallion.Layers(scratch(spark, "run"))
 
