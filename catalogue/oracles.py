@@ -648,5 +648,15 @@ ORACLES |= {
         'n_countries']) AS feature, true AS holds""",
 }
 
-# The same rows by another way.
-ORACLES["bucketed_mart"] = ORACLES["enrollment_mart"]
+# The same rows by other ways.
+ORACLES |= dict.fromkeys(("bucketed_mart", "sql_mart"), ORACLES["enrollment_mart"])
+
+ORACLES |= {
+    "learned_rule": f"""{_FEATS},
+        n AS (SELECT count(*) AS n_rows FROM feats)
+        SELECT model_type, n_rows, true AS learned
+        FROM (VALUES ('random_forest'), ('gradient_boosting')) m(model_type), n""",
+    "open_trial_scores": f"""{_TRIALS}
+        SELECT nct_id, CASE WHEN CAST(nct_id[4:] AS BIGINT) % 7 = 0 THEN 'Atlantis' ELSE location_country END AS location_country,
+          true AS holds FROM stg WHERE overall_status NOT IN ('completed', 'terminated', 'withdrawn')""",
+}

@@ -22,11 +22,12 @@ from cohortmill.operators import (
     marts,
     monitor,
     reports,
+    scoring,
     sketches,
     staging,
     variants,
 )
-from cohortmill.plans import medallion, upkeep
+from cohortmill.plans import medallion, upkeep, views
 from cohortmill.schemas import SILVER_COLUMNS
 from cohortmill.session import prepare, scratch
 from cohortmill.sources import archive, bus, mark, tables
@@ -759,6 +760,50 @@ def feature_importances(spark, sf_dir):
     return shares.select("feature", (F.col("importance").between(0, 1) & whole).alias("holds"))
 
 
+SMALL = {"random_forest": {"numTrees": 20, "maxDepth": 6}, "gradient_boosting": {"maxIter": 15, "maxDepth": 4}}
+
+
+@query
+def learned_rule(spark, sf_dir):
+    """Both models on rows whose outcome follows from phase and size but for one in ten: whether they have learned it."""
+    early = F.col("phase").isin("phase 1/phase 2", "early phase 1")
+    rule = early != (F.col("enrollment_count") > 1500)
+    odd = F.crc32("nct_id") % 10 == 0
+    rows = stored(trial_rows(spark, sf_dir).withColumn(features.TARGET, (rule != odd).cast("int")), "features")
+    codes = features.write_label_codes(rows, features.TRIAL_CATEGORICAL, scratch(spark, "labels"))
+    coded = features.encode_labels(rows, codes, features.TRIAL_CATEGORICAL)
+    split = features.stratified_split(coded, ["nct_id"], features.TARGET)
+    runs = learn.train_models(
+        split, features.TRIAL_FEATURES, scratch(spark, "learn"), RUN_DATE, ["nct_id"], SMALL, features.TRIAL_CATEGORICAL
+    )
+    # Guessing gives 0.5 of each; who knows the rule has 0.9.
+    learned = (F.col("auc") >= 0.8) & (F.col("accuracy") >= 0.85) & (F.col("mae") <= 0.15)
+    return runs.select("model_type", (F.col("n_train") + F.col("n_test")).alias("n_rows"), learned.alias("learned"))
+
+
+@query
+def open_trial_scores(spark, sf_dir):
+    """Open trials scored by a stored model that was trained on closed ones; some have a country it hasn't seen."""
+    root, trials, bridge = scratch(spark, "scorers"), stored(silver(spark, sf_dir), "trials"), P.conditions(spark, sf_dir)
+    closed = stored(trial_rows(spark, sf_dir), "features")
+    model = scoring.fit("random_forest", closed, **SMALL["random_forest"])
+    scoring.store(model, root, "random_forest", RUN_DATE)
+    new_country = F.when(P.order_number() % 7 == 0, "Atlantis").otherwise(F.col("location_country"))
+    rows = features.trial_features(trials.withColumn("location_country", new_country), bridge, P.AS_OF, open_trials=True)
+    rows = features.fill_features(rows, features.TRIAL_CATEGORICAL)
+    got = scoring.score(scoring.load(spark, root, "random_forest", "2004-01-01"), rows, ["nct_id", "location_country"])
+    p = F.col("completion_probability")
+    holds = p.between(0, 1) & (F.col("predicted_completed") == (p > 0.5).cast("int"))
+    return got.select("nct_id", "location_country", (holds | (p == 0.5)).alias("holds"))
+
+
+@query
+def sql_mart(spark, sf_dir):
+    """The enrollment mart as a query text over views, whose silver is SQL over the raw trials."""
+    views.register(spark, trials_raw=P.trials_raw(spark, sf_dir), stg_conditions=P.conditions(spark, sf_dir))
+    return views.enrollment_mart(spark, P.AS_OF)
+
+
 # --- layout, whole run ---------------------------------------------------------------------
 @query
 def warehouse_layout(spark, sf_dir):

@@ -9,7 +9,7 @@ from cohortmill.schemas import SILVER_PHASES
 
 # Labels that contain another label are looked for before it; a text that holds
 # several labels takes the first of these, wherever it stands in the text.
-_COMPOUND_PHASES = ["early phase 1", "phase 1/phase 2", "phase 2/phase 3"]
+COMPOUND_PHASES = ["early phase 1", "phase 1/phase 2", "phase 2/phase 3"]
 _NO_PHASE = "n/a"
 
 
@@ -23,9 +23,9 @@ def upper_trim(column: Column) -> Column:
 
 def clean_phase(column: Column) -> Column:
     """The standard phase a free text names, or `n/a` for none, blank or null."""
-    simple = [p for p in SILVER_PHASES if p not in _COMPOUND_PHASES and p != _NO_PHASE]
+    simple = [p for p in SILVER_PHASES if p not in COMPOUND_PHASES and p != _NO_PHASE]
     text = F.lower(column)
-    named = [F.when(text.contains(label), label) for label in _COMPOUND_PHASES + simple]
+    named = [F.when(text.contains(label), label) for label in COMPOUND_PHASES + simple]
     return F.coalesce(*named, F.lit(_NO_PHASE))
 
 

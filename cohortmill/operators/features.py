@@ -47,12 +47,15 @@ def mart_features(mart: DataFrame) -> DataFrame:
     )
 
 
-def trial_features(trials: DataFrame, conditions: DataFrame, as_of=None) -> DataFrame:
+def trial_features(
+    trials: DataFrame, conditions: DataFrame, as_of=None, open_trials: bool = False
+) -> DataFrame:
     """One row per closed trial, with the trial's own outcome as target.
 
-    Open trials have no outcome yet and are left out. No feature is made from
-    the status.
+    Open trials have no outcome yet and are left out; with `open_trials` there are only these, their
+    target null. No feature is made from the status.
     """
+    closed = F.coalesce(F.col("overall_status").isin(*CLOSED_STATUSES), F.lit(False))
     summary = (
         categories_per_trial(conditions)
         .groupBy("nct_id")
@@ -68,7 +71,8 @@ def trial_features(trials: DataFrame, conditions: DataFrame, as_of=None) -> Data
         n_countries = F.when(F.col("location_country").isNotNull(), 1).otherwise(0)
     zero = F.lit(0).cast("bigint")
     return (
-        with_outcome(trials.filter(F.col("overall_status").isin(*CLOSED_STATUSES)), as_of)
+        with_outcome(trials.filter(~closed if open_trials else closed), as_of)
+        .withColumn(TARGET, F.lit(None).cast("int") if open_trials else F.col(TARGET))
         .withColumn("n_countries", n_countries)
         .join(summary, "nct_id", "left")
         .select(
