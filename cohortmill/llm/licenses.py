@@ -2,7 +2,8 @@
 
 Words are runs of a-z, 0-9 and non-ASCII characters after A-Z are lowered. A template is
 compiled into a token automaton: a mandatory word is a state that only this word leaves, an
-optional region can be skipped, a replaceable one takes a bounded number of any words. A
+optional region can be skipped, a replaceable one takes a bounded number of any words, and a
+guard lets nothing pass if one of its words comes next. A
 place is accepted if the automaton reaches its end, so the mandatory wording matches exactly;
 of the ends of one place the last counts. The automaton's states are the bits of one number
 and it runs from the places of its first word, in texts that hold the template's longest
@@ -33,7 +34,7 @@ FOUND = (
     "templates array<struct<label:string,name:string,start:bigint,end:bigint>>"
 )
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
-_MARK = re.compile(r"<<(begin|end|var (\d+)-(\d+))>>")
+_MARK = re.compile(r"<<(begin|end|var (\d+)-(\d+)|unless ([a-z0-9 ]+))>>")
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -41,7 +42,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def parse(markup: str) -> list:
-    """Words as bytes, replaceable regions as (least, most), optional regions as lists."""
+    """Words as bytes, replaceable regions as (least, most), optional regions as lists, guards as sets."""
     stack: list[list] = [[]]
     at = 0
     for mark in _MARK.finditer(markup):
@@ -52,6 +53,8 @@ def parse(markup: str) -> list:
         elif mark[1] == "end":
             region = stack.pop()
             stack[-1].append(region)
+        elif mark[4]:
+            stack[-1].append(frozenset(mark[4].encode().split()))
         else:
             stack[-1].append((int(mark[2]), int(mark[3])))
     stack[-1] += words_of(markup[at:].encode())
@@ -66,10 +69,10 @@ class Automaton:
     def __init__(self, parts: list):
         self.words: dict[bytes, int] = {}
         self.any = 0
-        self.passes: list[tuple[int, int]] = []
+        self.passes: list[tuple[int, int, frozenset]] = []
         self.end = 0
         self._add(parts)
-        self.passes.sort()
+        self.passes.sort(key=lambda p: p[:2])
         if not parts or not isinstance(parts[0], bytes):
             raise ValueError("a template begins with a mandatory word")
         self.first = parts[0]
@@ -92,25 +95,29 @@ class Automaton:
                 least, most = part
                 self.any |= ((1 << most) - 1) << self.end
                 self.end += most
-                self.passes += [(begin + n, self.end) for n in range(least, most)]
+                self.passes += [(begin + n, self.end, frozenset()) for n in range(least, most)]
+            elif isinstance(part, frozenset):
+                self.end += 1
+                self.passes.append((begin, self.end, part))
             else:
                 self._add(part)
-                self.passes.append((begin, self.end))
+                self.passes.append((begin, self.end, frozenset()))
 
     def run(self, words: list[bytes], start: int) -> int | None:
         """Where the last match that begins at `start` ends, if there is one."""
-        last, state = None, self._passed(1)
+        last, state = None, self._passed(1, words[start])
         for i in range(start, len(words)):
-            state = self._passed((state & (self.words.get(words[i], 0) | self.any)) << 1)
+            following = words[i + 1] if i + 1 < len(words) else b""
+            state = self._passed((state & (self.words.get(words[i], 0) | self.any)) << 1, following)
             if not state:
                 break
             if state >> self.end & 1:
                 last = i + 1
         return last
 
-    def _passed(self, state: int) -> int:
-        for source, target in self.passes:
-            if state >> source & 1:
+    def _passed(self, state: int, following: bytes) -> int:
+        for source, target, refused in self.passes:
+            if state >> source & 1 and following not in refused:
                 state |= 1 << target
         return state
 

@@ -156,10 +156,31 @@ def _pattern(parts: list) -> str:
     return out
 
 
+def _others(words: set[str]) -> str:
+    """The words that are none of these."""
+
+    def after(rest: set[str], begun: bool) -> str:
+        heads = sorted({w[0] for w in rest if w})
+        ways = ([""] if begun and "" not in rest else []) + [f"[^ {''.join(heads)}][^ ]*"]
+        ways += [h + after({w[1:] for w in rest if w and w[0] == h}, True) for h in heads]
+        return f"(?:{'|'.join(ways)})"
+
+    return after(words, False)
+
+
+def _whole(parts: list) -> str:
+    """A template with what must follow its last word; behind a guard everything is optional."""
+    at = next((i for i, part in enumerate(parts) if isinstance(part, frozenset)), None)
+    if at is None:
+        return _pattern(parts) + " "
+    assert all(isinstance(part, list) for part in parts[at + 1 :])
+    return _pattern(parts[:at]) + f"(?: {_others({w.decode() for w in parts[at]})} | $)"
+
+
 def _licenses() -> str:
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     hits = ", ".join(
-        f"CASE WHEN regexp_matches(joined, '{_pattern(licenses.parse(markup))} ') THEN '{label}' END"
+        f"CASE WHEN regexp_matches(joined, '{_whole(licenses.parse(markup))}') THEN '{label}' END"
         for label, _, markup in license_templates.TEMPLATES
     )
     phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.PHRASES.items())
