@@ -171,7 +171,7 @@ def _n(condition: str) -> str:
 ORACLES: dict[str, str] = {
     "stg_trials": f"{_TRIALS} SELECT {_SILVER} FROM stg",
     "latest_version": """
-        SELECT user_id, event_id, ts, event_type, value FROM (
+        SELECT user_id, event_id, ts, event_type, value, props FROM (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events)
         WHERE r = 1""",
     "stg_trials_dedup": f"{_with(VERSIONS_RAW, STG_VERSIONS)} SELECT * FROM stg_versions",
@@ -284,6 +284,8 @@ ORACLES |= {
         SELECT nct_id, last_update_post_date, 1 AS scan FROM first
         UNION ALL SELECT nct_id, last_update_post_date, 2 FROM records
         WHERE day IS NULL OR day >= (SELECT max(day) FROM first WHERE day <= DATE '2001-08-15')""",
+    "clustered_scan": f"""{_with(TRIALS_RAW, _SCAN_RECORDS)}
+        SELECT nct_id, last_update_post_date, day AS update_day FROM records WHERE day IS NULL OR day >= DATE '2001-08-15'""",
     "ordered_scan": f"""{_with(TRIALS_RAW, _SCAN_RECORDS)}
         SELECT count(*) AS n, true AS is_ordered FROM records WHERE day IS NULL OR day >= DATE '2001-01-01'""",
     "wrapped_archive_scan": f"""{_with(TRIALS_RAW)}

@@ -63,7 +63,7 @@ def stg_trials(spark, sf_dir):
 
 @query
 def latest_version(spark, sf_dir):
-    events = P.table(spark, sf_dir, "events").drop("props")
+    events = P.table(spark, sf_dir, "events")
     return staging.latest_version(events, "user_id", ["ts", "event_id"])
 
 
@@ -225,6 +225,15 @@ def incremental_scan(spark, sf_dir):
     return first.withColumn("scan", F.lit(1)).unionByName(second.withColumn("scan", F.lit(2)))
 
 
+@query
+def clustered_scan(spark, sf_dir):
+    """A scan from a mark over records that lie in files by their update day."""
+    path = scratch(spark, "by-update")
+    mark.write_by_update(P.scan_records(spark, sf_dir), path, files=16)
+    found = mark.read_updated_since(spark, path, dt.date.fromisoformat(P.RUN_DAY))
+    return found.select("nct_id", "last_update_post_date", "update_day")
+
+
 @query
 def ordered_scan(spark, sf_dir):
     """A scan in the order of the updates: its rows, and whether each task's follow those of the task before."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -135,10 +134,14 @@ def write_clustered(
     writer.saveAsTable(table)
 
 
-def _files_by_day(bronze: DataFrame) -> Counter[dt.date | None]:
-    """How many files `bronze` lists for each ingest day; those without a day are under None."""
-    days = (re.search(r"/ingest_date=(\d{4}-\d\d-\d\d)/", path) for path in bronze.inputFiles())
-    return Counter(day and dt.date.fromisoformat(day[1]) for day in days)
+def _files_by_day(spark: SparkSession, path: str) -> Counter[dt.date | None]:
+    """How many files bronze lists for each ingest day; those without a day are under None.
+
+    Counted by Spark from the files' places alone: the driver gets a row for each day.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    day = F.regexp_extract("path", r"/ingest_date=(\d{4}-\d\d-\d\d)/", 1).alias("day")
+    return Counter({r.day and dt.date.fromisoformat(r.day) or None: r.n for r in files.groupBy(day).agg(F.count("*").alias("n")).collect()})
 
 
 def compact_days(
@@ -152,7 +155,7 @@ def compact_days(
     """
     day = F.col("ingest_date")
     landed = read_bronze(spark, source)
-    files = _files_by_day(landed)
+    files = _files_by_day(spark, source)
     write_table(landed.filter(day.between(F.lit(first), F.lit(last))), target, BRONZE_PARTITIONS, replace="touched")
     return {day: n for day, n in files.items() if day is not None and first <= day <= last}
 
@@ -164,7 +167,7 @@ def read_landed(spark: SparkSession, source: str, target: str, compacted: dict[d
     which more files have landed since is read from `source` until it is compacted again.
     """
     landed = read_bronze(spark, source)
-    files = _files_by_day(landed)
+    files = _files_by_day(spark, source)
     days = sorted(day for day, n in compacted.items() if files[day] == n)
     if not days:
         return landed

@@ -195,6 +195,36 @@ def test_compaction_keeps_rows_and_replaces_only_its_days(spark, tmp_path):
     assert len(tables.read_bronze(spark, source).inputFiles()) > 3
 
 
+def test_a_scan_skips_files_before_the_mark(spark, plan):
+    import pyarrow.parquet as pq
+
+    path = scratch(spark, "by-update")
+    records = spark.range(4000).selectExpr(
+        "concat('N', id) AS nct_id", "CASE WHEN id % 97 = 0 THEN 'no date' ELSE cast(date_add(date'2020-01-01', cast(id % 1000 as int)) as string) END AS last_update_post_date"
+    )
+    mark.write_by_update(records, path, files=8)
+    since = dt.date(2022, 9, 1)
+    found = mark.read_updated_since(spark, path, since)
+    assert "Or(IsNull(update_day),GreaterThanOrEqual(update_day,2022-09-01))" in plan(found)
+    want = mark.updated_since(records, since)
+    assert found.select("nct_id").exceptAll(want.select("nct_id")).isEmpty() and found.count() == want.count()
+    # By their statistics most row groups lie before the mark and have no null.
+    kept = 0
+    files = [f for f in tables.children(spark, path) if f.endswith(".parquet")]
+    for name in files:
+        meta = pq.ParquetFile(f"{path.removeprefix('file:')}/{name}").metadata
+        for group in range(meta.num_row_groups):
+            column = [meta.row_group(group).column(i) for i in range(3)][2].statistics
+            kept += column.null_count > 0 or column.max >= since
+    assert len(files) == 8 and kept <= 3
+
+
+def test_reading_a_mark_writes_nothing(spark):
+    path = scratch(spark, "mark")
+    assert mark.read_mark(spark, path, dt.date(2024, 2, 1)) == dt.date(2024, 1, 2)
+    assert not tables.exists(spark, path)
+
+
 def test_the_mart_of_clustered_tables_shuffles_by_group_alone(spark, plan, rows):
     trials = spark.range(500).selectExpr(
         "concat('N', id) AS nct_id", "'completed' AS overall_status", "concat('p', id % 3) AS phase", "'X' AS lead_sponsor_class",

@@ -44,6 +44,30 @@ def test_stream_equals_batch_and_a_restart_adds_nothing(spark, rows):
     ]
 
 
+def test_the_interval_trigger_takes_what_comes_later(spark):
+    import time
+
+    inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "bronze", "cp"))
+    drop(spark, inbox, [message(1)])
+    job = streaming.start_bronze(bus.read_drop(spark, inbox), path, checkpoint, interval="1 second")
+
+    def landed(n):
+        for _ in range(120):
+            if tables.exists(spark, f"{path}/_spark_metadata") and tables.read_bronze(spark, path).count() == n:
+                return True
+            time.sleep(0.5)
+        return False
+
+    try:
+        assert landed(1)
+        drop(spark, inbox, [message(2), message(3)])
+        assert landed(3)
+        assert job.isActive and len({p["batchId"] for p in job.recentProgress if p["numInputRows"]}) == 2
+    finally:
+        job.stop()
+    assert job.exception() is None
+
+
 def test_rejects_stream(spark, rows):
     inbox, path, checkpoint = (scratch(spark, n) for n in ("in", "rejects", "cp"))
     drop(spark, inbox, [message(1), ("x", "not json"), ("y", "{}")])
