@@ -224,6 +224,86 @@ def test_letters():
     assert set(long.owner.tolist()) == {0, 2} and long.size.max() <= toxicity.WINDOW
 
 
+def plain_words(text):
+    """Words of a text, each step by itself: letters, joined single ones, marks, windows."""
+    code = lambda c: toxicity.codes_of(c)[0] if len(toxicity.codes_of(c)) else 0
+    words, run = [], []
+    for part in re.split(r"\s+", text.lower()):
+        letters = [int(code(c)) for c in part if code(c) != 0]
+        if not letters:
+            continue
+        if len(letters) == 1 and run:
+            run.append(letters[0])
+            continue
+        if run:
+            words.append(run)
+            run = []
+        if len(letters) == 1:
+            run = letters
+        else:
+            words.append(letters)
+    words += [run] if run else []
+    out = []
+    for word in words:
+        word = [toxicity.FIRST, *word, toxicity.LAST]
+        starts = range(0, max(1, len(word) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        out += [word[i : i + toxicity.WINDOW] for i in starts]
+    return out
+
+
+def plain_features(word):
+    """Weights of all three-letter subsequences that span at most five letters, over the word's length."""
+    out, norm = Counter(), 0.0
+    for x in range(len(word)):
+        for y in range(x + 1, len(word)):
+            for z in range(y + 1, min(len(word), x + 5)):
+                weight = toxicity.DECAY ** (z - x + 1)
+                out[word[x], word[y], word[z]] += weight
+                norm += weight**2
+    scale = 1 / np.sqrt(max(norm, toxicity.DECAY**6))
+    return {k: v * scale for k, v in out.items()}
+
+
+def test_toxicity_agrees_with_brute_force():
+    rng = random.Random(3)
+    syllables = ["ba", "mo", "ti", "re", "su", "lo", "ka", "ne"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(2, 4)))
+    insults = ["grotz", "blixen", "vrumpf"]
+
+    def text(toxic):
+        said = [" ".join(word() for _ in range(12)) for _ in range(4)]
+        if toxic:
+            said[rng.randrange(4)] += " " + rng.choice(insults)
+        return ". ".join(said) + "."
+
+    sample = [(text(i % 3 == 0), int(i % 3 == 0)) for i in range(150)]
+    model = toxicity.train(sample)
+    # Whole texts: the best word's sum of weights, and its probability.
+    odd = ["", "g r o t z", "gr0tz", "grXotz you", "a" * 60, "x", "  \n", "GROTZ! ba-mo", "b l i x e n and more"]
+    for t in odd + [text(True), text(False)]:
+        sums = [sum(v * model.table[(x * 64 + y) * 64 + z] for (x, y, z), v in plain_features(w).items()) for w in plain_words(t)]
+        margin = max([model.bias, *(s + model.bias for s in sums)])
+        assert abs(model.margins([t])[0] - margin) < 1e-9, t
+        want = 1 / (1 + np.exp(-(model.slope * margin + model.offset)))
+        assert abs(model.scores([t])[0] - want) < 1e-9
+    assert min(model.scores([f"{i} you" for i in insults])) > 0.5 > max(model.scores(["bamo tire", "", "sulo"]))
+    # The table is the expansion over landmarks: k(x) K^(-1/2) w by kernels of pairs.
+    own = toxicity.strings([" ".join({word() for _ in range(30)})])
+    marks = toxicity.chosen(own, toxicity.unlike(own, np.arange(len(own.begin)), 8))
+    plain = [[plain_features(s.letters[a : a + n].tolist()) for a, n in zip(s.begin, s.size)] for s in (own, marks)]
+    dot = lambda p, q: sum(p[u] * q.get(u, 0.0) for u in p)
+    k, among = ([[dot(p, q) for q in plain[1]] for p in side] for side in plain)
+    assert np.allclose(toxicity.kernel(own, marks), k) and np.allclose(toxicity.kernel(marks, marks), among)
+    alike = np.array(among) / np.sqrt(np.outer(np.diag(among), np.diag(among)))
+    assert (alike - np.eye(len(alike))).max() <= toxicity.ALIKE
+    values, vectors = np.linalg.eigh(np.array(among))
+    w = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T @ np.linspace(-1, 1, len(among))
+    at, keys, weights = toxicity.features(marks)
+    table = np.zeros(toxicity.LETTERS**3)
+    np.add.at(table, keys, weights * w[at])
+    assert np.allclose(toxicity.expand(own, table), np.array(k) @ w)
+
+
 def test_toxicity_of_held_out_documents(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = table(spark, sf_dir, "labels")
