@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cohortmill.session import scratch
 
 # Bytes of text that a task works on at a time; a longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,10 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def mapped(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None], schema: str
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | dict | None],
+    schema: str,
+    slice_bytes: int | None = None,
 ) -> DataFrame:
     """`work` on the Arrow batches of `df`, cut so that one call holds few texts.
 
@@ -51,21 +54,23 @@ def mapped(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, slice_bytes or SLICE_BYTES):
                 out = work(piece)
                 yield pa.RecordBatch.from_arrays([out[name] for name in names], names=names)
+            # A worker lives on between tasks; what it doesn't use any more goes back.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     if not batch.num_rows:
         return
     lengths = np.zeros(batch.num_rows, dtype=np.int64)
     for column in batch.columns:
         if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
             lengths += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths) // SLICE_BYTES
+    part = np.cumsum(lengths) // slice_bytes
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for start, end in zip(edges, edges[1:]):
         yield batch.slice(start, end - start)

@@ -50,8 +50,11 @@ RADIX_BITS = 6
 ID_BITS = 18  # of a token id
 DOC_BITS = 16  # of a document's place in its slice
 SLOT_RECORDS = 4_000_000
-CACHE_WORDS = 200_000
-LONGEST_KNOWN = 200  # bytes of a word that is kept
+TEXT_BYTES = 2 << 20  # of a slice
+CACHE_WORDS = 60_000
+LONGEST_KNOWN = 100  # characters of a word that is kept
+OFTEN = 2  # times a word is met in a slice to be kept
+RUN_WORDS = 500
 # Where words between spaces don't stand for themselves.
 WHOLE = r"\x{2581}|^ | $| [\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
@@ -73,8 +76,12 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+# (A tokens, B tokens, groups, the groups as text, pair codes as bytes) of a text; None where bytes differ.
+Entry = tuple[int, int, int, bytes, bytes]
+
+
 class Aligner:
-    """Groups and links of texts; those of a word are kept, words not met for long are forgotten."""
+    """Groups and links of texts; those of common words are kept, words not met for long are forgotten."""
 
     def __init__(self, path_a: str, path_b: str):
         # A task has one core; threads of the tokenizer would take those of other tasks.
@@ -90,58 +97,112 @@ class Aligner:
         self.bytes_b = [
             bytes([int(piece[1:-1], 16)]) if byte else piece.replace("▁", " ").encode() for byte, piece in pieces
         ]
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.size_a, self.size_b = (np.array([len(x) for x in table]) for table in (self.bytes_a, self.bytes_b))
+        # An id as text with the sign behind it: within a group, at its end, between groups.
+        n = max(len(self.bytes_a), len(self.bytes_b))
+        self.shown = np.array([f"{i}{sign}" for sign in ",|;" for i in range(n)], dtype="S")
+        self.known: dict[str, Entry | None] = {}
+        self.older: dict[str, Entry | None] = {}
+
+    def align(self, contents: list[str]) -> list[Entry | None]:
+        """The entry of each text, encoded as a whole."""
+        spaced = [" " + text for text in contents]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        ids_b = self.b.encode(contents, num_threads=1)
+        raw = [text.encode() for text in spaced]
+        valid = [self._spells(a, b, text) for a, b, text in zip(ids_a, ids_b, raw)]
+        good = [i for i, v in enumerate(valid) if v]
+        flat_a, flat_b = ([x for i in good for x in ids[i]] for ids in (ids_a, ids_b))
+        cut = iter(self._cut(flat_a, flat_b, np.array([len(raw[i]) for i in good], dtype=np.int64)))
+        return [next(cut) if v else None for v in valid]
+
+    def _spells(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> bool:
+        return all(
+            b"".join(map(table.__getitem__, ids)) == raw for ids, table in ((ids_a, self.bytes_a), (ids_b, self.bytes_b))
+        )
+
+    def _cut(self, flat_a: list[int], flat_b: list[int], sizes: np.ndarray) -> list[Entry]:
+        """The entries of texts of these sizes whose ids follow one another."""
+        ids_a, ids_b = np.array(flat_a, dtype=np.int64), np.array(flat_b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        at = np.searchsorted(ends_b, ends_a)
+        last_a = np.flatnonzero(ends_b[np.minimum(at, len(ends_b) - 1)] == ends_a) if len(ends_b) else at
+        last_b = at[last_a]
+        pairs = pair_code(ids_a[last_a].astype(np.uint64), ids_b[last_b].astype(np.uint64)).tobytes()
+        # Tokens in the order of the text form: of each group A's, then B's.
+        group_a, group_b = (np.searchsorted(last, np.arange(len(ids))) for last, ids in ((last_a, ids_a), (last_b, ids_b)))
+        before_b, upto_a = np.append(0, last_b + 1), np.append(0, last_a + 1)
+        place_a = np.arange(len(ids_a)) + before_b[group_a]
+        place_b = np.arange(len(ids_b)) + upto_a[group_b + 1]
+        n = len(self.shown) // 3
+        token = np.empty(len(ids_a) + len(ids_b), dtype=np.int64)
+        token[place_a], token[place_b] = ids_a, ids_b
+        token[place_a[last_a]] += n
+        token[place_b[last_b]] += 2 * n
+        text = self.shown[token]
+        length = np.char.str_len(text)
+        text = text.tobytes().replace(b"\0", b"")
+        # Where each text ends among groups, tokens and characters; the last sign is left out.
+        bounds = np.searchsorted(ends_a[last_a], np.cumsum(sizes), side="right")
+        groups = np.append(0, bounds)
+        tokens_a, tokens_b = upto_a[groups], before_b[groups]
+        signs = np.append(0, np.cumsum(length))[tokens_a + tokens_b]
+        return [
+            (a2 - a, b2 - b, g2 - g, text[c : c2 - 1], pairs[8 * g : 8 * g2])
+            for a, a2, b, b2, g, g2, c, c2 in zip(
+                *(x.tolist() for edges in (tokens_a, tokens_b, groups, signs) for x in (edges[:-1], edges[1:]))
+            )
+        ]
 
-    def align(self, contents: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups as text, linked pairs) of each text, None where bytes differ."""
+    def learn(self, words: list[str]) -> list[Entry | None]:
+        """`align` of words, many in one text, as neither tokenizer joins what a space parts."""
+        out: list[Entry | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if w and not w[0].isspace()]
+        alone = [i for i, w in enumerate(words) if not w or w[0].isspace()]
+        runs = [plain[i : i + RUN_WORDS] for i in range(0, len(plain), RUN_WORDS)]
+        contents = [" ".join([words[i] for i in run]) for run in runs]
         spaced = [" " + text for text in contents]
         ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         ids_b = self.b.encode(contents, num_threads=1)
-        return [self._groups(a, b, text.encode()) for a, b, text in zip(ids_a, ids_b, spaced)]
-
-    def _groups(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> tuple | None:
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        if b"".join([bytes_a[i] for i in ids_a]) != raw or b"".join([bytes_b[i] for i in ids_b]) != raw:
-            return None
-        out, pairs = [], []
-        i = j = from_a = from_b = at_a = at_b = 0
-        while i < len(ids_a):
-            if at_a <= at_b:
-                at_a += len(bytes_a[ids_a[i]])
-                i += 1
-            while at_b < at_a:
-                at_b += len(bytes_b[ids_b[j]])
-                j += 1
-            if at_a == at_b:
-                out.append(f"{','.join(map(str, ids_a[from_a:i]))}|{','.join(map(str, ids_b[from_b:j]))}")
-                pairs.append(pair_code(ids_a[i - 1], ids_b[j - 1]))
-                from_a, from_b = i, j
-        return len(ids_a), len(ids_b), ";".join(out).encode(), pairs
-
-    def of_words(self, words: list[str]) -> list[tuple | None]:
-        """`align` of different words."""
+        good, flat_a, flat_b = [], [], []
+        for run, text, a, b in zip(runs, spaced, ids_a, ids_b):
+            if self._spells(a, b, text.encode()):
+                good += run
+                flat_a += a
+                flat_b += b
+            else:  # some word of the run doesn't spell its bytes
+                alone += run
+        sizes = np.array([len(words[i].encode()) + 1 for i in good], dtype=np.int64)
+        for i, entry in zip(good, self._cut(flat_a, flat_b, sizes)):
+            out[i] = entry
+        for i, entry in zip(alone, self.align([words[i] for i in alone])):
+            out[i] = entry
+        return out
+
+    def of_words(self, words: list[str], often: list[bool]) -> list[Entry | None]:
+        """The entries of different words; those met often are kept."""
         if len(self.known) > CACHE_WORDS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
         new = [w for w in words if w not in known and w not in older]
-        fresh = dict(zip(new, self.align(new)))
+        fresh = dict(zip(new, self.learn(new)))
         found = []
-        for word in words:
+        for word, keep in zip(words, often):
             if word in known:
                 found.append(known[word])
                 continue
             entry = fresh[word] if word in fresh else older[word]
             found.append(entry)
-            if len(word) <= LONGEST_KNOWN:
+            if keep and len(word) <= LONGEST_KNOWN:
                 known[word] = entry
         return found
 
 
-def pair_code(a: int, b: int) -> int:
+def pair_code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Both ids in one number, ordered by radix partition, B id, A id."""
-    low = b & ((1 << RADIX_BITS) - 1)
-    return ((low << (ID_BITS - RADIX_BITS) | b >> RADIX_BITS) << ID_BITS) | a
+    id_bits, radix, rest = (np.uint64(n) for n in (ID_BITS, RADIX_BITS, ID_BITS - RADIX_BITS))
+    low = b & np.uint64((1 << RADIX_BITS) - 1)
+    return ((low << rest | b >> radix) << id_bits) | a
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -223,16 +284,16 @@ def spilled(
         offsets = lists.offsets.to_numpy().astype(np.int64)
         codes, words = code_words(lists.flatten())
         words = words.to_pylist()
-        entries = found.of_words(words)
+        entries = found.of_words(words, (np.bincount(codes, minlength=len(words)) >= OFTEN).tolist())
         rows = np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
         entries += found.align([column[row].as_py() for row in rows])
         own = dict(zip(rows, range(len(words), len(entries))))
-        empty = (0, 0, b"", [])
+        empty = (0, 0, 0, b"", b"")
         valid = np.array([e is not None for e in entries], dtype=bool)
         entries = [e or empty for e in entries]
-        parts = [e[2] for e in entries]
-        sizes = np.array([(e[0], e[1], len(e[3])) for e in entries], dtype=np.int64).reshape(-1, 3)
-        pool = np.fromiter((p for e in entries for p in e[3]), np.uint64, int(sizes[:, 2].sum()))
+        parts = [e[3] for e in entries]
+        sizes = np.array([e[:3] for e in entries], dtype=np.int64).reshape(-1, 3)
+        pool = np.frombuffer(b"".join([e[4] for e in entries]), np.uint64)
         begin = np.cumsum(sizes[:, 2]) - sizes[:, 2]
         counts, digests, used, place = np.zeros((n, 3), np.int64), [], [], []
         blank = pc.equal(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
@@ -273,7 +334,7 @@ def spilled(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.col(text).alias("text"),
     )
-    return mapped(needed, work, SLICES)
+    return mapped(needed, work, SLICES, TEXT_BYTES)
 
 
 def slotted(runs: DataFrame, slot_records: int = SLOT_RECORDS) -> DataFrame:
