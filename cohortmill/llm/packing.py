@@ -39,6 +39,7 @@ LEAST_FILL = 0.97
 WHOLE = 64
 BLOCK_ROWS = 20_000
 CACHE_WORDS = 120_000
+SLICE_BYTES = 8 << 20  # larger than others': a slice looks its different words up once
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids binary"
 TAIL = ".,!?;:|"
 MARK = "\x01"
@@ -204,7 +205,7 @@ def pieces(
         }
 
     needed = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    return mapped(needed, work, PIECES)
+    return mapped(needed, work, PIECES, SLICE_BYTES)
 
 
 def numbered(found: DataFrame) -> DataFrame:
