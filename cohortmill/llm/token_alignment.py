@@ -26,14 +26,13 @@ name are ignored. An empty table gives no row.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import os
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa

@@ -45,7 +45,7 @@ NEVER = 1 << 40  # the cost of what can't be done
 NEXT = (2, 2, 3, 2)
 ASKED = ("user", "user", "assistant", "user")
 STATES = range(4)
-BEGIN, SYSTEM, DONE = 0, 1, (0, 3)
+BEGIN, SYSTEM = 0, 1
 SPACE = " \t\n\x0b\f\r"
 FINE, CUT_OFF, MUST_GO = range(3)
 

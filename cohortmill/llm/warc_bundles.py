@@ -18,10 +18,10 @@ a name of its own. The index is what Spark commits: bundles that it doesn't name
 lost attempts and are never read. Neither writer nor reader holds more than a frame, or one
 record if that is longer.
 
-Defined cases: a null payload is empty, a null url is no url; urls are kept in URI form, other signs escaped. A null page id is smaller than any
-other; a record without one says so by its missing header. Rows that share the largest page id of their payload
-are all responses; they have one identifier. Columns that the operator doesn't name
-are ignored. An empty table gives an empty index and no bundle.
+Defined cases: a null payload is empty, a null url is no url; urls are kept in URI form, other signs
+escaped. A null page id is smaller than any other; a record without one says so by its missing header. Rows
+that share the largest page id of their payload are all responses; they have one identifier. Columns that
+the operator doesn't name are ignored. An empty table gives an empty index and no bundle.
 """
 
 from __future__ import annotations

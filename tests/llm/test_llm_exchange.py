@@ -216,20 +216,8 @@ def test_no_pages(spark, pages):
 
 
 def plain_repair(kinds):
-    """Least cost and ASCII-least audit, by keeping the best string of each state."""
+    """Least cost and ASCII-least audit, by keeping the best string of each state after each turn."""
     nxt = {0: 2, 1: 2, 2: 3, 3: 2}
-    best = {0: (0, "")}
-
-    def inserted(best):
-        out = dict(best)
-        for _ in range(3):
-            for s, (cost, audit) in list(out.items()):
-                way = cost + 5, audit + "I"
-                if nxt[s] not in out or way < out[nxt[s]]:
-                    out[nxt[s]] = way
-        return out
-
-    # Inserted ways compete by cost, then by audit, only once a turn follows, so all are kept apart.
     ways = {0: {(0, "")}}
     for kind in kinds:
         initial, fate = kind[0], int(kind[1])
