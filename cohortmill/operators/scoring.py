@@ -49,13 +49,17 @@ def fit(
     else:
         most = 0
     stages.append(learn.assembler([f"{c}{_CODE}" if c in categorical else c for c in features]))
-    fixed = {"maxBins": max(learn.MIN_BINS, most + 2), **learn.MODELS[name], **params}
-    classifier = learn.CLASSES[name](labelCol=label, featuresCol="features", **fixed)
-    if name == "random_forest":
-        classifier = classifier.setWeightCol("w")
-        train = learn.balanced_weights(train, label)
-    stages.append(classifier)
-    return Pipeline(stages=stages).fit(train)
+    trees = learn.classifier(name, label, **{"maxBins": max(learn.MIN_BINS, most + 2), **params})
+    dealt = learn.spread(train).persist()
+    try:
+        if name == "random_forest":
+            trees = trees.setWeightCol("w")
+            weighed = learn.balanced_weights(dealt, label)
+        else:
+            weighed = dealt
+        return Pipeline(stages=[*stages, trees]).fit(weighed)
+    finally:
+        dealt.unpersist()
 
 
 def store(model: PipelineModel, root: str, name: str, run_date: str) -> str:

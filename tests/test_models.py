@@ -170,3 +170,20 @@ def test_every_code_has_a_bin(spark):
     rows = spark.range(300).selectExpr("cast(id AS int) AS country", "cast(id % 3 AS int) AS phase")
     assert learn.bins(rows, ["country", "phase"]) >= 300
     assert learn.bins(rows, ["phase"]) == learn.bins(rows.limit(0), ["phase"]) == learn.MIN_BINS
+
+
+def test_training_rows_are_dealt_evenly_whatever_their_files(spark):
+    uneven = spark.range(0, 4_000, 1, 16).filter("id < 250")
+    sizes = [r["count"] for r in learn.spread(uneven).groupBy(F.spark_partition_id()).count().collect()]
+    cores = spark.sparkContext.defaultParallelism
+    assert len(sizes) == cores and max(sizes) - min(sizes) <= 1 and sum(sizes) == 250
+
+
+def test_forest_rows_keep_their_nodes(spark):
+    forest = learn.classifier("random_forest", "y", numTrees=3)
+    assert forest.getCacheNodeIds() and forest.getNumTrees() == 3 and forest.getMaxDepth() == 10
+    rows = spark.range(200).selectExpr("cast(id % 10 AS int) AS a", "cast(id % 7 AS int) AS b", "cast(id % 10 > 4 AS int) AS y")
+    kept, walked = (
+        learn.fit("random_forest", rows, ["a", "b"], "y", numTrees=3, maxDepth=3, cacheNodeIds=on) for on in (True, False)
+    )
+    assert kept.stages[-1].toDebugString.split("\n")[1:] == walked.stages[-1].toDebugString.split("\n")[1:]
