@@ -308,3 +308,14 @@ def test_topic_options(spark):
     }
     bus.read_topic(Session, "host:9092", "updates", stream=False)
     assert "startingOffsets" not in Session.read.given
+
+
+def test_texts_are_written_compressed_and_in_files_of_few_rows(spark, nested, tmp_path, monkeypatch):
+    monkeypatch.setitem(archive.JSON_FILES, "maxRecordsPerFile", "2")
+    day = nested(*(study(f"NCT0000000{i}") for i in range(5))).coalesce(1)
+    assert archive.write_archive(day, str(tmp_path / "archive"), one_day=True) == 5
+    assert bus.publish(envelope.to_messages(day), str(tmp_path / "bus")) == {"sent": 5, "failed": 0}
+    for name, back in (("archive", archive.read_archive), ("bus", lambda s, p: bus.read_drop(s, p, stream=False))):
+        files = [f.name for f in (tmp_path / name).rglob("part-*")]
+        assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)
+        assert back(spark, str(tmp_path / name)).count() == 5
