@@ -97,3 +97,26 @@ def test_counts_rebuilt(spark, rows):
     want = marts.enrollment_mart(trials, stage_conditions(trials, keyword_dictionary(spark)), "2024-02-01")
     assert rows(upkeep.enrollment_mart(spark, counts, "2024-02-01")) == rows(want)
     assert upkeep.enrollment_mart(spark, scratch(spark, "none"), "2024-02-01").count() == 0
+
+
+def test_an_upsert_shuffles_its_rows_for_the_merge_alone(spark, plan, monkeypatch):
+    """The first batch's changes are its rows; of later ones neither a few keys nor many sort both sides for a join."""
+    path, rng, plans = scratch(spark, "silver"), random.Random(6), []
+    write = tables.write_rows
+
+    def watched(df, place, *rest, **more):
+        plans.append((place.rsplit("/", 1)[1], plan(df)))
+        write(df, place, *rest, **more)
+
+    monkeypatch.setattr(tables, "write_rows", watched)
+    passed = []
+    for i, few in enumerate((100_000, 100_000, 1)):
+        monkeypatch.setattr("cohortmill.sources.keyed.FEW_KEYS", few)
+        streaming.upsert_silver(
+            batch(spark, rng, range(20 + i), i + 1), i, path, buckets=2, after=lambda c, name: passed.append(c.groupBy("sign").count().collect())
+        )
+    changes = [text for name, text in plans if name == "changes"]
+    assert len(changes) == 3 and "Exchange" not in changes[0]
+    assert "BroadcastHashJoin" in changes[1] and "Join" not in changes[2]
+    assert [{r.sign: r["count"] for r in p} for p in passed] == [{1: 20}, {1: 21, -1: 20}, {1: 22, -1: 21}]
+    assert not any("REBALANCE" in text for _, text in plans)
