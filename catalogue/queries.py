@@ -27,6 +27,7 @@ from cohortmill.operators import (
     staging,
     variants,
 )
+from cohortmill.operators.joins import measured
 from cohortmill.plans import medallion, upkeep, views
 from cohortmill.schemas import SILVER_COLUMNS
 from cohortmill.session import prepare, scratch
@@ -248,16 +249,19 @@ def ordered_scan(spark, sf_dir):
     )
 
 
+def wrapped(rows: DataFrame, each: int = 750) -> DataFrame:
+    """The studies of a run dealt to as many documents as hold `each` of them on average, far from 1,000."""
+    runs = rows.groupBy(F.col("run_date").alias("run")).agg(F.ceil(F.count("*") / each).alias("documents"))
+    dealt = rows.join(measured(runs), F.col("run_date").eqNullSafe(F.col("run")))
+    part = F.pmod(F.xxhash64("study"), F.col("documents")).alias("part")
+    return dealt.groupBy("run_date", part).agg(F.collect_list("study").alias("studies"))
+
+
 @query
 def wrapped_archive_scan(spark, sf_dir):
     """Studies written as documents that wrap up to 1,000 of them, read back as their union."""
     path = scratch(spark, "wrapped")
-    rows = P.studies(spark, sf_dir)
-    number = F.substring(F.col("study.protocolSection.identificationModule.nctId"), 4, 20).cast("bigint")
-    documents = rows.groupBy("run_date", F.floor(number / 1000).alias("part")).agg(
-        F.collect_list("study").alias("studies")
-    )
-    documents.select(
+    wrapped(P.studies(spark, sf_dir)).select(
         F.col("run_date").cast("string").alias("run_date"), F.size("studies").cast("bigint").alias("count"), "studies"
     ).write.option("maxRecordsPerFile", 1).json(path)
     flat = envelope.flatten_studies(archive.read_wrapped_archive(spark, path), keep=["run_date"])

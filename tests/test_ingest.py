@@ -319,3 +319,15 @@ def test_texts_are_written_compressed_and_in_files_of_few_rows(spark, nested, tm
         files = [f.name for f in (tmp_path / name).rglob("part-*")]
         assert len(files) == 3 and all(f.endswith(".json.gz") for f in files)
         assert back(spark, str(tmp_path / name)).count() == 5
+
+
+def test_documents_hold_the_studies_of_a_run_whatever_their_ids(spark, nested):
+    """Studies whose ids lie far apart: few documents, none above 1,000, no study lost, also of an unknown run."""
+    from catalogue.queries import wrapped
+
+    number = F.col("id") * 100_000
+    s = F.struct(F.struct(F.struct(F.concat(F.lit("NCT"), number).alias("nctId")).alias("identificationModule")).alias("protocolSection"))
+    rows = spark.range(4_000).select(s.alias("study"), F.when(F.col("id") >= 1_000, F.lit(D(2024, 1, 1))).alias("run_date"))
+    got = wrapped(rows).select("run_date", F.size("studies").alias("n")).collect()
+    assert len(got) <= 7 and max(r.n for r in got) <= 1_000
+    assert sum(r.n for r in got if r.run_date) == 3_000 and sum(r.n for r in got) == 4_000
