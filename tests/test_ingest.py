@@ -331,3 +331,9 @@ def test_documents_hold_the_studies_of_a_run_whatever_their_ids(spark, nested):
     got = wrapped(rows).select("run_date", F.size("studies").alias("n")).collect()
     assert len(got) <= 7 and max(r.n for r in got) <= 1_000
     assert sum(r.n for r in got if r.run_date) == 3_000 and sum(r.n for r in got) == 4_000
+
+
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    small, large = spark.range(700), spark.range(7_000)
+    assert [tables.buckets_for(*t, least=8) for t in ((small,), (small, large), (spark.range(0),))] == [8, 128, 8]
