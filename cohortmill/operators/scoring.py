@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +56,7 @@ def fit(
             weighed = learn.balanced_weights(dealt, label)
         else:
             weighed = dealt
-        return Pipeline(stages=[*stages, trees]).fit(weighed)
+        return learn.fit_trees(stages, trees, weighed)
     finally:
         dealt.unpersist()
 

@@ -187,3 +187,37 @@ def test_forest_rows_keep_their_nodes(spark):
         learn.fit("random_forest", rows, ["a", "b"], "y", numTrees=3, maxDepth=3, cacheNodeIds=on) for on in (True, False)
     )
     assert kept.stages[-1].toDebugString.split("\n")[1:] == walked.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_a_forest_on_many_rows_grows_in_groups(spark, monkeypatch):
+    names = ["a", "b", "c", "d"]
+    digits = [f"cast(crc32(concat(id, '{name}')) % 10 AS int) AS {name}" for name in names]
+    rows = spark.range(400).selectExpr("id", *digits).selectExpr(*names, "cast((a > 4) != (id % 9 = 0) AS int) AS y")
+    together, fit = [], learn.RandomForestClassifier._fit
+
+    def spied(trees, data):
+        together.append(trees.getNumTrees())
+        return fit(trees, data)
+
+    monkeypatch.setattr(learn.RandomForestClassifier, "_fit", spied)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(learn, "FEW_PAIRS", 1, raising=False)
+    # What a task keeps is bounded, however many rows: three trees of 400 rows at a time.
+    monkeypatch.setattr(learn, "CORE_PAIRS", 3 * 400 // cores, raising=False)
+    model = learn.fit("random_forest", rows, names, "y", numTrees=7, maxDepth=3)
+    assert together == [3, 2, 2]
+    forest = model.stages[-1]
+    assert (forest.getNumTrees, len(forest.trees), forest.numClasses, forest.numFeatures) == (7, 7, 2, 4)
+    assert (forest.getOrDefault("numTrees"), forest.getOrDefault("seed"), forest.getOrDefault("featureSubsetStrategy")) == (7, 42, "auto")
+    # A group of one tree looks at a part of the features too, and no two groups draw the same rows.
+    monkeypatch.setattr(learn, "CORE_PAIRS", 400 // cores)
+    alone = learn.fit("random_forest", rows, names, "y", numTrees=12, maxDepth=3).stages[-1]
+    assert together[3:] == [1] * 12
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in alone.trees}) > 6
+    assert any("feature 0" not in tree.toDebugString.split("\n")[1] for tree in alone.trees)
+    assert sum(forest.featureImportances.toArray()) == pytest.approx(1.0)
+    path = scratch(spark, "forest")
+    model.write().save(path)
+    loaded = learn.PipelineModel.load(path)
+    scores = [[r.probability for r in m.transform(rows).select("probability").collect()] for m in (model, loaded)]
+    assert scores[0] == scores[1] and max(p[1] for p in scores[0]) > 0.7 > 0.3 > min(p[1] for p in scores[0])
