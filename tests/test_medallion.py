@@ -257,3 +257,41 @@ def test_only_compacted_days_are_read_from_their_folder(spark):
     medallion.compact(spark, layers, dt.date(2024, 1, 10), dt.date(2024, 1, 10))
     assert found() == [1, 2, 9, 10, 10, 11, 15, 15, 20, 25]
     assert medallion.watch(spark, layers, dt.date(2024, 1, 15)) == []
+
+
+def test_a_batch_is_parsed_once_and_merged_from_where_it_lies(spark, rows, monkeypatch):
+    """The newest update is seen while publishing, and parsed updates are not written again before they are merged."""
+    layers = medallion.Layers(scratch(spark, "run"))
+
+    def read_again(*args):
+        raise AssertionError("the archive is read again")
+
+    monkeypatch.setattr(mark, "newest_day", read_again)
+    day1, day2 = dt.date(2024, 1, 10), dt.date(2024, 1, 11)
+    first = [study(1, "Recruiting", "2024-01-05"), study(2, "Completed", "2024-01-08"), study(None, "Recruiting", "2024-01-09"),
+             study(3, "Recruiting", "2024-01")]
+    medallion.ingest(spark, nested(spark, first, day1), layers, day1)
+    assert mark.read_mark(spark, layers.mark, day2) == dt.date(2024, 1, 9)
+    medallion.refine_updates(spark, layers, buckets=2)
+    # Several versions of a study in one batch, an old one and one that ties among them.
+    second = [study(1, "Completed", "2024-01-11"), study(1, "Terminated", "2024-01-10"), study(2, "Recruiting", "2024-01-09"),
+              study(2, "Recruiting", "2024-01-09"), study(4, "Completed", "2999-01-01")]
+    medallion.ingest(spark, nested(spark, second, day2), layers, day2)
+    assert mark.read_mark(spark, layers.mark, day2) == day2
+    trials = medallion.refine_updates(spark, layers, buckets=2)
+    got = rows(trials, "nct_id", "overall_status", "last_update_post_date")
+    assert got == [
+        ("NCT00000001", "completed", dt.date(2024, 1, 11)), ("NCT00000002", "recruiting", dt.date(2024, 1, 9)),
+        ("NCT00000003", "recruiting", None), ("NCT00000004", "completed", dt.date(2999, 1, 1)),
+    ]
+    assert not tables.exists(spark, f"{layers.silver}/given")
+    medallion.build_marts(spark, layers, "2024-02-01", upserted=True)
+    assert spark.read.parquet(layers.gold("trial_enrollment_mart")).agg(F.sum("trial_count")).first()[0] == 4
+
+
+def test_a_mark_is_left_where_no_update_can_be_read(spark):
+    layers = medallion.Layers(scratch(spark, "run"))
+    day = dt.date(2024, 1, 10)
+    counts = medallion.ingest(spark, nested(spark, [study(1, "Recruiting", "soon")], day), layers, day)
+    assert counts == {"archived": 1, "undated": 1, "sent": 1, "failed": 0}
+    assert not tables.exists(spark, layers.mark)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 
@@ -120,3 +121,23 @@ def test_an_upsert_shuffles_its_rows_for_the_merge_alone(spark, plan, monkeypatc
     assert "BroadcastHashJoin" in changes[1] and "Join" not in changes[2]
     assert [{r.sign: r["count"] for r in p} for p in passed] == [{1: 20}, {1: 21, -1: 20}, {1: 22, -1: 21}]
     assert not any("REBALANCE" in text for _, text in plans)
+
+
+def test_many_changed_rows_are_dealt_by_their_keys(spark, plan, monkeypatch):
+    """Old and new row of a key meet in a task before rows are counted, so no task hashes all columns of both for nothing."""
+    path, rng, plans = scratch(spark, "silver"), random.Random(7), []
+    write = tables.write_rows
+
+    def watched(df, place, *rest, **more):
+        if place.endswith("/changes"):
+            plans.append(plan(df))
+        write(df, place, *rest, **more)
+
+    monkeypatch.setattr(tables, "write_rows", watched)
+    monkeypatch.setattr("cohortmill.sources.keyed.FEW_KEYS", 1)
+    passed = []
+    for i in range(2):
+        streaming.upsert_silver(batch(spark, rng, range(20), i + 1), i, path, buckets=2, after=lambda c, name: passed.append(c.count()))
+    exchanges = [line for line in plans[1].splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and re.search(r"hashpartitioning\(nct_id#\d+, \d+\)", exchanges[0])
+    assert passed == [20, 40]
